@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
+def moment(at: datetime | None) -> Column:
+    """A clock value as a zone-less literal, so that one run stamps one value; None means now."""
+    return F.localtimestamp() if at is None else F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def from_epoch(seconds: str) -> Column:
     """Epoch seconds column to a zone-less timestamp; no session time zone is involved."""
     return F.expr(f"timestampadd(SECOND, {seconds}, {_EPOCH})")

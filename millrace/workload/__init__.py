@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["marts"]
+MODULES = ["marts", "upserts"]
 
 
 def _merged(attribute: str) -> dict:
