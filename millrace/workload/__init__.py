@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["marts", "upserts"]
+MODULES = ["marts", "upserts", "trips", "sales"]
 
 
 def _merged(attribute: str) -> dict:
