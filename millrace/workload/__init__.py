@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["marts", "upserts", "trips", "sales"]
+MODULES = ["marts", "upserts", "trips", "sales", "streams"]
 
 
 def _merged(attribute: str) -> dict:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import columns, files
 from ..plans import trips
 from ..schemas import TRIP_WAREHOUSE
 from ..session import new_folder
-from ..sinks.files import write_stage
+from ..sinks.files import write_by_time, write_stage
 from ..sources.files import read_directory, read_merged, read_partitions, read_split
 from .tables import table
 
@@ -84,14 +85,13 @@ def schema_merge_scan(spark, sf_dir):
 
 
 def partitioned_scan(spark, sf_dir):
-    """Hour-partitioned events; the partition filter selects folders before any file is opened."""
-    from ..sinks.files import write_by_time
-
+    """Events landed four times a day; the partition filter selects folders before any file is opened."""
     events = table(spark, sf_dir, "events")
     folder = new_folder(spark, "hours")
-    write_by_time(events, folder, F.col("ts"), "hourly", "parquet")
+    slot = F.date_trunc("DAY", "ts") + F.make_dt_interval(hours=(F.hour("ts") / 6).cast("int") * 6)
+    write_by_time(events, folder, slot, "hourly", "parquet")
     schema = "event_id bigint, user_id bigint, event_type string, year string, month string, day string, hour string"
-    return read_partitions(spark, folder, schema).filter((F.col("day") <= "20") & (F.col("hour") >= "05"))
+    return read_partitions(spark, folder, schema).filter((F.col("day") <= "20") & (F.col("hour") >= "06"))
 
 
 _HOLES = """CASE WHEN l_quantity = 13 THEN NULL ELSE l_partkey END"""
@@ -120,8 +120,6 @@ def normalize_columns(spark, sf_dir):
 
 
 def align_to_schema(spark, sf_dir):
-    from pyspark.sql import types as T
-
     wanted = T.StructType([
         T.StructField("p_size", T.LongType()), T.StructField("p_partkey", T.StringType()),
         T.StructField("p_name", T.StringType())])
@@ -171,8 +169,8 @@ ORACLES = {
         CASE WHEN l_linestatus <> 'O' THEN l_returnflag END AS l_returnflag,
         CASE WHEN l_linestatus = 'O' THEN 1 ELSE 2 END AS delivery FROM lineitem""",
     "partitioned_scan": """SELECT event_id, user_id, event_type, strftime(ts, '%Y') AS year,
-        strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour FROM events
-        WHERE strftime(ts, '%d') <= '20' AND strftime(ts, '%H') >= '05'""",
+        strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, lpad(CAST(hour(ts) // 6 * 6 AS VARCHAR), 2, '0') AS hour
+        FROM events WHERE strftime(ts, '%d') <= '20' AND hour(ts) >= 6""",
     "drop_null_rows": "SELECT * FROM lineitem WHERE l_quantity <> 13 AND l_linenumber <> 3",
     "drop_null_columns": "SELECT * EXCLUDE (l_partkey, l_tax) FROM lineitem",
     "normalize_columns": """SELECT p_partkey AS "P_PARTKEY", p_name AS "PART_NAME", p_brand AS "P_BRAND",
