@@ -59,10 +59,13 @@ def path_segment(link: Column, from_end: int) -> Column:
 
 
 def bucket_and_key(link: Column) -> Column:
-    """struct(bucket, key) of an object URL; up to two leading slashes of the key are dropped."""
+    """struct(bucket, key) of an object URL; up to two leading slashes of the key are dropped.
+
+    A link that is no URL gives NULLs.
+    """
     return F.struct(
-        F.parse_url(link, F.lit("HOST")).alias("bucket"),
-        F.regexp_replace(F.parse_url(link, F.lit("PATH")), "^/{1,2}", "").alias("key"),
+        F.try_parse_url(link, F.lit("HOST")).alias("bucket"),
+        F.regexp_replace(F.try_parse_url(link, F.lit("PATH")), "^/{1,2}", "").alias("key"),
     )
 
 

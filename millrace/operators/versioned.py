@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 from datetime import UTC, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +38,15 @@ class VersionedTable:
         table._commit(0, "create", [[f.name, f.name, f.dataType.simpleString()] for f in schema.fields], at)
         return table
 
+    @classmethod
+    def exists(cls, spark: SparkSession, folder: str) -> bool:
+        try:
+            return bool(cls(spark, folder).log().head(1))
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
+
     # --- changes -----------------------------------------------------------------------------------
 
     def append(self, df: DataFrame, at: datetime | None = None) -> int:
@@ -70,6 +80,13 @@ class VersionedTable:
         data = self.log().filter(F.col("operation").isin(*DATA_OPERATIONS))
         return data.select("snapshot_id", "committed_at", "operation").orderBy("snapshot_id")
 
+    def rows_per_commit(self) -> DataFrame:
+        """Rows added by each data commit."""
+        data = self.spark.read.schema("snapshot_id bigint").parquet(f"{self.folder}/data")
+        added = data.groupBy("snapshot_id").agg(F.count("*").alias("added_rows"))
+        return self.snapshots().join(added, "snapshot_id", "left").withColumn(
+            "added_rows", F.coalesce("added_rows", F.lit(0)))
+
     def current(self) -> DataFrame:
         return self.as_of_version(self._head()[0])
 
@@ -87,7 +104,7 @@ class VersionedTable:
         names = [F.col(f"`{stored}`").alias(name) for stored, name, _ in columns]
         if not upto.filter(F.col("operation").isin(*DATA_OPERATIONS)).head(1):
             empty = T.StructType.fromDDL(", ".join(f"`{stored}` {kind}" for stored, _, kind in columns))
-            return self.spark.createDataFrame([], empty).select(*names)
+            return self.spark.createDataFrame([], empty).select(*names)  # created, never written
         schema = ", ".join([*[f"`{stored}` {kind}" for stored, _, kind in columns], "snapshot_id bigint"])
         data = self.spark.read.schema(schema).parquet(f"{self.folder}/data")
         return data.filter(F.col("snapshot_id").between(state["base"] or 0, version)).select(*names)
@@ -120,6 +137,8 @@ class VersionedTable:
 
     def _commit(self, version: int, operation: str, columns: list[list[str]], at: datetime | None) -> int:
         at = at or datetime.now(UTC).replace(tzinfo=None)
-        row = self.spark.createDataFrame([(version, at, operation, json.dumps(columns))], LOG_SCHEMA)
-        row.coalesce(1).write.mode("append").json(f"{self.folder}/log")
+        values = (F.lit(version), moment(at), F.lit(operation), F.lit(json.dumps(columns)))
+        row = self.spark.range(1, numPartitions=1).select(
+            *[v.cast(f.dataType).alias(f.name) for v, f in zip(values, LOG_SCHEMA.fields, strict=True)])
+        row.write.mode("append").json(f"{self.folder}/log")
         return version

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["marts", "upserts", "trips", "sales", "streams"]
+MODULES = ["marts", "upserts", "trips", "sales", "streams", "versions", "documents"]
 
 
 def _merged(attribute: str) -> dict:
