@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NOT_NULL = "expect_column_values_to_not_be_null"
@@ -14,19 +16,27 @@ class CheckFailed(Exception):
     """Raised by a gate when a check has failing rows."""
 
 
-def not_null(column: str):
-    return f"not_null_{column}", F.count_if(F.col(column).isNull())
+@dataclass(frozen=True)
+class RowCheck:
+    """A named test of single rows; `fails` gives the condition under which a row fails."""
 
+    name: str
+    fails: Callable[[], Column]
 
-def accepted_values(column: str, values: list):
+
+def not_null(column: str) -> RowCheck:
+    return RowCheck(f"not_null_{column}", lambda: F.col(column).isNull())
+
+
+def accepted_values(column: str, values: list) -> RowCheck:
     """NULL passes: only present values outside the list fail."""
-    return f"accepted_values_{column}", F.count_if(F.col(column).isNotNull() & ~F.col(column).isin(values))
+    return RowCheck(f"accepted_values_{column}", lambda: F.col(column).isNotNull() & ~F.col(column).isin(values))
 
 
-def row_checks(df: DataFrame, checks: list) -> DataFrame:
-    """Evaluate not_null and accepted_values checks in a single aggregate."""
-    counted = df.agg(*[expr.alias(name) for name, expr in checks])
-    return counted.unpivot([], [name for name, _ in checks], "check", "failures")
+def row_checks(df: DataFrame, checks: list[RowCheck]) -> DataFrame:
+    """Evaluate any number of row checks in a single aggregate."""
+    counted = df.agg(*[F.count_if(c.fails()).alias(c.name) for c in checks])
+    return counted.unpivot([], [c.name for c in checks], "check", "failures")
 
 
 def unique(df: DataFrame, column: str) -> DataFrame:
@@ -36,7 +46,7 @@ def unique(df: DataFrame, column: str) -> DataFrame:
         F.lit(f"unique_{column}").alias("check"), F.count_if(F.col("n") > 1).alias("failures"))
 
 
-def check_table(df: DataFrame, checks: list, unique_columns: tuple[str, ...] = ()) -> DataFrame:
+def check_table(df: DataFrame, checks: list[RowCheck], unique_columns: tuple[str, ...] = ()) -> DataFrame:
     """All checks of one table: one aggregate, plus one grouping per unique column."""
     result = row_checks(df, checks) if checks else None
     for column in unique_columns:

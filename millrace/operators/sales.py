@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.times import file_date
 from ..schemas import (
     CALENDAR_END, CALENDAR_START, CHANNEL_ROWS, CHANNELS, PRODUCT_FORMATS, PRODUCT_TEXTS, RESELLER_ROWS, RESELLERS,
 )
+from ..session import settle
 from .sequence import sequence_within
 
 
@@ -41,7 +43,8 @@ def product_catalogue(
     The two fixed lists are exploded per city; the number follows from the three positions, so nothing
     is sorted but the cities.
     """
-    ranked = sequence_within(cities.select(F.col(city).alias("city")).distinct(), [], ["city"], "_city")
+    distinct = settle(cities.select(F.col(city).alias("city")).distinct(), "cities")
+    ranked = sequence_within(distinct, [], ["city"], "_city")
     n_cities = ranked.agg(F.count("*").alias("n")).scalar()
     every = ranked.select("city", "_city", F.posexplode(F.array(*map(F.lit, formats))).alias("_format", "format"))
     every = every.select("*", F.posexplode(F.array(*map(F.lit, texts))).alias("_text", "text"))
@@ -54,5 +57,25 @@ def line_amount(price: Column, qty: Column) -> Column:
     return (price.cast("decimal(15,2)") * qty.cast("decimal(10,0)")).cast("decimal(19,2)")
 
 
+def commission(sales_rows: DataFrame, amount: str, reseller: str, spark: SparkSession) -> DataFrame:
+    """Reseller name and commission of each sale. The dimension is four fixed rows, so it is broadcast."""
+    rates = F.broadcast(resellers(spark))
+    joined = sales_rows.join(rates, F.col(reseller) == F.col("reseller_id"), "left")
+    due = (F.col(amount).cast("decimal(19,2)") * F.col("commission_pct").cast("decimal(5,4)")).cast("decimal(19,4)")
+    return joined.withColumn("commission", due).drop("reseller_id", "commission_pct")
+
+
+def daily_file_name(day: Column, reseller: Column, extension: str) -> Column:
+    """Name of a daily file: its date is written year, day, month."""
+    return F.format_string(f"DailySales_%s_%s.{extension}", file_date(day), reseller.cast("string"))
+
+
+def daily_file_parts(name: Column) -> Column:
+    """struct(day, reseller) read back from a daily file name; any other name gives NULLs."""
+    pattern = r"^(?:raw)?DailySales_(\d{8})_(\w+)\.\w+$"
+    day = F.try_to_date(F.regexp_extract(name, pattern, 1), "yyyyddMM")
+    return F.struct(day.alias("day"), F.nullif(F.regexp_extract(name, pattern, 2), F.lit("")).alias("reseller"))
+
+
 def email(first: Column, last: Column) -> Column:
     return F.format_string("%s.%s@example.com", first, last)

@@ -17,6 +17,9 @@ def sequence_within(df: DataFrame, group: list[str], order: list[str], name: str
     value shared by any number of rows, spreads over tasks. The ranges are written once, with each row's
     position; a row's number is its position moved by the count of earlier runs of its group, a run being
     the stretch of a group within one range.
+
+    The tie-breaker follows the order in which rows are read, so the input must be a scan with row-wise
+    steps only; settle anything that was shuffled first.
     """
     spread = [*group, *order, "_tie"]
     ranged = df.withColumn("_tie", F.rand(_SEED)).repartitionByRange(*spread).sortWithinPartitions(*spread)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.times import compact_date, file_date
+from ..functions.times import compact_date
 from ..operators import sales
 from ..operators.sequence import first_by_key, sequence_within
 from ..schemas import PRODUCT_FORMATS, PRODUCT_TEXTS, RESELLER_CSV, RESELLER_JSON
@@ -24,9 +24,20 @@ def product_catalogue(spark, sf_dir):
 
 def calendar_split(spark, sf_dir):
     """Orders whose date is a day of the calendar."""
-    return sales.in_calendar(table(spark, sf_dir, "orders"), "o_orderdate", "1996-01-01", "2000-12-31").select(
-        "o_orderkey", compact_date(F.col("o_orderdate")).alias("day"),
-        file_date(F.col("o_orderdate")).alias("file_day"))
+    kept = sales.in_calendar(table(spark, sf_dir, "orders"), "o_orderdate", "1996-01-01", "2000-12-31").withColumn(
+        "file", sales.daily_file_name(F.col("o_orderdate"), F.col("o_custkey"), "csv"))
+    found = sales.daily_file_parts(F.col("file"))
+    return kept.select(
+        "o_orderkey", compact_date(F.col("o_orderdate")).alias("day"), "file",
+        found["day"].alias("file_day"), found["reseller"].alias("file_reseller"))
+
+
+def reseller_commission(spark, sf_dir):
+    """Commission of every order, the reseller following from the first letter of its priority."""
+    seller = (F.left("o_orderpriority", F.lit(1)).cast("int") + 1000).alias("seller")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", seller)
+    due = sales.commission(orders, "o_totalprice", "seller", spark)
+    return due.select("o_orderkey", "reseller_name", F.col("commission").cast("double").alias("commission"))
 
 
 def calendar_days(spark, sf_dir):
@@ -209,7 +220,7 @@ def dedupe_first(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    product_catalogue, calendar_split, calendar_days, daily_sequence, daily_files, line_amount, csv_filter,
+    product_catalogue, calendar_split, reseller_commission, calendar_days, daily_sequence, daily_files, line_amount, csv_filter,
     json_payload, time_partitioned_json, object_listing, object_bytes, reject_split, table_create_append,
     truncate_load, full_refresh, dedupe_first,
 )}
@@ -227,8 +238,15 @@ ORACLES = {
         SELECT row_number() OVER (ORDER BY fi, ti, ci) AS product_id, format || ' ' || text || ' ' || city AS name, city
         FROM f, t, c""",
     "calendar_split": """SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS day,
-        strftime(o_orderdate, '%Y%d%m') AS file_day FROM orders
+        'DailySales_' || strftime(o_orderdate, '%Y%d%m') || '_' || o_custkey || '.csv' AS file,
+        CAST(o_orderdate AS DATE) AS file_day, CAST(o_custkey AS VARCHAR) AS file_reseller FROM orders
         WHERE o_orderdate >= DATE '1996-01-01' AND o_orderdate < DATE '2001-01-01'""",
+    "reseller_commission": """WITH r AS (SELECT * FROM (VALUES (1001, 'Imaginary Street Press Company', 0.15),
+            (1002, 'European Example Press Corporation', 0.17), (1003, 'Scandinavian Legendary Printing Company', 0.14),
+            (1004, 'Mediterranean Postcard Press Association', 0.16)) AS v(id, name, pct))
+        SELECT o_orderkey, name AS reseller_name, CAST(CAST(CAST(o_totalprice AS DECIMAL(19,2))
+        * CAST(pct AS DECIMAL(5,4)) AS DECIMAL(19,4)) AS DOUBLE) AS commission
+        FROM orders LEFT JOIN r ON CAST(left(o_orderpriority, 1) AS INTEGER) + 1000 = id""",
     "calendar_days": """SELECT strftime(d.day, '%Y-%m-%d') AS day, COUNT(o_orderkey) AS orders FROM
         (SELECT unnest(generate_series(TIMESTAMP '1996-01-01', TIMESTAMP '2000-12-31', INTERVAL 1 DAY)) AS day) d
         LEFT JOIN orders ON CAST(o_orderdate AS DATE) = CAST(d.day AS DATE) GROUP BY d.day""",
