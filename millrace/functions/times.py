@@ -22,7 +22,17 @@ def from_epoch(seconds: str) -> Column:
 
 def to_epoch(ts: str) -> Column:
     """Whole seconds since the epoch of a zone-less timestamp column, rounded down."""
-    return F.expr(f"timestampdiff(SECOND, {_EPOCH}, date_trunc('SECOND', {ts}))")
+    at = F.col(ts).cast("timestamp_ntz")
+    days = F.datediff(at.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 86400 + F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
+
+
+def date_text(ts: Column) -> Column:
+    return ts.cast("date").cast("string")
+
+
+def hour_text(ts: Column) -> Column:
+    return _two_digits(F.hour(ts))
 
 
 def shifted_text(iso: Column, hours: int = 7) -> Column:
@@ -43,8 +53,12 @@ def file_date(d: Column) -> Column:
 def hour_parts(ts: Column) -> dict[str, Column]:
     """Zero-padded year, month, day and hour used as partition values."""
     return {
-        "year": F.date_format(ts, "yyyy"),
-        "month": F.date_format(ts, "MM"),
-        "day": F.date_format(ts, "dd"),
-        "hour": F.date_format(ts, "HH"),
+        "year": F.lpad(F.year(ts).cast("string"), 4, "0"),
+        "month": _two_digits(F.month(ts)),
+        "day": _two_digits(F.day(ts)),
+        "hour": hour_text(ts),
     }
+
+
+def _two_digits(part: Column) -> Column:
+    return F.lpad(part.cast("string"), 2, "0")

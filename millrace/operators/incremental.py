@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from ..functions.times import moment
 from .upsert import merge
@@ -28,7 +29,10 @@ def new_rows(source: DataFrame, target: DataFrame | None, column: str, late: str
     mark = None if target is None else high_water_mark(target, column)
     if mark is None:
         return source
-    return source.filter(F.col(column) > F.lit(mark) if late == "drop" else F.col(column) >= F.lit(mark))
+    # A zone-less time stays zone-less; as a plain literal it would pass through the session time zone.
+    zoneless = isinstance(source.schema[column].dataType, TimestampNTZType)
+    limit = moment(mark) if zoneless else F.lit(mark)
+    return source.filter(F.col(column) > limit if late == "drop" else F.col(column) >= limit)
 
 
 def load_increment(

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.times import from_epoch
+from ..functions.times import date_text, from_epoch, hour_text
 from ..operators.aggregates import running_total, share_of_total, top_k
 
 
 def stg_streams_hourly(listen: DataFrame) -> DataFrame:
-    at = from_epoch("ts")
-    return listen.groupBy(
-        F.date_format(at, "yyyy-MM-dd").alias("stream_date"), F.date_format(at, "HH").alias("stream_hour")
-    ).agg(F.count("*").alias("total_streams"))
+    """Counted by the start of the hour as a number; the texts are made from the few hours left."""
+    hours = listen.groupBy((F.col("ts") - F.pmod("ts", F.lit(3600))).alias("hour")).agg(
+        F.count("*").alias("total_streams"))
+    at = from_epoch("hour")
+    return hours.select(date_text(at).alias("stream_date"), hour_text(at).alias("stream_hour"), "total_streams")
 
 
 def stg_top_songs_artists(listen: DataFrame) -> DataFrame:

@@ -45,9 +45,23 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+_named: list[str] = []
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the shared folder; nothing is created yet."""
-    return f"{shared_folder(spark)}/millrace-{label}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/millrace-{label}-{uuid.uuid4().hex}"
+    _named.append(folder)
+    return folder
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the scratch folders this process has named, once the results that read them are used up."""
+    configuration, count = spark._jsc.hadoopConfiguration(), 0
+    while _named:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_named.pop())
+        count += path.getFileSystem(configuration).delete(path, True)
+    return count
 
 
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:

@@ -82,7 +82,8 @@ def observed(stream: DataFrame, name: str = "batch") -> DataFrame:
 
 
 def batch_counts(query: StreamingQuery, name: str = "batch") -> list[tuple[int, int]]:
-    """(batch id, records) of the batches the query remembers."""
+    """(batch id, records) of the batches the query remembers: the latest
+    spark.sql.streaming.numRecentProgressUpdates ones."""
     return [
         (p.batchId, p.observedMetrics[name]["records"]) for p in query.recentProgress if name in p.observedMetrics
     ]

@@ -16,8 +16,12 @@ _RECORD = T.StructType([
 ])
 
 
-def _events(spark, sf_dir):
-    return read_arrivals(spark, f"{sf_dir}/events*.parquet", _EVENTS, "parquet")
+# Files per micro-batch: bounds what one batch shuffles, however long the backlog.
+_FILES = 1000
+
+
+def _events(spark, sf_dir, files_per_batch: int | None = _FILES):
+    return read_arrivals(spark, f"{sf_dir}/events*.parquet", _EVENTS, "parquet", files_per_batch)
 
 
 def _messages(spark, sf_dir):
@@ -103,7 +107,7 @@ def stream_forward(spark, sf_dir):
 def stream_batch_counts(spark, sf_dir):
     """Records the stream saw, by its own count, beside the rows it wrote."""
     folder = new_folder(spark, "counts")
-    stream = landing.observed(_events(spark, sf_dir).select("event_id"))
+    stream = landing.observed(_events(spark, sf_dir, None).select("event_id"))
     query = landing.write_batches(stream, f"{folder}/state", landing.to_folder(f"{folder}/data"))
     query.awaitTermination()
     seen = sum(n for _, n in landing.batch_counts(query))

@@ -9,7 +9,7 @@ from ..operators import columns, files
 from ..plans import trips
 from ..schemas import TRIP_WAREHOUSE
 from ..session import new_folder
-from ..sinks.files import write_by_time, write_stage
+from ..sinks.files import write_by_time, write_split, write_stage
 from ..sources.files import read_directory, read_merged, read_partitions, read_split
 from .tables import table
 
@@ -49,7 +49,7 @@ def _raw_trips(spark, sf_dir) -> str:
         raw = lines.select(
             *[F.expr(e).alias(c) for c, e in {**_COMMON, **own}.items()],
             F.concat(F.lit(f"{colour}_tripdata_"), "l_returnflag", F.lit(".parquet")).alias("file"))
-        raw.write.mode("append").partitionBy("file").parquet(folder)
+        write_split(raw, folder, ["file"], mode="append")
     return folder
 
 

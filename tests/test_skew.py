@@ -103,3 +103,9 @@ def test_fixed_dimensions(spark):
     assert sales.channels(spark).count() == 3
     assert [str(r.commission_pct) for r in sales.resellers(spark).orderBy("reseller_id").collect()] == [
         "0.1500", "0.1700", "0.1400", "0.1600"]
+
+
+def test_release_deletes_only_named_folders(spark, tmp_path):
+    kept = session.settle(spark.range(3), "kept")
+    assert kept.count() == 3 and session.release(spark) >= 1
+    assert session.release(spark) == 0 and tmp_path.exists()

@@ -113,6 +113,19 @@ def test_new_rows(spark):
         incremental.new_rows(source, target, "ts", late="maybe")
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date", "string"])
+def test_mark_in_another_zone(spark, kind):
+    texts = [f"2024-03-{d:02d}" for d in range(1, 21)]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        source = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr(f"CAST(t AS {kind}) AS ts")
+        target = source.limit(0).union(source.filter(f"ts <= CAST('2024-03-10' AS {kind})"))
+        assert incremental.new_rows(source, target, "ts").count() == 10
+        assert incremental.new_rows(source, target, "ts", late="include_ties").count() == 11
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_slices_equal_full_load(spark):
     source = spark.range(100).withColumnRenamed("id", "ts")
     target = None
