@@ -3,10 +3,9 @@
 Shared rules: keys compare with plain `=`, so a row with a NULL key never matches and is always
 inserted; a key that occurs twice in the change set is an error unless the caller says which row wins.
 
-The work is split so that no key fills a task. Duplicate keys of the change set collapse in an
-aggregate before the shuffle. Target rows are the left side of a left join, which Spark can broadcast
-past when the change set is small and split when a target key is hot. Rows with NULL keys take no part
-in any join.
+The work is split so that no key fills a task. Target rows are the left side of a left join: a small
+change set is broadcast to them, and beyond that Spark may split a hot target key. Rows with NULL keys
+take no part in any join.
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import change_default
 from ..functions.times import moment
+from ..session import settle
 
 FLAG = "RECORD_STATUS"
 # Audit columns per style: set on insert, and set on update.
@@ -33,20 +33,27 @@ def _keys_present(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
+class RepeatedKey(ValueError):
+    """A change set has more than one row for a key."""
+
+
 def one_row_per_key(source: DataFrame, keys: list[str], latest_by: str | None = None) -> DataFrame:
     """Rows of the change set with complete keys, one per key.
 
-    Without `latest_by`, a repeated key raises when the job runs; with it, the row with the largest
-    value wins. Either way copies collapse before the shuffle, on the partitioning the join needs.
+    With `latest_by`, the row with the largest value wins; copies of a key collapse before the shuffle.
+    Without it, the key columns alone are read and counted at once, and a repeated key raises: the merge
+    itself then needs no grouping.
     """
-    whole = F.struct(*source.columns)
-    pick = F.max_by(whole, F.col(latest_by)) if latest_by else F.first(whole)
-    grouped = source.filter(_keys_present(keys)).groupBy(*keys).agg(pick.alias("_row"), F.count("*").alias("_n"))
-    if not latest_by:
-        message = F.concat(F.lit("more than one source row for key "), F.to_json(F.struct(*keys)))
-        checked = F.when(F.col("_n") == 1, F.col("_row")).otherwise(F.raise_error(message))
-        grouped = grouped.withColumn("_row", checked)
-    return grouped.select(*keys, *[F.col("_row")[c].alias(c) for c in source.columns if c not in keys])
+    complete = source.filter(_keys_present(keys))
+    if latest_by:
+        whole = F.max_by(F.struct(*source.columns), F.col(latest_by)).alias("_row")
+        latest = complete.groupBy(*keys).agg(whole)
+        return latest.select(*keys, *[F.col("_row")[c].alias(c) for c in source.columns if c not in keys])
+    repeated = complete.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1).select(*keys)
+    example = repeated.head()
+    if example:
+        raise RepeatedKey(f"more than one source row for key {example.asDict()}")
+    return complete
 
 
 def detect_changes(staging: DataFrame, target: DataFrame, key: str, ignore: tuple[str, ...] = ()) -> DataFrame:
@@ -143,8 +150,12 @@ def apply_flagged(target: DataFrame, changes: DataFrame, keys: list[str], keep:
 
 def upsert(target: DataFrame, staging: DataFrame, key: str, at: datetime | None = None,
            ignore: tuple[str, ...] = ()) -> DataFrame:
-    """Detect changes against the target and apply them; ignored columns keep their target value."""
-    changes = detect_changes(staging, target, key, ignore)
+    """Detect changes against the target and apply them; ignored columns keep their target value.
+
+    The change set is written once: applying it reads it several times, and its real size then decides
+    whether the target has to be shuffled.
+    """
+    changes = settle(detect_changes(staging, target, key, ignore), "changes")
     if at is not None and "LAST_UPDATED_DT" in target.columns:
         changes = changes.withColumn("LAST_UPDATED_DT", moment(at))
     return apply_flagged(target, changes, [key], ignore)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.times import moment
 from ..operators import incremental, quality, upsert
+from ..session import settle
 from .tables import table
 
 AT = datetime(2024, 5, 1, 12, 0, 0)
@@ -107,7 +108,7 @@ def insert_if_absent(spark, sf_dir):
 
 def apply_flagged(spark, sf_dir):
     target = _target(spark, sf_dir)
-    changes = upsert.detect_changes(_staging(spark, sf_dir), target, "o_orderkey")
+    changes = settle(upsert.detect_changes(_staging(spark, sf_dir), target, "o_orderkey"), "changes")
     return upsert.apply_flagged(target, changes, ["o_orderkey"])
 
 

@@ -5,7 +5,6 @@ from datetime import datetime
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.errors import PySparkException
 
 from millrace.operators import incremental, upsert
 
@@ -56,8 +55,8 @@ def test_merge_takes_created_at_from_source(spark):
 def test_duplicate_source_key(spark):
     target = spark.createDataFrame([(1, "a")], KV)
     twice = spark.createDataFrame([(1, "x", 1), (1, "y", 2)], "k int, v string, at int")
-    with pytest.raises(PySparkException, match="more than one source row"):
-        upsert.merge(target, twice.drop("at"), ["k"]).collect()
+    with pytest.raises(upsert.RepeatedKey, match="more than one source row"):
+        upsert.merge(target, twice.drop("at"), ["k"])
     assert rows(upsert.merge(target, twice, ["k"], latest_by="at")) == [(1, "y")]
 
 
