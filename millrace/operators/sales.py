@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.times import file_date
 from ..schemas import (
@@ -13,13 +14,19 @@ from ..session import settle
 from .sequence import sequence_within
 
 
+def _fixed_rows(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A small dimension as literals of the plan."""
+    literals = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields, strict=True)])
+                for row in rows]
+    return spark.range(1).select(F.inline(F.array(*literals)))
+
+
 def channels(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CHANNEL_ROWS, CHANNELS)
+    return _fixed_rows(spark, CHANNEL_ROWS, CHANNELS)
 
 
 def resellers(spark: SparkSession) -> DataFrame:
-    rows = spark.createDataFrame(RESELLER_ROWS, "reseller_id int, reseller_name string, commission_pct string")
-    return rows.select(*[F.col(f.name).cast(f.dataType) for f in RESELLERS.fields])
+    return _fixed_rows(spark, RESELLER_ROWS, RESELLERS)
 
 
 def calendar(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:

@@ -22,6 +22,8 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+        # Recording the Python call site of every column expression costs more than planning it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
