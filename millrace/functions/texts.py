@@ -53,6 +53,17 @@ def address_block(c: Column) -> Column:
     )
 
 
+def attribute(markup: Column, name: str) -> Column:
+    """Value of the first attribute of that name; NULL when there is none."""
+    return F.nullif(F.regexp_extract(markup, rf'\b{name}="([^"]*)"', 1), F.lit(""))
+
+
+def attribute_coordinates(markup: Column, lat: str = "data-lat", long: str = "data-lng") -> Column:
+    """struct(lat, long) from two attributes."""
+    return F.struct(
+        attribute(markup, lat).try_cast("double").alias("lat"), attribute(markup, long).try_cast("double").alias("long"))
+
+
 def path_segment(link: Column, from_end: int) -> Column:
     """Segment of a '/'-separated link counted from its end (1 is the last); NULL when too short."""
     return F.try_element_at(F.split(link, "/"), F.lit(-from_end))

@@ -21,6 +21,16 @@ def stores(df: DataFrame, key: str, arrival: list[str], block: str, link: str) -
         at["lat"].alias("latitude"), at["long"].alias("longitude"))
 
 
+def store_cards(df: DataFrame, key: str, arrival: list[str], block: str, link: str, mark: str = "=") -> DataFrame:
+    """Like `stores` for cards whose first two lines are name and address and whose link ends in the
+    coordinates after the last `mark`."""
+    first = first_by_key(df, [key], arrival)
+    lines, at = F.split(F.col(block), "\n"), texts.trailing_coordinates(F.col(link), mark)
+    return first.select(
+        key, F.get(lines, F.lit(0)).alias("name"), F.get(lines, F.lit(1)).alias("address"),
+        at["lat"].alias("latitude"), at["long"].alias("longitude"))
+
+
 # Tag patterns. A section is the inner text of one element; DOTALL lets it span lines.
 def element(html: Column, tag: str) -> Column:
     """Inner markup of the first element of that tag; NULL when there is none."""

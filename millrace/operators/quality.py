@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NOT_NULL = "expect_column_values_to_not_be_null"
@@ -54,6 +54,11 @@ def check_table(df: DataFrame, checks: list[RowCheck], unique_columns: tuple[str
     return result
 
 
+def read_suite(spark: SparkSession, path: str) -> str:
+    """Text of a suite file, from any file system Spark reads."""
+    return spark.read.text(path, wholetext=True).first()["value"]
+
+
 def load_suite(text: str) -> list[str]:
     """Columns a JSON expectation suite wants to be free of NULLs; other expectations are an error."""
     suite = json.loads(text)

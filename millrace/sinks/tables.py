@@ -32,6 +32,11 @@ def create_statement(schema_name: str, table: str, schema: T.StructType) -> str:
     return f'CREATE TABLE "{schema_name}"."{table.upper()}" ({columns})'
 
 
+def created_types(schema: T.StructType) -> dict[str, str]:
+    """Writer option that gives the columns of a table made by the JDBC sink the same types."""
+    return {"createTableColumnTypes": ", ".join(f"`{f.name}` {column_type(f.dataType)}" for f in schema.fields)}
+
+
 def create_if_missing(spark: SparkSession, table: str, schema: T.StructType, folder: str) -> bool:
     """External Parquet table with the declared schema; True when it had to be created."""
     if spark.catalog.tableExists(table):

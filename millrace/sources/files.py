@@ -7,15 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def file_name(extension: str = "parquet") -> Column:
-    """Name of the file, or of the dataset folder named like a file, that a row was read from."""
-    return F.regexp_extract(F.col("_metadata.file_path"), rf"([^/]+\.{extension})(/[^/]*)*$", 1)
+def file_name(path: Column, extension: str = "parquet") -> Column:
+    """Name of the file, or of the dataset folder named like a file, in a path."""
+    return F.regexp_extract(path, rf"([^/]+\.{extension})(/[^/]*)*$", 1)
 
 
 def read_directory(spark: SparkSession, folder: str, prefix: str = "", extension: str = "parquet") -> DataFrame:
-    """Every file of a folder whose name has the prefix and extension, with its name in `file`."""
-    df = spark.read.parquet(f"{folder}/{prefix}*.{extension}")
-    return df.withColumn("file", file_name(extension))
+    """Every file of a folder whose name has the prefix and extension, with its path in `path`."""
+    return spark.read.parquet(f"{folder}/{prefix}*.{extension}").select("*", F.col("_metadata.file_path").alias("path"))
+
+
+def rows_per_file(df: DataFrame, extension: str = "parquet") -> DataFrame:
+    """Rows of each file. Paths are counted first, so names are made once per path and not per row."""
+    paths = df.groupBy("path").agg(F.count("*").alias("n"))
+    return paths.groupBy(file_name(F.col("path"), extension).alias("file")).agg(F.sum("n").alias("rows"))
 
 
 def read_split(spark: SparkSession, folder: str, column: str, prefix: str = "", **options: str) -> DataFrame:

@@ -42,17 +42,19 @@ def record_text(spark, sf_dir):
 
 
 def extract_coordinates(spark, sf_dir):
-    """Coordinates from marker links, from the end of query links and from the end of path links."""
+    """Coordinates from marker links, from the ends of query and path links, and from attributes."""
     pages = table(spark, sf_dir, "pages")
     lat, long = (F.col("page_id") % 90).cast("string"), (-(F.col("page_id") % 180)).cast("string")
     marker = F.when(F.length("html") % 2 == 0, F.concat(F.lit("https://maps.example/?z=3&ll="), lat, F.lit(".5,"), long))
     pair = F.concat(lat, F.lit(".25,"), long, F.lit(".5"))
+    marked = F.concat(F.lit('<li data-lat="'), lat, F.lit('" data-lng="'), long, F.lit('">'), "html")
     links = pages.select(
-        "page_id", F.coalesce(marker, "url").alias("marker"), F.concat("url", F.lit("&q="), pair).alias("query"),
+        "page_id", marked.alias("item"), F.coalesce(marker, "url").alias("marker"), F.concat("url", F.lit("&q="), pair).alias("query"),
         F.concat("url", F.lit("/"), pair).alias("path"))
     found = {"marker": texts.marker_coordinates(F.col("marker")),
              "query": texts.trailing_coordinates(F.col("query"), "="),
-             "path": texts.trailing_coordinates(F.col("path"), "/")}
+             "path": texts.trailing_coordinates(F.col("path"), "/"),
+             "item": texts.attribute_coordinates(F.col("item"))}
     return links.select("page_id", *[at[c].alias(f"{n}_{c}") for n, at in found.items() for c in ("lat", "long")])
 
 
@@ -82,6 +84,15 @@ def store_rows(spark, sf_dir):
     return extract.stores(pages, "host", ["page_id"], "block", "link").drop("map_url")
 
 
+def store_cards(spark, sf_dir):
+    """One card per host: its first two link texts, and coordinates at the end of its link."""
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host"),
+        F.array_join(extract.elements(F.col("html"), "a"), "\n").alias("block"),
+        F.concat("url", F.lit("?at="), F.col("page_id").cast("string"), F.lit(",7.5")).alias("link"))
+    return extract.store_cards(pages, "host", ["page_id"], "block", "link")
+
+
 def page_sections(spark, sf_dir):
     """Postings from whole pages: sections by element, list sections joined, missing sections ''."""
     html = F.col("html")
@@ -172,7 +183,7 @@ def sanctions_union(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     local_time_shift, title_case, path_parts, record_text, extract_coordinates, extract_address, extract_slug,
-    first_integer, store_rows, page_sections, page_output, sanctions_individuals, sanctions_entities, sanctions_union,
+    first_integer, store_rows, store_cards, page_sections, page_output, sanctions_individuals, sanctions_entities, sanctions_union,
 )}
 
 _LINKS = r"regexp_extract_all(html, '(?s)<a\b[^>]*>(.*?)</a>', 1)"
@@ -209,8 +220,8 @@ ORACLES = {
         CASE WHEN length(html) % 2 = 0 THEN page_id % 90 + 0.5e0 END AS marker_lat,
         CASE WHEN length(html) % 2 = 0 THEN CAST(-(page_id % 180) AS DOUBLE) END AS marker_long,
         CAST((page_id % 90) || '.25' AS DOUBLE) AS query_lat, CAST(-(page_id % 180) || '.5' AS DOUBLE) AS query_long,
-        CAST((page_id % 90) || '.25' AS DOUBLE) AS path_lat, CAST(-(page_id % 180) || '.5' AS DOUBLE) AS path_long
-        FROM pages""",
+        CAST((page_id % 90) || '.25' AS DOUBLE) AS path_lat, CAST(-(page_id % 180) || '.5' AS DOUBLE) AS path_long,
+        CAST(page_id % 90 AS DOUBLE) AS item_lat, CAST(-(page_id % 180) AS DOUBLE) AS item_long FROM pages""",
     "extract_address": f"""SELECT page_id, CASE WHEN len(l) >= 2 THEN l[len(l) - 1] END AS province,
         array_to_string(l[:len(l) - 1], ', ') AS address
         FROM (SELECT page_id, string_split(array_to_string({_LINKS}, chr(10)), chr(10)) AS l FROM pages)""",
@@ -223,6 +234,11 @@ ORACLES = {
         SELECT host, CASE WHEN len(l) >= 2 THEN l[len(l) - 1] END AS province,
         array_to_string(l[:len(l) - 1], ', ') AS address, CAST(1.5 AS DOUBLE) AS latitude,
         CAST(page_id AS DOUBLE) AS longitude FROM r WHERE n = 1""",
+    "store_cards": f"""WITH p AS (SELECT page_id, regexp_extract(url, '^https?://([^/]+)', 1) AS host,
+            string_split(array_to_string({_LINKS}, chr(10)), chr(10)) AS l FROM pages),
+        r AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY page_id) AS n FROM p)
+        SELECT host, l[1] AS name, l[2] AS address, CAST(page_id AS DOUBLE) AS latitude,
+        CAST(7.5 AS DOUBLE) AS longitude FROM r WHERE n = 1""",
     "page_sections": f"""SELECT page_id, {_element("h1")} AS job_title, '' AS company_name, url AS job_url,
         {_element("article")} AS job_description, array_to_string({_elements("p")}, ', ') AS candidate_requirements,
         array_to_string([regexp_replace(x, '<[^>]*>', '', 'g') FOR x IN {_elements("li")}], ', ') AS benefits,

@@ -10,7 +10,7 @@ from ..plans import trips
 from ..schemas import TRIP_WAREHOUSE
 from ..session import new_folder
 from ..sinks.files import write_by_time, write_split, write_stage
-from ..sources.files import read_directory, read_merged, read_partitions, read_split
+from ..sources.files import read_directory, read_merged, read_partitions, read_split, rows_per_file
 from .tables import table
 
 _COMMON = {
@@ -69,9 +69,8 @@ def trip_rows_per_file(spark, sf_dir):
 
 
 def named_file_scan(spark, sf_dir):
-    """Rows of the given files whose name starts with 'line', with their file name."""
-    lines = read_directory(spark, sf_dir, "line")
-    return lines.groupBy("file").agg(F.count("*").alias("rows"), F.max("l_orderkey").alias("last_order"))
+    """Rows of the given files whose name starts with 'line', by file name."""
+    return rows_per_file(read_directory(spark, sf_dir, "line"))
 
 
 def schema_merge_scan(spark, sf_dir):
@@ -163,8 +162,7 @@ ORACLES = {
     "trip_rows_per_file": f"""SELECT content, content || '_tripdata_' || l_returnflag || '.parquet' AS file,
         COUNT(*) AS rows FROM (SELECT *, CASE WHEN l_linestatus = 'O' THEN 'yellow' ELSE 'green' END AS content
         FROM lineitem WHERE {_COMPLETE}) GROUP BY content, l_returnflag""",
-    "named_file_scan": """SELECT 'lineitem.parquet' AS file, COUNT(*) AS rows, MAX(l_orderkey) AS last_order
-        FROM lineitem""",
+    "named_file_scan": """SELECT 'lineitem.parquet' AS file, COUNT(*) AS rows FROM lineitem""",
     "schema_merge_scan": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
         CASE WHEN l_linestatus <> 'O' THEN l_returnflag END AS l_returnflag,
         CASE WHEN l_linestatus = 'O' THEN 1 ELSE 2 END AS delivery FROM lineitem""",

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace import session
 from millrace.operators import aggregates, columns, quality
 from millrace.operators.versioned import VersionedTable
 from millrace.plans import marts, models, trips
@@ -68,11 +69,13 @@ def test_checks_ignore_nulls(spark):
     assert quality.gate(quality.row_checks(df, [quality.accepted_values("g", ["M", "F", "X"])])).count() == 1
 
 
-def test_suite(spark):
+def test_suite(spark, tmp_path):
     suite = json.dumps({"expectations": [{"expectation_type": quality.NOT_NULL, "kwargs": {"column": "vendorid"}}]})
     df = spark.createDataFrame([(1,), (None,), (2,), (3,)], "vendorid int")
     assert rows(quality.run_suite(df, suite)) == [(quality.NOT_NULL, "vendorid", 4, 1, 25.0, False)]
     assert rows(quality.run_suite(df.limit(0), suite)) == [(quality.NOT_NULL, "vendorid", 0, 0, 0.0, True)]
+    (tmp_path / "suite.json").write_text(suite)
+    assert quality.read_suite(spark, str(tmp_path / "suite.json")) == suite
     with pytest.raises(ValueError, match="unknown expectation"):
         quality.run_suite(df, suite.replace("not_be_null", "be_null"))
 
@@ -87,6 +90,11 @@ def test_ddl():
         'CREATE TABLE "DW"."T" ("A" INTEGER, "B" DOUBLE, "C" TINYINT, "D" TIMESTAMP, "E" VARCHAR(255))')
 
 
+def test_created_column_types():
+    schema = T.StructType([T.StructField("a b", T.LongType()), T.StructField("c", T.StringType())])
+    assert tables.created_types(schema) == {"createTableColumnTypes": "`a b` INTEGER, `c` VARCHAR(255)"}
+
+
 def test_jdbc_options():
     assert jdbc.query_options("u", "select 1") == {"url": "u", "query": "select 1"}
     assert jdbc.split_options("u", "t", "id", 0, 10, 4)["numPartitions"] == "4"
@@ -165,7 +173,7 @@ def test_directory_scans(spark, tmp_path):
         pd.DataFrame({"v": range(n)}).to_parquet(tmp_path / f"{name}.parquet")
     (tmp_path / "notes.txt").write_text("x")
     every = files.read_directory(spark, str(tmp_path))
-    assert rows(every.groupBy("file").count()) == [
+    assert rows(files.rows_per_file(every)) == [
         ("green_tripdata_2021-01.parquet", 4), ("yellow_tripdata_2021-01.parquet", 2), ("yellow_tripdata_2021-02.parquet", 3)]
     assert files.read_directory(spark, str(tmp_path), "yellow").count() == 5
     listed = files.list_objects(spark, str(tmp_path), "txt").collect()
@@ -175,7 +183,7 @@ def test_directory_scans(spark, tmp_path):
 
 def test_dataset_folders_count_as_files(spark, tmp_path):
     spark.range(5).write.parquet(str(tmp_path / "lines.parquet"))
-    assert rows(files.read_directory(spark, str(tmp_path), "lines").groupBy("file").count()) == [("lines.parquet", 5)]
+    assert rows(files.rows_per_file(files.read_directory(spark, str(tmp_path), "lines"))) == [("lines.parquet", 5)]
 
 
 def test_payload_and_elements(spark, tmp_path):
@@ -198,6 +206,22 @@ def test_sources(spark):
     assert not catalog.table_exists(spark, "no_such_table")
 
 
+class Cluster:
+    """Stands in for a session on a cluster."""
+
+    def __init__(self, folder):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = type("Context", (), {"master": "yarn"})
+
+
+def test_shared_folder():
+    assert session.shared_folder(Cluster("hdfs://shared/x/")) == "hdfs://shared/x"
+    assert session.new_folder(Cluster("hdfs://shared/x"), "a").startswith("hdfs://shared/x/millrace-a-")
+    session._named.pop()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Cluster(None))
+
+
 # --- versions ---------------------------------------------------------------------------------------
 
 def test_versions(spark, tmp_path):
