@@ -6,10 +6,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampNTZType
 
 from ..functions.times import moment
 from .upsert import merge
+from .versioned import VersionedTable
 
 
 def high_water_mark(target: DataFrame, column: str):
@@ -49,6 +50,14 @@ def load_increment(
 RUNNING, DONE = -1, 1
 
 
+# The control table of package runs.
+RUN_LOG = StructType([
+    StructField("PKG_NAME", StringType()), StructField("STATUS", IntegerType()),
+    StructField("START_DT", TimestampNTZType()), StructField("END_DT", TimestampNTZType()),
+    StructField("LAST_RUN_DT", TimestampNTZType()),
+])
+
+
 def _for_package(log: DataFrame, package: str | None):
     return F.lit(True) if package is None else F.col("PKG_NAME") == package
 
@@ -74,3 +83,20 @@ def finish_run(log: DataFrame, at: datetime, package: str | None = None) -> Data
 
 def last_run(log: DataFrame, package: str) -> DataFrame:
     return log.filter(F.col("PKG_NAME") == package).select("LAST_RUN_DT")
+
+
+class RunLog:
+    """The control table kept as a versioned table: a run that fails half-way keeps its last run date."""
+
+    def __init__(self, table: VersionedTable):
+        self.table = table
+
+    def begin(self, package: str, at: datetime) -> None:
+        self.table.rewrite(lambda log: begin_run(log, at, package))
+
+    def finish(self, package: str, at: datetime) -> None:
+        self.table.rewrite(lambda log: finish_run(log, at, package))
+
+    def last_run(self, package: str) -> datetime | None:
+        row = last_run(self.table.current(), package).first()
+        return row and row["LAST_RUN_DT"]

@@ -60,7 +60,7 @@ def detect_changes(staging: DataFrame, target: DataFrame, key: str, ignore: tupl
     """Staging rows that are new ('I') or differ from the target ('U'); unchanged rows are left out.
 
     NULL counts as '' in text, date and time columns and as 0 in the others. The key, LAST_UPDATED_DT
-    and ignored columns are not compared.
+    and ignored columns are not compared. The target has one row per key; the staging table need not.
     """
     types = dict(target.dtypes)
     compared = [c for c in target.columns if c != key and c != "LAST_UPDATED_DT" and c not in ignore]

@@ -9,6 +9,7 @@ with; the log maps stored names to the names in force, so renaming rewrites noth
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from datetime import UTC, datetime
 
 from pyspark.errors import AnalysisException
@@ -55,6 +56,11 @@ class VersionedTable:
     def overwrite(self, df: DataFrame, at: datetime | None = None) -> int:
         return self._write(df, "overwrite", at)
 
+    def rewrite(self, change: Callable[[DataFrame], DataFrame], at: datetime | None = None) -> int:
+        """Commit what a change makes of the current rows. It is written beside them, so readers see the
+        old rows until the new ones are complete."""
+        return self.overwrite(change(self.current()), at)
+
     def add_column(self, name: str, data_type: str, at: datetime | None = None) -> int:
         version, columns = self._head()
         if any(name == c[1] for c in columns):

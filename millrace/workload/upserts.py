@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions.times import moment
 from ..operators import incremental, quality, upsert
-from ..session import settle
+from ..operators.versioned import VersionedTable
+from ..session import new_folder, settle
 from .tables import table
 
 AT = datetime(2024, 5, 1, 12, 0, 0)
@@ -101,6 +102,16 @@ def merge_latest(spark, sf_dir):
     return upsert.merge(known, orders, ["o_custkey"], latest_by="stamp")
 
 
+def merge_committed(spark, sf_dir):
+    """A merge committed to a table that is read while it is replaced."""
+    target = _target(spark, sf_dir, ("LAST_UPDATED_DT",))
+    kept = VersionedTable.create(spark, new_folder(spark, "orders"), target.schema, EARLIER)
+    kept.append(target, EARLIER)
+    staging = _staging(spark, sf_dir)
+    kept.rewrite(lambda rows: upsert.merge(rows, staging, ["o_orderkey"], "last_updated", AT), AT)
+    return kept.current()
+
+
 def insert_if_absent(spark, sf_dir):
     target = _target(spark, sf_dir, ("created_at", "updated_at"))
     return upsert.insert_if_absent(target, _staging(spark, sf_dir), ["o_orderkey"], at=AT)
@@ -158,7 +169,7 @@ def dq_suite(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     incremental_new_rows, incremental_include_ties, incremental_append, incremental_merge, upsert_changes,
-    upsert_applied, merge_audited, merge_last_updated, merge_plain, merge_latest, insert_if_absent, apply_flagged,
+    upsert_applied, merge_audited, merge_last_updated, merge_plain, merge_latest, merge_committed, insert_if_absent, apply_flagged,
     tracking_cycle, dq_not_null, dq_unique, dq_accepted_values, dq_suite,
 )}
 
@@ -194,6 +205,7 @@ ORACLES = {
         AS created_at, {AT_SQL} AS updated_at {_LEFT}""",
     "merge_last_updated": f"""{_SIDES} SELECT s.*, {AT_SQL} AS "LAST_UPDATED_DT" FROM staging s""",
     "merge_plain": f"{_SIDES} SELECT * FROM staging",
+    "merge_committed": f"""{_SIDES} SELECT s.*, {AT_SQL} AS "LAST_UPDATED_DT" FROM staging s""",
     "merge_latest": """WITH latest AS (SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER
             (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders)
         SELECT o_custkey, o_orderkey, o_totalprice FROM latest WHERE n = 1 UNION ALL

@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from millrace.operators import incremental, upsert
+from millrace.operators.versioned import VersionedTable
 
 AT, BEFORE = datetime(2024, 5, 1), datetime(2020, 1, 1)
 KV = "k int, v string"
@@ -142,3 +143,13 @@ def test_run_log(spark):
     done = incremental.finish_run(running, later)
     assert rows(done) == [("p", 1, AT, later, AT), ("q", 1, BEFORE, BEFORE, BEFORE)]
     assert done.dtypes == log.dtypes
+
+
+def test_run_log_is_kept(spark, tmp_path):
+    log = incremental.RunLog(VersionedTable.create(spark, str(tmp_path / "log"), incremental.RUN_LOG, BEFORE))
+    log.table.append(spark.createDataFrame([("p", 1, BEFORE, BEFORE, BEFORE)], incremental.RUN_LOG))
+    log.begin("p", AT)
+    assert log.last_run("p") == BEFORE and log.last_run("unknown") is None
+    log.finish("p", datetime(2024, 5, 2))
+    assert log.last_run("p") == AT
+    assert rows(log.table.current()) == [("p", 1, AT, datetime(2024, 5, 2), AT)]
