@@ -29,7 +29,7 @@ def calendar_split(spark, sf_dir):
     found = sales.daily_file_parts(F.col("file"))
     return kept.select(
         "o_orderkey", compact_date(F.col("o_orderdate")).alias("day"), "file",
-        found["day"].alias("file_day"), found["reseller"].alias("file_reseller"))
+        found["day"].cast("string").alias("file_day"), found["reseller"].alias("file_reseller"))
 
 
 def reseller_commission(spark, sf_dir):
@@ -239,7 +239,7 @@ ORACLES = {
         FROM f, t, c""",
     "calendar_split": """SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS day,
         'DailySales_' || strftime(o_orderdate, '%Y%d%m') || '_' || o_custkey || '.csv' AS file,
-        CAST(o_orderdate AS DATE) AS file_day, CAST(o_custkey AS VARCHAR) AS file_reseller FROM orders
+        strftime(o_orderdate, '%Y-%m-%d') AS file_day, CAST(o_custkey AS VARCHAR) AS file_reseller FROM orders
         WHERE o_orderdate >= DATE '1996-01-01' AND o_orderdate < DATE '2001-01-01'""",
     "reseller_commission": """WITH r AS (SELECT * FROM (VALUES (1001, 'Imaginary Street Press Company', 0.15),
             (1002, 'European Example Press Corporation', 0.17), (1003, 'Scandinavian Legendary Printing Company', 0.14),

@@ -4,6 +4,8 @@ import json
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +56,16 @@ def test_shares_and_running_totals(spark):
     assert rows(total.select("day", "hour", "t")) == [("d", "00", 2), ("d", "01", 7), ("e", "00", 1)]
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(counts=st.lists(st.integers(1, 1000), min_size=1, max_size=12))
+def test_shares_add_up_and_totals_end_at_the_sum(spark, counts):
+    df = spark.createDataFrame([("d", f"{i:02d}", n) for i, n in enumerate(counts)], "day string, hour string, n bigint")
+    shares = [r.p for r in aggregates.share_of_total(df, "n", "p").collect()]
+    assert abs(sum(shares) - 100) <= 0.005 * len(counts) + 1e-9
+    total = aggregates.running_total(df, "n", ["day"], ["hour"], "t")
+    assert total.agg(F.max_by("t", "hour")).first()[0] == sum(counts)
+
+
 def test_unique_users_of_nothing(spark):
     assert rows(marts.stg_unique_users(spark.createDataFrame([], "userId int"))) == [(0,)]
 
