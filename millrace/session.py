@@ -32,6 +32,14 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, task_bytes: int = 256 * 1024 ** 2) -> int:
+    """Plan shuffles for an input of that size: enough partitions for tasks of about `task_bytes`, which
+    adaptive execution merges where less data arrives. Returns the number of partitions."""
+    parts = max(spark.sparkContext.defaultParallelism, -(-input_bytes // task_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    return parts
+
+
 @functools.cache
 def _local_folder() -> str:
     return "file://" + tempfile.mkdtemp(prefix="run-", dir="/tmp")

@@ -234,6 +234,16 @@ def test_shared_folder():
         session.shared_folder(Cluster(None))
 
 
+def test_shuffles_follow_the_input(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert session.size_shuffles(spark, 10) == spark.sparkContext.defaultParallelism
+        assert session.size_shuffles(spark, 100 * 1024 ** 4) == 409_600
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "409600"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 # --- versions ---------------------------------------------------------------------------------------
 
 def test_versions(spark, tmp_path):
