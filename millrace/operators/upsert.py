@@ -3,13 +3,14 @@
 Shared rules: keys compare with plain `=`, so a row with a NULL key never matches and is always
 inserted; a key that occurs twice in the change set is an error unless the caller says which row wins.
 
-The work is split so that no key fills a task. Target rows are the left side of a left join: a small
-change set is broadcast to them, and beyond that Spark may split a hot target key. Rows with NULL keys
-take no part in any join.
+The work is split so that no key fills a task. Target rows are the left side of a left join: a change set
+of few counted rows is broadcast to them, and beyond that Spark may split a hot target key. Rows with NULL
+keys take no part in any join.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
@@ -18,9 +19,11 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import change_default
 from ..functions.times import moment
-from ..session import settle
+from ..session import BROADCAST_ROWS, settle
 
 FLAG = "RECORD_STATUS"
+# Whole rows are wider than keys, so fewer of them may be broadcast.
+BROADCAST_WIDE_ROWS = BROADCAST_ROWS // 10
 # Audit columns per style: set on insert, and set on update.
 AUDIT_STYLES = {
     "created_updated": (["created_at", "updated_at"], ["updated_at"]),
@@ -37,23 +40,37 @@ class RepeatedKey(ValueError):
     """A change set has more than one row for a key."""
 
 
-def one_row_per_key(source: DataFrame, keys: list[str], latest_by: str | None = None) -> DataFrame:
-    """Rows of the change set with complete keys, one per key.
+@dataclass(frozen=True)
+class ChangeSet:
+    """Rows with complete keys, one per key, and how many there are."""
 
-    With `latest_by`, the row with the largest value wins; copies of a key collapse before the shuffle.
-    Without it, the key columns alone are read and counted at once, and a repeated key raises: the merge
-    itself then needs no grouping.
+    rows: DataFrame
+    size: int
+
+    def beside_target(self, df: DataFrame, limit: int) -> DataFrame:
+        """`df`, made of these rows, as a join side: broadcast up to a limit of rows that were counted,
+        and sorted and merged beyond it, whatever the size of its files suggests."""
+        return F.broadcast(df) if self.size <= limit else df.hint("merge")
+
+
+def one_row_per_key(source: DataFrame, keys: list[str], latest_by: str | None = None) -> ChangeSet:
+    """The change set with one row per key.
+
+    The key columns alone are read and counted at once. A repeated key raises, unless `latest_by` is given:
+    then the row with the largest value wins, and copies of a key collapse before the shuffle.
     """
     complete = source.filter(_keys_present(keys))
+    per_key = complete.groupBy(*keys).agg(F.count("*").alias("_n"))
+    found = per_key.agg(
+        F.count("*").alias("keys"), F.max("_n").alias("most"), F.max_by(F.struct(*keys), "_n").alias("key")).first()
     if latest_by:
         whole = F.max_by(F.struct(*source.columns), F.col(latest_by)).alias("_row")
         latest = complete.groupBy(*keys).agg(whole)
-        return latest.select(*keys, *[F.col("_row")[c].alias(c) for c in source.columns if c not in keys])
-    repeated = complete.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1).select(*keys)
-    example = repeated.head()
-    if example:
-        raise RepeatedKey(f"more than one source row for key {example.asDict()}")
-    return complete
+        rows = latest.select(*keys, *[F.col("_row")[c].alias(c) for c in source.columns if c not in keys])
+        return ChangeSet(rows, found["keys"])
+    if found["keys"] and found["most"] > 1:
+        raise RepeatedKey(f"more than one source row for key {found['key'].asDict()}")
+    return ChangeSet(complete, found["keys"])
 
 
 def detect_changes(staging: DataFrame, target: DataFrame, key: str, ignore: tuple[str, ...] = ()) -> DataFrame:
@@ -76,13 +93,15 @@ def detect_changes(staging: DataFrame, target: DataFrame, key: str, ignore: tupl
     return changed.unionByName(staging.filter(F.col(key).isNull()).withColumn(FLAG, F.lit("I")))
 
 
-def _update(target: DataFrame, source: DataFrame, keys: list[str], stamps: dict[str, Column],
+def _update(target: DataFrame, changes: ChangeSet, keys: list[str], stamps: dict[str, Column],
             keep: tuple[str, ...] = ()) -> DataFrame:
     """Target rows with the values of their matching source row, if any."""
+    source = changes.rows
     taken = [c for c in source.columns if c not in keys and c not in keep and c in target.columns]
     side = source.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(c).alias(f"_new_{c}") for c in taken])
     on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in keys])
     matched = F.col(f"_k_{keys[0]}").isNotNull()
+    side = changes.beside_target(side, BROADCAST_WIDE_ROWS)
     joined = target.filter(_keys_present(keys)).join(side, on, "left")
     types = dict(target.dtypes)
     columns = []
@@ -96,15 +115,17 @@ def _update(target: DataFrame, source: DataFrame, keys: list[str], stamps: dict[
     return joined.select(*columns).unionByName(target.filter(~_keys_present(keys)))
 
 
-def _absent(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of a one-row-per-key source whose key the target lacks.
+def _absent(changes: ChangeSet, target: DataFrame, keys: list[str]) -> DataFrame:
+    """Source rows whose key the target lacks.
 
-    The target is reduced to the distinct keys it shares with the source. A hot target key collapses
-    before the shuffle; when the source is small enough to broadcast, Catalyst moves the semi join below
-    the distinct and target rows are not shuffled at all.
+    A small source is broadcast: the target is reduced to the keys they share without being shuffled, and
+    the few left decide. Beyond that, target keys collapse before the shuffle, so a hot one stays small.
     """
-    shared = target.select(*keys).distinct().join(source.select(*keys), keys, "left_semi")
-    return source.join(shared, keys, "left_anti")
+    source = changes.rows
+    if changes.size <= BROADCAST_ROWS:
+        shared = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi").distinct()
+        return source.join(F.broadcast(shared), keys, "left_anti")
+    return source.join(target.select(*keys).distinct().hint("merge"), keys, "left_anti")
 
 
 def _insertable(rows: DataFrame, target: DataFrame, stamps: dict[str, Column]) -> DataFrame:

@@ -95,11 +95,17 @@ def test_upsert_is_idempotent(spark, old, new):
     assert rows(once) == sorted(expected.items(), key=repr)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@pytest.mark.parametrize("limit", [1000, 0])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(old=pairs, new=pairs)
-def test_merge_equals_dictionary_update(spark, old, new):
-    merged = upsert.merge(spark.createDataFrame(list(old.items()), KV), spark.createDataFrame(list(new.items()), KV), ["k"])
-    assert rows(merged) == sorted({**old, **new}.items(), key=repr)
+def test_merge_equals_dictionary_update(spark, limit, old, new):
+    target, source = spark.createDataFrame(list(old.items()), KV), spark.createDataFrame(list(new.items()), KV)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(upsert, "BROADCAST_ROWS", limit)
+        patch.setattr(upsert, "BROADCAST_WIDE_ROWS", limit)
+        merged = upsert.merge(target, source, ["k"])
+        assert rows(merged) == sorted({**old, **new}.items(), key=repr)
+        assert ("SortMergeJoin" in merged._jdf.queryExecution().toString()) == (limit < len(new))
 
 
 def test_new_rows(spark):
