@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.chat import format_chats
 from millrace.llm.exact_dedup import exact_duplicates
 from millrace.llm.near_dedup import near_duplicates
+from millrace.llm.url_filter import DAMPING, MARGIN, ROUNDS, SHARE, judge_urls
+
+# Fixed rules of the query, longest first.
+URL_RULES = {
+    "www.example.com/en/": "allow", "example.com/en/": "block", "net/es/": "block", "net/fr/": "block", "com/": "allow"}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,11 +22,63 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES).drop("trust", "distrust")
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(_table(spark, sf_dir, "conversations"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op7_exact_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_minhash_near_dedup, op5_url_filter, op6_chat_format, op7_exact_dedup)}
+
+
+def _url_sql() -> str:
+    """The verdicts, with one pair of subqueries per round of propagation."""
+    fits = " ".join(
+        f"WHEN (host = '{h}' OR host LIKE '%.{h}') AND path LIKE '/{p}%' THEN '{h}/{p}'"
+        for h, _, p in (r.partition("/") for r in sorted(URL_RULES, key=len, reverse=True)))
+    ruled = " ".join(f"WHEN '{r}' THEN '{v}'" for r, v in URL_RULES.items())
+    rounds = "".join(f"""
+s{k} AS (
+  SELECT host, sum(t) AS t, sum(b) AS b FROM (
+    SELECT host, t, b FROM s0 UNION ALL
+    SELECT e.dst, s.t * e.w / e.o * {DAMPING}, 0.0 FROM e JOIN s{k - 1} s ON s.host = e.src UNION ALL
+    SELECT e.src, 0.0, s.b * e.w / e.i * {DAMPING} FROM e JOIN s{k - 1} s ON s.host = e.dst) GROUP BY host),"""
+                     for k in range(1, ROUNDS + 1))
+    return rf"""
+WITH u AS (
+  SELECT page_id, html, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+  FROM pages),
+v AS (
+  SELECT page_id, html, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+p AS (SELECT page_id, html, host, path, CASE {fits} END AS rule FROM v),
+q AS (SELECT page_id, html, host, path, rule, CASE rule {ruled} END AS ruled FROM p),
+s0 AS (
+  SELECT host, count(*) FILTER (ruled = 'allow') * (1 - {DAMPING}) AS t, count(*) FILTER (ruled = 'block') * (1 - {DAMPING}) AS b
+  FROM q WHERE host <> '' AND ruled IS NOT NULL GROUP BY host),
+a AS (
+  SELECT DISTINCT page_id, host AS src, translate(unnest(regexp_extract_all(html,
+      '(?i)\shref\s*=\s*["'']?\s*(?:https?:)?//([^/?#"''\s<>]+)', 1)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz') AS dst FROM q WHERE host <> ''),
+h AS (SELECT DISTINCT host FROM q WHERE host <> ''),
+c AS (SELECT x.host AS child, y.host FROM h x JOIN h y ON y.host = regexp_extract(x.host, '^[^.]+\.(.+)$', 1)),
+l AS (
+  SELECT src, dst, 1 AS w FROM a WHERE src <> dst AND dst <> '' UNION ALL SELECT child, host, 1 FROM c
+  UNION ALL SELECT host, child, 1 FROM c),
+g AS (SELECT src, dst, sum(w) AS w FROM l GROUP BY src, dst),
+e AS (SELECT src, dst, w, sum(w) OVER (PARTITION BY src) AS o, sum(w) OVER (PARTITION BY dst) AS i FROM g),{rounds}
+z AS (SELECT * FROM s{ROUNDS})
+SELECT q.page_id, q.host, q.path, q.rule, coalesce(q.ruled,
+  CASE WHEN coalesce(z.b, 0) > (coalesce(z.t, 0) + coalesce(z.b, 0)) * ({SHARE} + {MARGIN}) THEN 'block' ELSE 'allow' END) AS verdict
+FROM q LEFT JOIN z ON z.host = q.host"""
+
 
 ORACLES = {
     "op1_minhash_near_dedup": r"""
@@ -48,6 +106,21 @@ r AS (
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
 JOIN (SELECT d, min(c) AS c FROM r GROUP BY d) m ON m.d = d.doc_id""",
+    "op5_url_filter": _url_sql(),
+    "op6_chat_format": r"""
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+s AS (
+  SELECT conv_id, count(*) AS n, list(coalesce(role, chr(1)) || chr(2) || coalesce(text, chr(1)) ORDER BY turn, role, text) AS ts
+  FROM t GROUP BY conv_id),
+u AS (SELECT ts, n, min(conv_id) AS conv_id, count(*) AS copies FROM s GROUP BY ts, n),
+k AS (
+  SELECT conv_id, copies FROM u
+  WHERE NOT EXISTS (SELECT 1 FROM u b WHERE b.n > u.n AND b.ts[1] = u.ts[1] AND list_slice(b.ts, 1, u.n) = u.ts))
+SELECT k.conv_id, row_number() OVER (PARTITION BY k.conv_id ORDER BY t.turn // 256) - 1 AS part, count(*) AS n_turns, k.copies,
+  string_agg('<|im_start|>' || coalesce(t.role, 'user') || chr(10) || replace(coalesce(t.text, ''), '<|', '< |')
+    || '<|im_end|>' || chr(10), '' ORDER BY t.turn, t.role, t.text) AS text
+FROM k JOIN t ON t.conv_id = k.conv_id GROUP BY k.conv_id, k.copies, t.turn // 256""",
     "op7_exact_dedup": r"""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body
