@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import textblocks as tb
@@ -16,8 +16,11 @@ from millrace.llm.rows import only_rows, row_key
 from millrace.session import settle
 
 BANDS, ROWS = 32, 4
-# Members of a bucket beyond which its pairs must also share a second bucket before they are compared.
-CROWD = 64
+# Members of a bucket, still in different components, up to which all its pairs are candidates. Beyond it
+# candidates come from an exact prefix filter.
+CROWD = 32
+# Standard deviations by which the share of equal signature bytes may fall short before a pair is ruled out.
+SLACK = 6.0
 # Ids are broadcast to a scan up to this number; beyond it the scan is shuffled.
 BROADCAST_IDS = 1_000_000
 
@@ -76,13 +79,16 @@ def _describe(batches: Iterator[pa.RecordBatch], shingle: int, bands: int, rows:
         for first, end, data, offsets in tb.blocks(batch.column(1)):
             sets = tb.shingle_sets(data, offsets, shingle)
             full = [s for s in sets if len(s)]
-            keys = band_keys(signatures(full, bands * rows), bands, rows)
+            signature = signatures(full, bands * rows)
+            keys = band_keys(signature, bands, rows)
+            sketches = iter([row.tobytes() for row in signature.astype(np.uint8)])
             ends = np.cumsum([0, *(bands if len(s) else 0 for s in sets)])
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(first, end - first), batch.column(2).slice(first, end - first),
                 pa.array(_digest(sets), pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
-                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.ravel(), pa.int64()))],
-                ["id", "row_key", "node", "n", "bands"])
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.ravel(), pa.int64())),
+                pa.array([next(sketches) if len(s) else None for s in sets], pa.binary())],
+                ["id", "row_key", "node", "n", "bands", "sketch"])
 
 
 def _named(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
@@ -104,21 +110,52 @@ def _linked(batches: Iterator[pa.RecordBatch], shingle: int, percent: int) -> It
         yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Those pairs of nodes whose full sets are similar enough, settled.
+def _tokens(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first, end, data, offsets in tb.blocks(batch.column(1), 1 << 18):
+            sets = tb.shingle_sets(data, offsets, shingle)
+            at = np.repeat(np.arange(first, end), [len(s) for s in sets])
+            flat = np.concatenate(sets).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(flat)], ["node", "token"])
 
-    Only texts of nodes in a pair move: one text of each node is picked by its least id and named by its
-    set again, since ids may repeat. Texts and not sets are shuffled, because texts compress.
-    """
-    pairs = settle(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
+
+def _plausible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        one, two = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for k in (2, 3))
+        p, size = percent / 100, one.shape[1]
+        good = (one == two).mean(axis=1) >= p - SLACK * np.sqrt(p * (1 - p) / size)
+        yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+
+def _ruled_in(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose signatures do not rule them out. A linked pair falls SLACK standard deviations short with
+    a probability near 1e-9; this only saves moving the texts of pairs far below the threshold."""
+    one = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"))
+    two = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b"))
+    both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "sketch_a", "sketch_b")
+    return both.mapInArrow(lambda it: _plausible(it, percent), "a binary, b binary")
+
+
+def _texts_of(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """(node, text): one text of each wanted node. Its row is found by the node's least id and named by its
+    set again, since ids may repeat."""
     wanted = settle(nodes.select("node", "least_id").join(wanted, "node", "left_semi"), "wanted")
     ids = wanted.select(F.col("least_id").alias("wanted_id")).distinct()
     if wanted.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     texts = docs.join(ids, docs["id"].eqNullSafe(ids["wanted_id"]), "left_semi").select("text")
     texts = texts.mapInArrow(lambda it: _named(it, shingle), "node binary, text string").where("node IS NOT NULL")
-    texts = texts.dropDuplicates(["node"])
+    return texts.dropDuplicates(["node"])
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Those pairs of nodes whose full sets are similar enough, settled. Texts and not sets are shuffled,
+    because texts compress."""
+    pairs = settle(_ruled_in(pairs, nodes, percent), "pairs")
+    wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = _texts_of(wanted, docs, nodes, shingle)
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
@@ -158,6 +195,24 @@ def _pairs_across(members: DataFrame) -> DataFrame:
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "n_a", "n_b")
 
 
+def _prefix_pairs(members: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """All pairs of the members, in different components, that can be similar enough.
+
+    Exact: if sets of sizes n and m are that similar, they share one of the n - ceil(p n) + 1 first members
+    of one and of the m - ceil(p m) + 1 first members of the other in any fixed order. Rare members come
+    first here, so that what sets a text apart fills its prefix.
+    """
+    members = members.select("node", "n", "label").distinct()
+    texts = _texts_of(members.select("node"), docs, nodes, shingle)
+    tokens = settle(texts.mapInArrow(lambda it: _tokens(it, shingle), "node binary, token bigint"), "tokens")
+    counts = tokens.groupBy("token").agg(F.count("*").alias("df"))
+    placed = tokens.join(counts, "token").withColumn(
+        "place", F.row_number().over(Window.partitionBy("node").orderBy("df", "token"))).join(members, "node")
+    prefix = F.floor(F.col("n") - F.ceil(F.col("n") * percent / 100.0 - 1e-9) + 1)
+    heads = placed.where((F.col("place") <= prefix) & (F.col("df") > 1))
+    return _pairs_across(settle(heads.select(F.col("token").alias("key"), "node", "n", "label"), "heads"))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80, bands: int = BANDS, rows: int = ROWS, row_key: Column | None = None) -> DataFrame:
     """One row per input row: id, n_shingles, component_id, kept; and row_key, a text, where that is given.
@@ -170,9 +225,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     signature share a bucket. Pairs are compared in full sets in three rounds, each of which leaves out
     pairs that links already connect: every node with the bucket centre it shares most buckets with, every
     node with all centres of its buckets, then all members of a bucket that are still in different
-    components. In that last round members of a crowded bucket must share a second bucket to be compared.
-    A pair at the threshold misses all 32 bands of 4 with a probability below 1e-7 at 80 percent, and two
-    common bands below 2e-6; nothing else can lose a link. Set members are 64-bit hashes of word runs.
+    components. In that last round pairs in crowded buckets come from an exact prefix filter on the full sets.
+    A pair at the threshold misses all 32 bands of 4 with a probability below 1e-7 at 80 percent, and fails
+    the comparison of signatures before texts move with one near 1e-9; nothing else can lose a link. Set
+    members are 64-bit hashes of word runs.
 
     Null, empty and blank texts have no shingles, are linked with nothing and are kept under their own id.
     Rows that repeat an id or a text each give a row; a null id never is a component's id unless all its
@@ -184,12 +240,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     id_type = docs.schema["id"].dataType.simpleString()
     prepared = settle(keyed.mapInArrow(
         lambda it: _describe(it, shingle, bands, rows),
-        f"id {id_type}, row_key string, node binary, n bigint, bands array<bigint>"), "signatures")
+        f"id {id_type}, row_key string, node binary, n bigint, bands array<bigint>, sketch binary"), "signatures")
     nodes = prepared.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("id").alias("least_id"), F.count("*").alias("copies"), F.min("n").alias("n"), F.min("bands").alias("bands"))
+        F.min("id").alias("least_id"), F.count("*").alias("copies"), F.min("n").alias("n"), F.min("bands").alias("bands"), F.min("sketch").alias("sketch"))
     nodes = settle(nodes, "nodes")
     spread = nodes.select("node", "n", F.explode("bands").alias("key"))
-    buckets = spread.groupBy("key").agg(F.min(F.struct("node", "n")).alias("c"), F.count("*").alias("m")).where("m > 1")
+    # Each bucket has a centre of its own, so that a node in 32 buckets meets many others.
+    order = F.struct(F.xxhash64("key", "node").alias("h"), "node", "n")
+    buckets = spread.groupBy("key").agg(F.min(order).alias("c"), F.count("*").alias("m")).where("m > 1")
     members = settle(spread.join(buckets.select("key", "c"), "key").select(
         "key", "node", "n", F.col("c.node").alias("center"), F.col("c.n").alias("n_center")), "members")
 
@@ -212,9 +270,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rest = settle(rest.drop("m").join(crossing, "key"), "unsettled")
     small = rest.where(F.col("others") <= CROWD).select("key", "node", "n", "label")
     crowded = rest.where(F.col("others") > CROWD).select("key", "node", "n", "label")
-    twice = crowded.join(nodes.select("node", F.explode("bands").alias("second")), "node").where("key <> second")
-    twice = twice.select(F.xxhash64(F.least("key", "second"), F.greatest("key", "second")).alias("key"), "node", "n", "label")
-    pairs = _pairs_across(small).unionAll(_pairs_across(twice.distinct())).where(_close(percent))
+    pairs = _pairs_across(small)
+    if not crowded.isEmpty():
+        pairs = pairs.unionAll(_prefix_pairs(crowded, docs, nodes, shingle, percent))
+    pairs = pairs.where(_close(percent))
     pairs = pairs.select("a", "b").distinct().join(star.select("a", "b"), ["a", "b"], "left_anti")
     pairs = settle(pairs, "across")
     if not pairs.isEmpty():

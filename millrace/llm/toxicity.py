@@ -1,11 +1,11 @@
 """Toxicity: a support vector machine on a gap-weighted subsequence string kernel with Nyström landmarks.
 
 The kernel of two strings sums, over all subsequences of ORDER letters, the product of their weights in
-both; an occurrence that spans SPAN characters or fewer weighs DECAY per skipped character. So `id-iot`
-and `idxiot` still share most of `idiot`. Landmarks are words of labelled rows. A Nyström map with
-landmarks z makes the kernel machine f(x) = sum of beta_z k(z, x) + b, and as k is a dot product of
-subsequence weights, all landmarks fold into one table of weights per subsequence. Scoring a text then
-is one pass over its characters, whatever the number of landmarks.
+both; an occurrence may span SPAN characters and weighs DECAY per skipped one. So `i-d-i-o-t` and `idxiot`
+still share most of `idiot`. Landmarks are words and beginnings of words of labelled rows. A Nyström map
+with landmarks z makes the kernel machine f(x) = sum of beta_z k(z, x) + b, and as k is a dot product of
+subsequence weights, all landmarks fold into one table of weights per subsequence. Scoring a text then is
+one pass over its characters, whatever the number of landmarks.
 
 A text's sentences are read in windows of WINDOW characters. A sentence is as toxic as its worst window,
 a text as its worst sentence.
@@ -26,90 +26,70 @@ from pyspark.sql import functions as F
 
 from millrace.llm import textblocks as tb
 
-ORDER, SPAN, DECAY, WINDOW = 4, 6, 0.5, 10
+ORDER, SPAN, DECAY, WINDOW = 4, 7, 0.5, 10
 # Bounds of the labelled sample: rows of each label, in the order of a hash of their id.
 SAMPLE_ROWS = 3000
-LANDMARKS = 192
+LANDMARKS = 320
 ROUNDS = 4
-_LETTERS = 32  # letter codes: 1 to 26; 0 for everything else, which is skipped or counts as a gap
-
-_CODE = np.zeros(256, dtype=np.int32)
-_CODE[97:123] = np.arange(1, 27)
-_CODE[65:91] = np.arange(1, 27)
-# Offsets of the letters of an occurrence from its first one.
+_CODES = 32  # 0 is no character, 1 to 26 are letters, 27 is a boundary, 28 to 31 are other letters
+_BOUNDARY = 27
+_WIDTH = WINDOW + SPAN - 1
+
+# Code of each byte of UTF-8. Lead bytes of longer characters are left out, the byte after them tells
+# accented letters apart (in four classes, the same for both cases).
+_CODE = np.full(256, _BOUNDARY, dtype=np.int32)
+_CODE[97:123] = _CODE[65:91] = np.arange(1, 27)
+_CODE[128:192] = 28 + np.arange(64) % 4
+_CODE[192:] = -1
+# Offsets of the characters of an occurrence from its first one.
 SHAPES = [(0, *rest) for rest in itertools.combinations(range(1, SPAN), ORDER - 1)]
 
 
-def codes_of(data: np.ndarray) -> np.ndarray:
-    return _CODE[data]
+def encoded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the texts of a block, and where each begins. A text is preceded by a boundary and followed
+    by empty characters that keep its windows to itself."""
+    codes = _CODE[data]
+    kept = codes >= 0
+    before = np.concatenate([[0], np.cumsum(kept)])[offsets]
+    gap = _WIDTH + 1
+    begin = before[:-1] + np.arange(len(offsets) - 1) * gap
+    out = np.zeros(before[-1] + (len(offsets) - 1) * gap, dtype=np.int32)
+    out[begin] = _BOUNDARY
+    out[np.arange(before[-1]) + np.repeat(np.arange(len(offsets) - 1) * gap, np.diff(before)) + 1] = codes[kept]
+    return out, begin
 
 
-def occurrences(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
-    """For each shape: the feature number at every position, whether it is one, and its weight.
+def word_codes(word: str) -> np.ndarray:
+    """Codes of a word with the boundary before it."""
+    data = np.frombuffer(word.encode(), np.uint8)
+    return encoded(data, np.array([0, len(data)]))[0]
 
-    `codes` ends with SPAN zeros or more, which keep shapes inside.
-    """
-    size = len(codes) - SPAN + 1
-    for shape in SHAPES:
-        feature = np.zeros(size, dtype=np.int32)
-        valid = np.ones(size, dtype=bool)
-        for offset in shape:
-            letter = codes[offset : offset + size]
-            feature *= _LETTERS
-            feature += letter
-            valid &= letter > 0
-        yield feature, valid, DECAY ** (shape[-1] + 1 - ORDER)
-
-
-def feature_weights(word: str) -> dict[int, float]:
-    """The subsequences of a string with their summed weights."""
-    codes = np.concatenate([codes_of(np.frombuffer(word.encode(), np.uint8)), np.zeros(SPAN, np.int32)])
-    out: dict[int, float] = {}
-    for feature, valid, weight in occurrences(codes):
-        for number in feature[valid].tolist():
-            out[number] = out.get(number, 0.0) + weight
-    return out
-
-
-def kernel(one: dict[int, float], two: dict[int, float]) -> float:
-    if len(two) < len(one):
-        one, two = two, one
-    return sum(w * two[f] for f, w in one.items() if f in two)
-
-
-def contributions(codes: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Weight of all subsequences that begin at each position. Entries of the table for numbers with a
-    zero letter are zero, so positions without a letter need no test."""
-    size = len(codes) - SPAN + 1
-    out = np.zeros(size, dtype=np.float32)
-    pairs = {k: codes[: len(codes) - k] * _LETTERS + codes[k:] for k in range(1, SPAN)}
-    for shape in SHAPES:
-        a, b, c, d = shape
-        feature = pairs[b][:size] * (_LETTERS * _LETTERS) + pairs[d - c][c : c + size]
-        out += table[feature] * np.float32(DECAY ** (d + 1 - ORDER))
-    return out
-
-
-def worst_windows(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The highest window sum of each text of a block and where that window begins."""
-    # SPAN empty characters after each text keep its subsequences and windows to itself.
-    gap = SPAN + WINDOW
-    moved = offsets + np.arange(len(offsets)) * gap
-    codes = np.zeros(moved[-1] + gap, dtype=np.int32)
-    codes[np.arange(len(data)) + np.repeat(np.arange(len(offsets) - 1) * gap, np.diff(offsets))] = codes_of(data)
-    sums = np.cumsum(np.concatenate([[0.0], contributions(codes, table).astype(np.float64)]))
-    window = sums[WINDOW:] - sums[:-WINDOW]
-    starts = np.minimum(moved[:-1], len(window) - 1)
-    worst = np.maximum.reduceat(window, starts)
-    return worst, window
+
+def features(codes: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, float]]:
+    """For each shape, the numbers of the subsequences that begin at the first `size` places of the last
+    axis, and their weight. Numbers that hold an empty character count for nothing."""
+    pairs = {k: codes[..., : codes.shape[-1] - k] * _CODES + codes[..., k:] for k in range(1, SPAN)}
+    for _, b, c, d in SHAPES:
+        yield pairs[b][..., :size] * (_CODES * _CODES) + pairs[d - c][..., c : c + size], DECAY ** (d + 1 - ORDER)
 
 
 def masked(table: np.ndarray) -> np.ndarray:
-    """The table with zero for every number that contains a code that is no letter."""
-    grid = table.reshape((_LETTERS,) * ORDER)
+    """The table with zero for every number that contains an empty character."""
+    grid = table.reshape((_CODES,) * ORDER + table.shape[1:])
     for axis in range(ORDER):
         np.moveaxis(grid, axis, 0)[0] = 0
-    return grid.reshape(-1)
+    return table
+
+
+def worst_windows(codes: np.ndarray, begin: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The highest window sum of each text, and the sums of all windows."""
+    size = len(codes) - SPAN + 1
+    weight = np.zeros(size, dtype=np.float32)
+    for feature, decay in features(codes, size):
+        weight += table[feature] * np.float32(decay)
+    sums = np.cumsum(np.concatenate([[0.0], weight.astype(np.float64)]))
+    window = sums[WINDOW:] - sums[:-WINDOW]
+    return np.maximum.reduceat(window, begin), window
 
 
 class ToxicityModel:
@@ -122,31 +102,51 @@ class ToxicityModel:
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * worst + self.offset, -30, 30)))
 
 
-def _fold(landmarks: list[dict[int, float]], norms: np.ndarray, beta: np.ndarray) -> np.ndarray:
-    table = np.zeros(_LETTERS ** ORDER, dtype=np.float32)
-    for weights, norm, b in zip(landmarks, norms, beta, strict=True):
-        for feature, weight in weights.items():
-            table[feature] += b * weight / norm
-    return masked(table)
-
-
-def _window_text(block: tuple[np.ndarray, np.ndarray], table: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """The worst window of each text, as text, and its sum."""
-    data, offsets = block
-    worst, window = worst_windows(data, offsets, table)
-    gap = SPAN + WINDOW
-    out = []
-    for i in range(len(offsets) - 1):
-        a, b = offsets[i] + i * gap, offsets[i + 1] + i * gap
-        at = int(np.argmax(window[a : max(b, a + 1)])) if b > a else 0
-        out.append(data[offsets[i] + at : min(offsets[i] + at + WINDOW + SPAN - 1, offsets[i + 1])].tobytes().decode("utf-8", "ignore"))
-    return out, worst
+class _Landmarks:
+    """Strings whose kernel with a window is taken, as one sparse matrix of subsequence weights."""
+
+    def __init__(self, words: list[str]):
+        weights: list[dict[int, float]] = []
+        zero = masked(np.ones(_CODES ** ORDER, dtype=np.float32))
+        for word in words:
+            codes, own = word_codes(word), {}
+            for feature, decay in features(codes, len(codes) - SPAN + 1):
+                for number in feature[zero[feature] > 0].tolist():
+                    own[number] = own.get(number, 0.0) + decay
+            weights.append(own)
+        self.numbers = np.array(sorted({n for own in weights for n in own}))
+        self.column = np.full(_CODES ** ORDER, len(self.numbers), dtype=np.int32)
+        self.column[self.numbers] = np.arange(len(self.numbers))
+        matrix = np.zeros((len(self.numbers) + 1, len(words)), dtype=np.float32)
+        for k, own in enumerate(weights):
+            matrix[self.column[list(own)], k] = list(own.values())
+        norms = np.sqrt((matrix ** 2).sum(axis=0))
+        self.matrix = matrix / np.where(norms > 0, norms, 1)
+
+    def kernel(self, windows: np.ndarray) -> np.ndarray:
+        """Kernel of every window (a row of codes) with every landmark."""
+        out = []
+        for first in range(0, len(windows), 256):
+            part = windows[first : first + 256]
+            counts = np.zeros((len(part), len(self.numbers) + 1), dtype=np.float32)
+            rows = np.repeat(np.arange(len(part)), WINDOW)
+            for feature, decay in features(part, WINDOW):
+                np.add.at(counts, (rows, self.column[feature].ravel()), np.float32(decay))
+            counts[:, -1] = 0
+            out.append(counts @ self.matrix)
+        return np.concatenate(out)
+
+    def fold(self, beta: np.ndarray) -> np.ndarray:
+        """The weighted sum of all landmarks as one table over subsequences."""
+        table = np.zeros(_CODES ** ORDER, dtype=np.float32)
+        table[self.numbers] = (self.matrix @ beta.astype(np.float32))[:-1]
+        return masked(table)
 
 
 def _svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0) -> tuple[np.ndarray, float]:
     """Linear support vector machine with squared hinge loss, classes balanced, by Newton steps."""
     z = np.hstack([x, np.ones((len(x), 1))])
-    share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)) * len(y) * cost / len(y) * 100
+    share = cost * len(y) * np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
     keep = np.full(z.shape[1], 1.0)
     keep[-1] = 1e-6
     w = np.zeros(z.shape[1])
@@ -184,43 +184,62 @@ def train(texts: list[str], toxic: np.ndarray, share: float) -> ToxicityModel:
     toxic = np.asarray(toxic).astype(bool)
     if toxic.all() or not toxic.any():
         prior = min(max(share, 1e-3), 1 - 1e-3)
-        return ToxicityModel(np.zeros(_LETTERS ** ORDER, np.float32), 0.0, float(np.log(prior / (1 - prior))))
-    counts = [Counter(), Counter()]
-    for text, label in zip(texts, toxic, strict=True):
-        counts[int(label)].update(set(re.findall(r"[a-z]{%d,}" % ORDER, text.lower())))
-    n = [max(int((~toxic).sum()), 1), max(int(toxic.sum()), 1)]
-    contrast = {w: c / n[1] - counts[0][w] / n[0] for w, c in counts[1].items() if c >= 3}
-    bad = sorted(contrast, key=lambda w: (-contrast[w], w))[: LANDMARKS // 3]
-    common = [w for w, _ in sorted(counts[0].items(), key=lambda p: (-p[1], p[0]))][: LANDMARKS]
-    landmarks = [feature_weights(w) for w in dict.fromkeys([*bad, *common[: LANDMARKS - len(bad)]])]
-    norms = np.sqrt([kernel(f, f) for f in landmarks])
-    gram = np.array([[kernel(f, g) for g in landmarks] for f in landmarks]) / norms[:, None] / norms[None, :]
-    values, vectors = np.linalg.eigh(gram)
-    good = values > 1e-6
+        return ToxicityModel(np.zeros(_CODES ** ORDER, np.float32), 0.0, float(np.log(prior / (1 - prior))))
+    landmarks, lift = _choose_landmarks(texts, toxic)
+    if not landmarks:
+        return ToxicityModel(np.zeros(_CODES ** ORDER, np.float32), 0.0, float(np.log(share / (1 - share))))
+    marks = _Landmarks(landmarks)
+    values, vectors = np.linalg.eigh((marks.matrix.T @ marks.matrix).astype(np.float64))
+    good = values > 1e-4
     half = (vectors[:, good] / np.sqrt(values[good])) @ vectors[:, good].T
 
-    lift = np.array([max(contrast.get(w, 0.0), 0.0) for w in dict.fromkeys([*bad, *common[: LANDMARKS - len(bad)]])])
-    table = _fold(landmarks, norms, lift)
-    blocks = [(data, offsets) for *_, data, offsets in tb.blocks(pa.array(texts, pa.large_string()))]
-    seen: dict[tuple[str, bool], None] = {}
-    worst = np.zeros(len(texts))
+    blocks = [encoded(data, offsets) for *_, data, offsets in tb.blocks(pa.array(texts, pa.large_string()))]
+    table = marks.fold(lift)
+    clean: dict[bytes, None] = {}
     for _ in range(ROUNDS):
-        found, sums = zip(*(_window_text(b, table) for b in blocks), strict=True)
-        found, worst = [w for f in found for w in f], np.concatenate(sums)
-        # A toxic text counts by its worst window only; a clean text by all windows it ever had as its worst.
-        for window, label in zip(found, toxic, strict=True):
-            if not label:
-                seen[(window, False)] = None
-        examples = [(w, True) for w, label in zip(found, toxic, strict=True) if label] + list(seen)
-        windows = [feature_weights(w) for w, _ in examples]
-        k = np.array([[kernel(f, z) for z in landmarks] for f in windows]) / norms[None, :]
-        weights, _ = _svm(k @ half, np.where([label for _, label in examples], 1.0, -1.0))
-        table = _fold(landmarks, norms, half @ weights)
+        bad = []
+        for window, label in zip((w for b in blocks for w in _worst_codes(*b, table)), toxic, strict=True):
+            # A toxic text counts by its worst window; a clean one by all that were its worst so far.
+            if label:
+                bad.append(window)
+            else:
+                clean[window.tobytes()] = None
+        good_ones = np.frombuffer(b"".join(clean), np.int32).reshape(-1, _WIDTH)
+        mapped = marks.kernel(np.concatenate([np.array(bad), good_ones])) @ half
+        weights, _ = _svm(mapped, np.repeat([1.0, -1.0], [len(bad), len(good_ones)]))
+        table = marks.fold(half @ weights)
     worst = np.concatenate([worst_windows(*b, table)[0] for b in blocks])
     weight = np.where(toxic, share / toxic.mean(), (1 - share) / (1 - toxic.mean()))
     return ToxicityModel(table, *_platt(worst, toxic.astype(float), weight))
 
 
+def _choose_landmarks(texts: list[str], toxic: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Words and beginnings of words whose document frequency is highest for toxic texts, by its z-score,
+    then common words of clean texts; and a first weight of each."""
+    counts = [Counter(), Counter()]
+    for text, label in zip(texts, toxic, strict=True):
+        found = set(re.findall(r"[^\W\d_]{%d,}" % ORDER, text.lower()))
+        counts[int(label)].update({w[:n] for w in found for n in (5, 6, 7, 8, 12)})
+    n = [max(int((~toxic).sum()), 1), max(int(toxic.sum()), 1)]
+    score = {}
+    for word, c in counts[1].items():
+        p = (c + counts[0][word]) / (n[0] + n[1])
+        if c >= 3 and p < 1:
+            score[word] = (c / n[1] - counts[0][word] / n[0]) / np.sqrt(p * (1 - p) * (1 / n[0] + 1 / n[1]))
+    bad = [w for w in sorted(score, key=lambda w: (-score[w], w)) if score[w] > 3][: LANDMARKS * 2 // 3]
+    common = [w for w, _ in sorted(counts[0].items(), key=lambda p: (-p[1], p[0]))[:LANDMARKS]]
+    chosen = list(dict.fromkeys([*bad, *common]))[:LANDMARKS]
+    return chosen, np.array([max(score.get(w, 0.0), 0.0) if w in bad else 0.0 for w in chosen])
+
+
+def _worst_codes(codes: np.ndarray, begin: np.ndarray, table: np.ndarray) -> Iterator[np.ndarray]:
+    """The worst window of each text, as codes."""
+    worst, window = worst_windows(codes, begin, table)
+    for a, b in zip(begin, [*begin[1:], len(window)], strict=True):
+        at = a + int(np.argmax(window[a:b]))
+        yield codes[at : at + _WIDTH]
+
+
 def _in_training(id_col: Column) -> Column:
     """Whether a row may teach: the rest of crc32 of its id, as text, by four is not two."""
     return F.coalesce(F.crc32(id_col.cast("string")) % 4 != 2, F.lit(False))
@@ -247,7 +266,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def score_batches(batches: Iterator[pa.RecordBatch], model: ToxicityModel, text_at: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     for batch in batches:
-        scores = [model.probability(worst_windows(data, offsets, model.table)[0])
+        scores = [model.probability(worst_windows(*encoded(data, offsets), model.table)[0])
                   for *_, data, offsets in tb.blocks(batch.column(text_at), 1 << 18)]
         yield batch, np.concatenate(scores) if scores else np.zeros(0)
 
