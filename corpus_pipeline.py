@@ -1,11 +1,30 @@
-"""The corpus pipeline: toxic documents go, copies go, near copies go, sources are mixed, texts become ids."""
+"""The corpus pipeline: toxic documents go, copies go, near copies go, domains are mixed, texts become ids.
+
+Each stage takes all documents its predecessor kept and returns the columns of documents; the last one
+returns ids instead. No stage needs more of a table than its own operator reads.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.llm import mixing, pieces, toxicity
 from millrace.llm.exact_dedup import without_copies
 from millrace.llm.near_dedup import without_near_copies
+from millrace.llm.queries import piece_model
+from millrace.session import settle
+
+# Documents at or above this probability of being toxic go.
+TOXIC = 0.5
+# Shares of the tokens of poor and good texts. Documents are repeated to get there, none is dropped.
+WEIGHTS = [0.12, 0.88]
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the string-kernel machine holds for toxic go; labels teach it and decide nothing."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.without_toxic(docs, toxicity.fit(docs, labels), TOXIC)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,19 +37,33 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return without_near_copies(docs)
 
 
+def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are repeated until poor and good texts have the target shares of the tokens."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", (F.col("quality") > 0).cast("int").alias("domain"))
+    return mixing.lifted(docs, mixing.fit_domains(docs, labels, len(WEIGHTS)), WEIGHTS)
+
+
+def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document, with the hash of what they decode to."""
+    return pieces.encode(docs, pieces.Vocabulary.load(piece_model()), check=True)
+
+
 STAGES = [
+    ("toxicity", drop_toxic),
     ("exact dedup", drop_copies),
     ("MinHash near-dedup", drop_near_copies),
+    ("mixing", mix_domains),
+    ("SentencePiece", to_pieces),
 ]
 
+# Classifiers, a gradient descent and piece ids: SQL states none of them. tests/llm holds the stages
+# against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder, each written and read again."""
-    from millrace.session import settle
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs if k == 0 else settle(docs, "stage"), sf_dir)
+        docs = stage(spark, settle(docs, "stage") if k else docs, sf_dir)
     return docs

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.llm import fingerprint, licenses, mixing, pieces, quality, toxicity
 from millrace.llm.chat import format_chats
 from millrace.llm.exact_dedup import exact_duplicates
 from millrace.llm.near_dedup import near_duplicates
@@ -22,6 +26,29 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def piece_model() -> str:
+    """The piece model's file: SENTENCEPIECE_MODEL, or the public one of this machine."""
+    return os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(_table(spark, sf_dir, "documents"), pieces.Vocabulary.load(piece_model()), check=True)
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+def _judged(scored: DataFrame, threshold: float) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return _judged(toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels"))), 0.3)
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES).drop("trust", "distrust")
 
@@ -34,8 +61,70 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def domain_labels(labels: DataFrame) -> DataFrame:
+    """Domains of the labelled rows: 0 poor, 1 good, 2 toxic; a null label is no label."""
+    domain = F.when(F.col("toxic") > 0, 2).when(F.col("quality") > 0, 1).when(F.col("quality") <= 0, 0)
+    return labels.select("doc_id", domain.alias("domain"))
+
+
+# Shares of the tokens that poor, good and toxic texts are to have.
+DOMAIN_WEIGHTS = [0.05, 0.9, 0.05]
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = mixing.fit_domains(docs, domain_labels(labels), 3)
+    rates = mixing.mixing_rates(docs, model, DOMAIN_WEIGHTS)
+    p = F.col("p")
+    return rates.select("doc_id", "tokens", p[0].alias("p_poor"), p[1].alias("p_good"), p[2].alias("p_toxic"), "rate")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return _judged(quality.score(docs, quality.fit(docs, _table(spark, sf_dir, "labels"))), 0.7)
+
+
+def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_likeness(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op5_url_filter, op6_chat_format, op7_exact_dedup)}
+    op1_minhash_near_dedup, op2_sentencepiece, op3_license_scan, op4_toxicity, op5_url_filter, op6_chat_format,
+    op7_exact_dedup, op8_mixing, op9_quality, op10_fingerprint)}
+
+
+def _license_sql() -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    known = ", ".join(f"({quoted(licenses.normalised(s))}, {quoted(name)})" for name, s in licenses.SENTENCES.items())
+    cases = []
+    for name, rule in licenses.RULES:
+        longer = [r for _, r in licenses.RULES if len(r) > len(rule) and r[: len(rule)] == rule]
+        fits = [f"contains(j, {quoted(',' + ','.join(rule) + ',')})",
+                *(f"NOT contains(j, {quoted(',' + ','.join(r) + ',')})" for r in longer)]
+        cases.append(f"SELECT doc_id, {quoted(name)} AS license FROM j WHERE {' AND '.join(fits)}")
+    space = r"[\x20\x09-\x0D]"
+    def found(name: str, text: str) -> str:
+        return rf"""
+{name}s AS (
+  SELECT doc_id, unnest(s) AS s, generate_subscripts(s, 1) AS i FROM (
+    SELECT doc_id, regexp_split_to_array(regexp_replace({text}, '([.!?;:]){space}+', '\1' || chr(10), 'g'), '[\n\r]+') AS s FROM t)),
+{name}k AS (
+  SELECT doc_id, count(*) AS n, list(k.id ORDER BY i) AS ids FROM {name}s
+  JOIN k ON k.s = trim(regexp_replace(translate({name}s.s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^a-z0-9]+', ' ', 'g')) GROUP BY doc_id),"""
+    flowing = r"regexp_replace(text, '(?:\r?\n)[\x20\x09]*(?:[#*]|//)?[\x20\x09]*([^\x20\x09-\x0D])', ' \1', 'g')"
+    return f"""
+WITH k(s, id) AS (VALUES {known}),
+t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),{found('l', 'text')}{found('w', flowing)}
+r AS (
+  SELECT t.doc_id, CASE WHEN coalesce(w.n, 0) > coalesce(l.n, 0) THEN w.ids ELSE coalesce(l.ids, []) END AS ids
+  FROM t LEFT JOIN lk l ON l.doc_id = t.doc_id LEFT JOIN wk w ON w.doc_id = t.doc_id),
+j AS (SELECT doc_id, ids, ',' || array_to_string(ids, ',') || ',' AS j FROM r),
+m AS ({' UNION '.join(cases)})
+SELECT j.doc_id, CAST(len(j.ids) AS BIGINT) AS n_sentences, j.ids AS sentences,
+  coalesce((SELECT list(m.license ORDER BY m.license) FROM m WHERE m.doc_id = j.doc_id), []) AS licenses
+FROM j"""
+
 
 
 def _url_sql() -> str:
@@ -106,6 +195,7 @@ r AS (
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
 JOIN (SELECT d, min(c) AS c FROM r GROUP BY d) m ON m.d = d.doc_id""",
+    "op3_license_scan": _license_sql(),
     "op5_url_filter": _url_sql(),
     "op6_chat_format": r"""
 WITH t AS (
