@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -38,58 +39,92 @@ def land_by_hour(
     return trigger(writer.outputMode("append"), every).start(folder)
 
 
-def to_folder(folder: str, file_format: str = "parquet") -> Callable[[DataFrame, int], None]:
+# Writes one batch under a label that names the run and the batch: a repeated batch has the same label, a
+# batch of another run never has.
+BatchWriter = Callable[[DataFrame, str], None]
+
+
+def to_folder(folder: str, file_format: str = "parquet") -> BatchWriter:
     """Batch writer that may repeat a batch: each batch replaces its own sub-folder."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(file_format).save(f"{folder}/batch_id={batch_id}")
+    def write(batch: DataFrame, label: str) -> None:
+        batch.write.mode("overwrite").format(file_format).save(f"{folder}/batch_id={label}")
     return write
 
 
-def to_documents(folder: str) -> Callable[[DataFrame, int], None]:
+def to_documents(folder: str) -> BatchWriter:
     """Whole rows as JSON documents."""
     return to_folder(folder, "json")
 
 
-def to_jdbc(url: str, table: str, **options: str) -> Callable[[DataFrame, int], None]:
+def to_jdbc(url: str, table: str, **options: str) -> BatchWriter:
     """Append to a relational table, which the first batch creates. Delivery is at least once."""
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, label: str) -> None:
         batch.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
     return write
 
 
-def write_batches(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None],
-                  every: str | None = None) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+def _run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that owns a checkpoint, which restarts keep."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def write_batches(stream: DataFrame, checkpoint: str, write: BatchWriter, every: str | None = None) -> StreamingQuery:
+    run: list[str] = []
+
+    def labelled(batch: DataFrame, batch_id: int) -> None:
+        run[:] = run or [_run_id(batch.sparkSession, checkpoint)]
+        write(batch, f"{run[0]}-{batch_id}")
+
+    writer = stream.writeStream.foreachBatch(labelled).option("checkpointLocation", checkpoint)
     return trigger(writer, every).start()
 
 
-def fan_out(stream: DataFrame, topic: str, routes: dict[str, Callable[[DataFrame, int], None]], checkpoint: str,
+def fan_out(stream: DataFrame, topic: str, routes: dict[str, BatchWriter], rest: BatchWriter, checkpoint: str,
             every: str | None = None) -> StreamingQuery:
-    """Each topic to its own sink. A batch is kept while its topics are written, so it is read once."""
-    def write(batch: DataFrame, batch_id: int) -> None:
+    """Each topic to its own sink, and records without a topic or of one that has no route, with their topic,
+    to `rest`. A batch is kept while its topics are written, so it is read once."""
+    def write(batch: DataFrame, label: str) -> None:
         batch.persist()
         try:
             for name, sink in routes.items():
-                sink(batch.filter(F.col(topic) == name).drop(topic), batch_id)
+                sink(batch.filter(F.col(topic) == name).drop(topic), label)
+            rest(batch.filter(F.col(topic).isNull() | ~F.col(topic).isin(*routes)), label)
         finally:
             batch.unpersist()
     return write_batches(stream, checkpoint, write, every)
 
 
-def observed(stream: DataFrame, name: str = "batch") -> DataFrame:
-    """Count records as they pass; the count of each batch is in the query's progress."""
-    return stream.observe(name, F.count("*").alias("records"))
+def counted(write: BatchWriter, folder: str) -> BatchWriter:
+    """Also keep the number of records of each batch, as they pass, in a file of its own."""
+    def write_and_count(batch: DataFrame, label: str) -> None:
+        seen = Observation()
+        write(batch.observe(seen, F.count("*").alias("records")), label)
+        one = batch.sparkSession.range(1, numPartitions=1).select(F.lit(seen.get["records"]).alias("records"))
+        to_folder(folder)(one, label)
+    return write_and_count
+
 
+def batch_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """(batch_id, records) of every batch that `counted` saw, whatever the query's progress remembers."""
+    return spark.read.schema("records bigint, batch_id string").parquet(folder).select("batch_id", "records")
 
-def batch_counts(query: StreamingQuery, name: str = "batch") -> list[tuple[int, int]]:
-    """(batch id, records) of the batches the query remembers: the latest
-    spark.sql.streaming.numRecentProgressUpdates ones."""
-    return [
-        (p.batchId, p.observedMetrics[name]["records"]) for p in query.recentProgress if name in p.observedMetrics
-    ]
+
+def hourly_partials(event_time: str, folder: str) -> BatchWriter:
+    """Counts per hour of event time, each batch its own. They hold no state, so late events count too,
+    however files are dealt to batches; `hourly_counts` adds the batches up."""
+    def write(batch: DataFrame, label: str) -> None:
+        per_hour = batch.filter(F.col(event_time).isNotNull()).groupBy(F.date_trunc("HOUR", event_time).alias("hour")).agg(
+            F.count("*").alias("streams"), F.max(event_time).alias("latest"))
+        to_folder(folder)(per_hour, label)
+    return write
 
 
-def hourly_counts(stream: DataFrame, event_time: str, delay: str = "1 hour") -> DataFrame:
-    """Rows per hour of event time; an hour is final once the watermark has passed its end."""
-    return stream.withWatermark(event_time, delay).groupBy(F.window(event_time, "1 hour")).agg(
-        F.count("*").alias("total_streams"))
+def hourly_counts(spark: SparkSession, folder: str, delay: str | None = "1 hour", time_type: str = "timestamp") -> DataFrame:
+    """(hour, total_streams) over all batches written so far. With a delay, hours still open are left out:
+    those that end within it of the latest event, or after it. Their counts stay and show up later."""
+    parts = spark.read.schema(f"hour {time_type}, streams bigint, latest {time_type}").parquet(folder)
+    totals = parts.groupBy("hour").agg(F.sum("streams").alias("total_streams"))
+    if delay is None:
+        return totals
+    closed = parts.agg(F.max("latest").alias("latest")).select((F.col("latest") - F.expr(f"INTERVAL {delay}")).alias("t"))
+    return totals.filter(F.col("hour") + F.expr("INTERVAL 1 HOUR") <= closed.scalar())

@@ -62,33 +62,38 @@ def stream_dead_letter(spark, sf_dir):
     return bad.groupBy("result", "record.page").agg(F.count("*").alias("records"))
 
 
+def _scattered(spark, sf_dir, folder):
+    """The events as files that are not in time order, one micro-batch each."""
+    events = spark.read.schema(_EVENTS).parquet(f"{sf_dir}/events.parquet")
+    events.repartition(8, F.pmod("event_id", F.lit(8))).write.parquet(f"{folder}/in")
+    return read_arrivals(spark, f"{folder}/in", _EVENTS, "parquet", 1)
+
+
 def stream_hourly(spark, sf_dir):
     """Hourly counts of plays; the last hours stay open until later events close them."""
     folder = new_folder(spark, "hourly")
-    plays = _events(spark, sf_dir).filter(F.col("event_type").isin("view", "click"))
-    counts = landing.hourly_counts(plays.withColumn("ts", F.col("ts").cast("timestamp")), "ts")
-    rows = counts.select(F.col("window.start").cast("timestamp_ntz").alias("hour"), "total_streams")
-    writer = rows.writeStream.format("parquet").outputMode("append")
-    query = landing.trigger(writer.option("checkpointLocation", f"{folder}/state"), None).start(f"{folder}/data")
-    query.awaitTermination()
-    return spark.read.parquet(f"{folder}/data").select(
+    plays = _scattered(spark, sf_dir, folder).filter(F.col("event_type").isin("view", "click"))
+    landing.write_batches(plays, f"{folder}/state", landing.hourly_partials("ts", f"{folder}/data")).awaitTermination()
+    return landing.hourly_counts(spark, f"{folder}/data", time_type="timestamp_ntz").select(
         F.date_format("hour", "yyyy-MM-dd").alias("stream_date"), F.date_format("hour", "HH").alias("stream_hour"),
         "total_streams")
 
 
-_TOPICS = {"auth": ["signup", "error"], "listen": ["view", "click"], "page_view": ["purchase"]}
+_TOPICS = {"auth": ["signup"], "listen": ["view", "click"], "page_view": ["purchase"]}
 
 
 def stream_fanout(spark, sf_dir):
-    """Three topics to a table and two document folders, read back together."""
+    """Three topics to a table and two document folders, the records of no topic to a folder of their own;
+    read back together."""
     folder = new_folder(spark, "topics")
     topic = F.coalesce(*[F.when(F.col("event_type").isin(kinds), F.lit(t)) for t, kinds in _TOPICS.items()])
     sinks = {"auth": landing.to_folder(f"{folder}/auth"), "listen": landing.to_documents(f"{folder}/listen"),
              "page_view": landing.to_documents(f"{folder}/page_view")}
     stream = _events(spark, sf_dir).select("event_id", "user_id", "props", topic.alias("topic"))
-    landing.fan_out(stream, "topic", sinks, f"{folder}/state").awaitTermination()
+    landing.fan_out(stream, "topic", sinks, landing.to_folder(f"{folder}/rest"), f"{folder}/state").awaitTermination()
     schema = "event_id bigint, user_id bigint, props string"
     found = spark.read.schema(schema).parquet(f"{folder}/auth").withColumn("topic", F.lit("auth"))
+    found = found.unionByName(spark.read.schema(schema).parquet(f"{folder}/rest").withColumn("topic", F.lit(None).cast("string")))
     for name in ("listen", "page_view"):
         documents = spark.read.schema(schema).json(f"{folder}/{name}")
         found = found.unionByName(documents.withColumn("topic", F.lit(name)))
@@ -105,14 +110,14 @@ def stream_forward(spark, sf_dir):
 
 
 def stream_batch_counts(spark, sf_dir):
-    """Records the stream saw, by its own count, beside the rows it wrote."""
+    """Records of all batches, by their own counts, beside the rows written."""
     folder = new_folder(spark, "counts")
-    stream = landing.observed(_events(spark, sf_dir, None).select("event_id"))
-    query = landing.write_batches(stream, f"{folder}/state", landing.to_folder(f"{folder}/data"))
-    query.awaitTermination()
-    seen = sum(n for _, n in landing.batch_counts(query))
-    return spark.read.schema("event_id bigint").parquet(f"{folder}/data").agg(
-        F.lit(seen).cast("bigint").alias("observed"), F.count("*").alias("written"))
+    stream = _scattered(spark, sf_dir, folder).select("event_id")
+    write = landing.counted(landing.to_folder(f"{folder}/data"), f"{folder}/counts")
+    landing.write_batches(stream, f"{folder}/state", write).awaitTermination()
+    seen = landing.batch_counts(spark, f"{folder}/counts").agg(F.sum("records").alias("observed"))
+    written = spark.read.schema("event_id bigint").parquet(f"{folder}/data").agg(F.count("*").alias("written"))
+    return seen.select("observed", written.scalar().alias("written"))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -134,8 +139,8 @@ ORACLES = {
         hours AS (SELECT date_trunc('hour', ts) AS hour, COUNT(*) AS total_streams FROM plays GROUP BY 1)
         SELECT strftime(hour, '%Y-%m-%d') AS stream_date, strftime(hour, '%H') AS stream_hour, total_streams
         FROM hours WHERE hour + INTERVAL 1 HOUR <= (SELECT max(ts) FROM plays) - INTERVAL 1 HOUR""",
-    "stream_fanout": """SELECT event_id, user_id, props, CASE WHEN event_type IN ('signup', 'error') THEN 'auth'
-        WHEN event_type = 'purchase' THEN 'page_view' ELSE 'listen' END AS topic FROM events""",
+    "stream_fanout": """SELECT event_id, user_id, props, CASE event_type WHEN 'signup' THEN 'auth'
+        WHEN 'purchase' THEN 'page_view' WHEN 'view' THEN 'listen' WHEN 'click' THEN 'listen' END AS topic FROM events""",
     "stream_forward": """SELECT CAST(event_id AS VARCHAR) AS key, CAST(event_id AS VARCHAR) AS id, event_type, props
         FROM events""",
     "stream_batch_counts": "SELECT COUNT(*) AS observed, COUNT(*) AS written FROM events",

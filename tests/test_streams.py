@@ -3,6 +3,7 @@
 import json
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,13 +56,27 @@ def test_landing(spark, tmp_path):
 def test_fan_out_and_counts(spark, tmp_path):
     for i in range(3):
         land(tmp_path / "in", f"{i}.json", [{"topic": t, "id": i} for t in ("auth", "listen", "other")])
+    land(tmp_path / "in", "none.json", [{"topic": None, "id": 9}])
     stream = sources.read_arrivals(spark, str(tmp_path / "in"), "topic string, id bigint", files_per_batch=1)
-    routes = {"auth": landing.to_folder(str(tmp_path / "auth")), "listen": landing.to_documents(str(tmp_path / "listen"))}
-    query = landing.fan_out(landing.observed(stream), "topic", routes, str(tmp_path / "state"))
-    query.awaitTermination()
-    assert [n for _, n in landing.batch_counts(query)] == [3, 3, 3]
+    auth = landing.counted(landing.to_folder(str(tmp_path / "auth")), str(tmp_path / "counts"))
+    routes = {"auth": auth, "listen": landing.to_documents(str(tmp_path / "listen"))}
+    rest = landing.to_folder(str(tmp_path / "rest"))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    landing.fan_out(stream, "topic", routes, rest, str(tmp_path / "state")).awaitTermination()
+    spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert sorted(r.records for r in landing.batch_counts(spark, str(tmp_path / "counts")).collect()) == [0, 1, 1, 1]
     assert rows(spark.read.schema("id bigint").parquet(str(tmp_path / "auth")).select("id")) == [(0,), (1,), (2,)]
     assert rows(spark.read.schema("id bigint").json(str(tmp_path / "listen")).select("id")) == [(0,), (1,), (2,)]
+    left = spark.read.schema("topic string, id bigint").parquet(str(tmp_path / "rest")).select("topic", "id")
+    assert rows(left) == [("other", 0), ("other", 1), ("other", 2), (None, 9)]
+
+
+def test_runs_do_not_replace_each_other(spark, tmp_path):
+    land(tmp_path / "in", "a.json", [{"id": i} for i in range(5)])
+    for run in ("one", "two"):
+        stream = sources.read_arrivals(spark, str(tmp_path / "in"), "id bigint")
+        landing.write_batches(stream, str(tmp_path / run), landing.to_folder(str(tmp_path / "out"))).awaitTermination()
+    assert spark.read.schema("id bigint").parquet(str(tmp_path / "out")).count() == 10
 
 
 def test_repeated_batch_replaces_itself(spark, tmp_path):
@@ -72,19 +87,19 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
     assert spark.read.schema("id bigint").parquet(str(tmp_path / "out")).count() == 5
 
 
-def test_hourly_counts_match_closed_hours(spark, tmp_path):
-    plays = [{"ts": (AT + timedelta(minutes=7 * i)).isoformat()} for i in range(60)]
-    land(tmp_path / "in", "a.json", plays)
-    stream = sources.read_arrivals(spark, str(tmp_path / "in"), "ts timestamp")
-    counts = landing.hourly_counts(stream, "ts").select(F.col("window.start").alias("hour"), "total_streams")
-    writer = counts.writeStream.format("parquet").outputMode("append").option(
-        "checkpointLocation", str(tmp_path / "state"))
-    landing.trigger(writer, None).start(str(tmp_path / "out")).awaitTermination()
-    last = AT + timedelta(minutes=7 * 59)
-    batch = spark.createDataFrame([(p["ts"],) for p in plays], "ts string").groupBy(
-        F.date_trunc("HOUR", F.col("ts").cast("timestamp")).alias("hour")).agg(F.count("*").alias("total_streams"))
-    closed = batch.filter(F.col("hour") + F.expr("INTERVAL 2 HOURS") <= F.lit(last.isoformat()).cast("timestamp"))
-    assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(closed) and closed.count() > 3
+@pytest.mark.parametrize("files_per_batch", [1, None])
+def test_hourly_counts_do_not_depend_on_batches(spark, tmp_path, files_per_batch):
+    days = [20, 21, 1, 2]
+    for i, day in enumerate(days):
+        plays = [{"ts": datetime(2024, 3, day, 7) + timedelta(minutes=7 * k)} for k in range(30)]
+        land(tmp_path / "in", f"{i}.json", [{"ts": p["ts"].isoformat()} for p in plays])
+    stream = sources.read_arrivals(spark, str(tmp_path / "in"), "ts timestamp_ntz", files_per_batch=files_per_batch)
+    write = landing.hourly_partials("ts", str(tmp_path / "out"))
+    landing.write_batches(stream, str(tmp_path / "state"), write).awaitTermination()
+    everything = landing.hourly_counts(spark, str(tmp_path / "out"), None, "timestamp_ntz")
+    assert everything.agg(F.sum("total_streams")).first()[0] == 120 and everything.count() == 16
+    closed = landing.hourly_counts(spark, str(tmp_path / "out"), time_type="timestamp_ntz")
+    assert sorted(r.hour for r in closed.collect())[-1] == datetime(2024, 3, 21, 8) and closed.count() == 14
 
 
 def test_keyed(spark):
