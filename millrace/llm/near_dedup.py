@@ -18,7 +18,7 @@ from millrace.session import settle
 BANDS, ROWS = 32, 4
 # Members of a bucket, still in different components, up to which all its pairs are candidates. Beyond it
 # candidates come from an exact prefix filter.
-CROWD = 32
+CROWD = 8
 # Standard deviations by which the share of equal signature bytes may fall short before a pair is ruled out.
 SLACK = 6.0
 # Ids are broadcast to a scan up to this number; beyond it the scan is shuffled.
@@ -180,27 +180,32 @@ def _crossing(members: DataFrame) -> DataFrame:
     return counts.where("lo <> hi").select("key", "m")
 
 
-def _pairs_across(members: DataFrame) -> DataFrame:
-    """All pairs of members of a bucket that are in different components.
+def _pairs_across(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes that share a key, are in different components and can be similar enough.
 
-    Components are paired first, then expanded to members, so that the members of one large component
-    never meet each other.
+    members: key, node, label, n and `left`, the most members that two sets can share if this key is the
+    first they share. Nodes alike in label, n and left are paired as one group first, then expanded, so the
+    members of one large component never meet each other.
     """
-    parts = members.groupBy("key", "label").agg(F.count("*").alias("size"))
-    other = parts.select("key", F.col("label").alias("label_b"))
-    meet = parts.select("key", F.col("label").alias("label_a")).join(other, "key").where("label_a < label_b")
-    one = members.select("key", F.col("label").alias("label_a"), F.col("node").alias("x"), F.col("n").alias("n_a"))
-    two = members.select("key", F.col("label").alias("label_b"), F.col("node").alias("y"), F.col("n").alias("n_b"))
-    found = meet.join(one, ["key", "label_a"]).join(two, ["key", "label_b"])
-    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "n_a", "n_b")
+    alike = ["key", "label", "n", "left"]
+    groups = members.groupBy(*alike).agg(F.count("*").alias("size"))
+    one = groups.select("key", *(F.col(c).alias(f"{c}_a") for c in alike[1:]))
+    two = groups.select("key", *(F.col(c).alias(f"{c}_b") for c in alike[1:]))
+    enough = F.least("left_a", "left_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    meet = one.join(two, "key").where((F.col("label_a") < F.col("label_b")) & enough)
+    one = members.select("key", *(F.col(c).alias(f"{c}_a") for c in alike[1:]), F.col("node").alias("x"))
+    two = members.select("key", *(F.col(c).alias(f"{c}_b") for c in alike[1:]), F.col("node").alias("y"))
+    found = meet.join(one, ["key", "label_a", "n_a", "left_a"]).join(two, ["key", "label_b", "n_b", "left_b"])
+    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 def _prefix_pairs(members: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """All pairs of the members, in different components, that can be similar enough.
 
     Exact: if sets of sizes n and m are that similar, they share one of the n - ceil(p n) + 1 first members
-    of one and of the m - ceil(p m) + 1 first members of the other in any fixed order. Rare members come
-    first here, so that what sets a text apart fills its prefix.
+    of one and of the m - ceil(p m) + 1 first members of the other in any fixed order; and where they share
+    their first one, no more than what is left from there on can be shared. Rare members come first here, so
+    that what sets a text apart fills its prefix.
     """
     members = members.select("node", "n", "label").distinct()
     texts = _texts_of(members.select("node"), docs, nodes, shingle)
@@ -210,7 +215,8 @@ def _prefix_pairs(members: DataFrame, docs: DataFrame, nodes: DataFrame, shingle
         "place", F.row_number().over(Window.partitionBy("node").orderBy("df", "token"))).join(members, "node")
     prefix = F.floor(F.col("n") - F.ceil(F.col("n") * percent / 100.0 - 1e-9) + 1)
     heads = placed.where((F.col("place") <= prefix) & (F.col("df") > 1))
-    return _pairs_across(settle(heads.select(F.col("token").alias("key"), "node", "n", "label"), "heads"))
+    heads = heads.select(F.col("token").alias("key"), "node", "n", "label", (F.col("n") - F.col("place") + 1).alias("left"))
+    return _pairs_across(settle(heads, "heads"), percent)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
@@ -268,13 +274,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rest = rest.join(_crossing(rest), "key").where("node <> center")
     crossing = _crossing(rest).withColumnRenamed("m", "others")
     rest = settle(rest.drop("m").join(crossing, "key"), "unsettled")
-    small = rest.where(F.col("others") <= CROWD).select("key", "node", "n", "label")
+    small = rest.where(F.col("others") <= CROWD).select("key", "node", "n", "label", F.col("n").alias("left"))
     crowded = rest.where(F.col("others") > CROWD).select("key", "node", "n", "label")
-    pairs = _pairs_across(small)
+    pairs = _pairs_across(small, percent)
     if not crowded.isEmpty():
         pairs = pairs.unionAll(_prefix_pairs(crowded, docs, nodes, shingle, percent))
-    pairs = pairs.where(_close(percent))
-    pairs = pairs.select("a", "b").distinct().join(star.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = pairs.distinct().join(star.select("a", "b"), ["a", "b"], "left_anti")
     pairs = settle(pairs, "across")
     if not pairs.isEmpty():
         links = links.unionAll(_verified(pairs, docs, nodes, shingle, percent))
