@@ -19,8 +19,10 @@ def share_of_total(df: DataFrame, value: str, name: str, digits: int = 2) -> Dat
 
 
 def top_k(df: DataFrame, measure: str, k: int | None = None, ties: tuple[str, ...] = ()) -> DataFrame:
-    """Rows by descending measure; with k, the k first of them under the tie-breaking columns."""
-    ordered = df.orderBy(F.desc_nulls_last(measure), *[F.asc_nulls_last(t) for t in ties])
+    """Rows by descending measure, then the given columns, then all others, so that many rows of one measure
+    still spread over the tasks of the sort; with k, the first k of them."""
+    rest = [c for c in df.columns if c != measure and c not in ties]
+    ordered = df.orderBy(F.desc_nulls_last(measure), *[F.asc_nulls_last(t) for t in (*ties, *rest)])
     return ordered if k is None else ordered.limit(k)
 
 

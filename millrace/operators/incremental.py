@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampNTZType
 
 from ..functions.times import moment
 from .upsert import merge
-from .versioned import VersionedTable
 
 
 def high_water_mark(target: DataFrame, column: str):
@@ -86,17 +86,37 @@ def last_run(log: DataFrame, package: str) -> DataFrame:
 
 
 class RunLog:
-    """The control table kept as a versioned table: a run that fails half-way keeps its last run date."""
-
-    def __init__(self, table: VersionedTable):
-        self.table = table
+    """The control table, kept as a folder to which each change of a package appends its row with the time of
+    the change. The last row of a package counts, so a run that fails half-way keeps its last run date."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def current(self) -> DataFrame:
+        kept = StructType([*RUN_LOG.fields, StructField("CHANGED_DT", TimestampNTZType())])
+        try:
+            rows = self.spark.read.schema(kept).parquet(self.folder)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], RUN_LOG)
+        # A run that ends in the moment it began is done.
+        last = F.max(F.struct("CHANGED_DT", "STATUS", F.struct(*RUN_LOG.names).alias("row")))["row"]
+        return rows.groupBy("PKG_NAME").agg(last.alias("row")).select("row.*")
+
+    def _append(self, rows: DataFrame, at: datetime) -> None:
+        rows.withColumn("CHANGED_DT", moment(at)).coalesce(1).write.mode("append").parquet(self.folder)
+
+    def add(self, packages: DataFrame, at: datetime) -> None:
+        """Register packages: rows of the control table."""
+        self._append(packages.select(*[F.col(f.name).cast(f.dataType) for f in RUN_LOG.fields]), at)
 
     def begin(self, package: str, at: datetime) -> None:
-        self.table.rewrite(lambda log: begin_run(log, at, package))
+        self._append(begin_run(self.current(), at, package).filter(F.col("PKG_NAME") == package), at)
 
     def finish(self, package: str, at: datetime) -> None:
-        self.table.rewrite(lambda log: finish_run(log, at, package))
+        self._append(finish_run(self.current(), at, package).filter(F.col("PKG_NAME") == package), at)
 
     def last_run(self, package: str) -> datetime | None:
-        row = last_run(self.table.current(), package).first()
+        row = last_run(self.current(), package).first()
         return row and row["LAST_RUN_DT"]

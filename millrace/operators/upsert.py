@@ -19,11 +19,9 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import change_default
 from ..functions.times import moment
-from ..session import BROADCAST_ROWS, settle
+from ..session import BROADCAST_BYTES, BROADCAST_ROWS, planned_bytes, settle
 
 FLAG = "RECORD_STATUS"
-# Whole rows are wider than keys, so fewer of them may be broadcast.
-BROADCAST_WIDE_ROWS = BROADCAST_ROWS // 10
 # Audit columns per style: set on insert, and set on update.
 AUDIT_STYLES = {
     "created_updated": (["created_at", "updated_at"], ["updated_at"]),
@@ -36,6 +34,12 @@ def _keys_present(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
+def _sortable(df: DataFrame, column: str) -> Column:
+    """The column, or its text where its type has no order."""
+    kind = df.schema[column].dataType.simpleString()
+    return F.to_json(F.struct(column)) if "map<" in kind or "variant" in kind else F.col(column)
+
+
 class RepeatedKey(ValueError):
     """A change set has more than one row for a key."""
 
@@ -47,10 +51,13 @@ class ChangeSet:
     rows: DataFrame
     size: int
 
-    def beside_target(self, df: DataFrame, limit: int) -> DataFrame:
-        """`df`, made of these rows, as a join side: broadcast up to a limit of rows that were counted,
-        and sorted and merged beyond it, whatever the size of its files suggests."""
-        return F.broadcast(df) if self.size <= limit else df.hint("merge")
+    def fits(self, df: DataFrame) -> bool:
+        """Whether `df`, made of these rows, may be broadcast: by their counted number and its planned bytes."""
+        return self.size <= BROADCAST_ROWS and planned_bytes(df) <= BROADCAST_BYTES
+
+    def beside_target(self, df: DataFrame) -> DataFrame:
+        """`df` as a join side: broadcast if it fits, sorted and merged otherwise."""
+        return F.broadcast(df) if self.fits(df) else df.hint("merge")
 
 
 def one_row_per_key(source: DataFrame, keys: list[str], latest_by: str | None = None) -> ChangeSet:
@@ -64,7 +71,9 @@ def one_row_per_key(source: DataFrame, keys: list[str], latest_by: str | None =
     found = per_key.agg(
         F.count("*").alias("keys"), F.max("_n").alias("most"), F.max_by(F.struct(*keys), "_n").alias("key")).first()
     if latest_by:
-        whole = F.max_by(F.struct(*source.columns), F.col(latest_by)).alias("_row")
+        # A NULL order is the least, and of equal ones the greatest row wins, so no key is left without a row.
+        order = F.struct(F.col(latest_by).isNotNull(), F.col(latest_by), *[_sortable(source, c) for c in source.columns])
+        whole = F.max_by(F.struct(*source.columns), order).alias("_row")
         latest = complete.groupBy(*keys).agg(whole)
         rows = latest.select(*keys, *[F.col("_row")[c].alias(c) for c in source.columns if c not in keys])
         return ChangeSet(rows, found["keys"])
@@ -82,7 +91,12 @@ def detect_changes(staging: DataFrame, target: DataFrame, key: str, ignore: tupl
     types = dict(target.dtypes)
     compared = [c for c in target.columns if c != key and c != "LAST_UPDATED_DT" and c not in ignore]
     old = target.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_old_{c}") for c in compared])
-    joined = staging.filter(F.col(key).isNotNull()).join(old, staging[key] == F.col("_key"), "left")
+    known = staging.filter(F.col(key).isNotNull())
+    wanted = known.select(F.col(key).alias("_key")).distinct()
+    if planned_bytes(wanted) <= BROADCAST_BYTES and wanted.count() <= BROADCAST_ROWS:
+        # Few keys: the target is reduced to them where it lies, and only those rows move.
+        old = old.join(F.broadcast(wanted), "_key", "left_semi")
+    joined = known.join(old, known[key] == F.col("_key"), "left")
     differs = reduce(
         lambda a, b: a | b,
         [change_default(F.col(c), types[c]) != change_default(F.col(f"_old_{c}"), types[c]) for c in compared],
@@ -101,7 +115,7 @@ def _update(target: DataFrame, changes: ChangeSet, keys: list[str], stamps: dict
     side = source.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(c).alias(f"_new_{c}") for c in taken])
     on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in keys])
     matched = F.col(f"_k_{keys[0]}").isNotNull()
-    side = changes.beside_target(side, BROADCAST_WIDE_ROWS)
+    side = changes.beside_target(side)
     joined = target.filter(_keys_present(keys)).join(side, on, "left")
     types = dict(target.dtypes)
     columns = []
@@ -122,7 +136,7 @@ def _absent(changes: ChangeSet, target: DataFrame, keys: list[str]) -> DataFrame
     the few left decide. Beyond that, target keys collapse before the shuffle, so a hot one stays small.
     """
     source = changes.rows
-    if changes.size <= BROADCAST_ROWS:
+    if changes.fits(source.select(*keys)):
         shared = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi").distinct()
         return source.join(F.broadcast(shared), keys, "left_anti")
     return source.join(target.select(*keys).distinct().hint("merge"), keys, "left_anti")
@@ -164,6 +178,9 @@ def insert_if_absent(target: DataFrame, source: DataFrame, keys: list[str], audi
 
 def apply_flagged(target: DataFrame, changes: DataFrame, keys: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
     """Apply a flagged change set: 'U' rows update, 'I' rows are inserted, the flag is dropped."""
+    unknown = ~F.coalesce(F.col(FLAG).isin("I", "U"), F.lit(False)) | ((F.col(FLAG) == "U") & ~_keys_present(keys))
+    if not changes.filter(unknown).isEmpty():
+        raise ValueError(f"{FLAG} must be 'I' or 'U', and a 'U' row must have its keys")
     updates = one_row_per_key(changes.filter(F.col(FLAG) == "U").drop(FLAG), keys)
     inserts = changes.filter(F.col(FLAG) == "I").drop(FLAG)
     return _update(target, updates, keys, {}, keep).unionByName(_insertable(inserts, target, {}))

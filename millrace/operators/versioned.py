@@ -1,150 +1,47 @@
-"""Versioned tables: append and overwrite commits, schema evolution and reads as of a version or time.
+"""Rows with a history: each carries the commit that added it and the one that removed it.
 
-A table is a folder of Parquet data partitioned by the commit that added it, and a commit log with one
-row per change. A commit replaces everything before it or adds to it, so the rows of a version are a
-range of commits, which Spark selects as partitions. Columns are stored under the name they were added
-with; the log maps stored names to the names in force, so renaming rewrites nothing.
+A history is a DataFrame with the columns `added_in` and `removed_in` (null while the row is in force);
+commits are a DataFrame with `snapshot_id`, `committed_at` and `operation`. Both come from where the caller
+keeps them. The functions only filter; a range of commit numbers reaches a scan that is partitioned by them.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.times import moment
 
-LOG_SCHEMA = T.StructType([
-    T.StructField("snapshot_id", T.LongType()),
-    T.StructField("committed_at", T.TimestampNTZType()),
-    T.StructField("operation", T.StringType()),
-    # JSON list of [stored name, name in force, type] in column order.
-    T.StructField("columns_json", T.StringType()),
-])
-DATA_OPERATIONS = ("append", "overwrite")
-
-
-class VersionedTable:
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
-
-    @classmethod
-    def create(cls, spark: SparkSession, folder: str, schema: T.StructType, at: datetime | None = None) -> VersionedTable:
-        table = cls(spark, folder)
-        table._commit(0, "create", [[f.name, f.name, f.dataType.simpleString()] for f in schema.fields], at)
-        return table
-
-    @classmethod
-    def exists(cls, spark: SparkSession, folder: str) -> bool:
-        try:
-            return bool(cls(spark, folder).log().head(1))
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return False
-            raise
-
-    # --- changes -----------------------------------------------------------------------------------
-
-    def append(self, df: DataFrame, at: datetime | None = None) -> int:
-        return self._write(df, "append", at)
-
-    def overwrite(self, df: DataFrame, at: datetime | None = None) -> int:
-        return self._write(df, "overwrite", at)
-
-    def rewrite(self, change: Callable[[DataFrame], DataFrame], at: datetime | None = None) -> int:
-        """Commit what a change makes of the current rows. It is written beside them, so readers see the
-        old rows until the new ones are complete."""
-        return self.overwrite(change(self.current()), at)
-
-    def add_column(self, name: str, data_type: str, at: datetime | None = None) -> int:
-        version, columns = self._head()
-        if any(name == c[1] for c in columns):
-            raise ValueError(f"column {name} exists")
-        taken = {c[0] for c in columns}
-        stored = name if name not in taken else f"{name}_{version + 1}"
-        return self._commit(version + 1, "add_column", [*columns, [stored, name, data_type]], at)
-
-    def rename_column(self, old: str, new: str, at: datetime | None = None) -> int:
-        version, columns = self._head()
-        if all(old != c[1] for c in columns) or any(new == c[1] for c in columns):
-            raise ValueError(f"cannot rename {old} to {new}")
-        renamed = [[c[0], new if c[1] == old else c[1], c[2]] for c in columns]
-        return self._commit(version + 1, "rename_column", renamed, at)
-
-    # --- reads -------------------------------------------------------------------------------------
-
-    def log(self) -> DataFrame:
-        return self.spark.read.schema(LOG_SCHEMA).json(f"{self.folder}/log")
-
-    def snapshots(self) -> DataFrame:
-        """Data commits, oldest first."""
-        data = self.log().filter(F.col("operation").isin(*DATA_OPERATIONS))
-        return data.select("snapshot_id", "committed_at", "operation").orderBy("snapshot_id")
-
-    def rows_per_commit(self) -> DataFrame:
-        """Rows added by each data commit."""
-        data = self.spark.read.schema("snapshot_id bigint").parquet(f"{self.folder}/data")
-        added = data.groupBy("snapshot_id").agg(F.count("*").alias("added_rows"))
-        return self.snapshots().join(added, "snapshot_id", "left").withColumn(
-            "added_rows", F.coalesce("added_rows", F.lit(0)))
-
-    def current(self) -> DataFrame:
-        return self.as_of_version(self._head()[0])
-
-    def as_of_version(self, version: int) -> DataFrame:
-        """Rows of a version, under the column names in force at it."""
-        upto = self.log().filter(F.col("snapshot_id") <= version)
-        state = upto.agg(
-            F.max("snapshot_id").alias("last"),
-            F.max_by("columns_json", "snapshot_id").alias("columns_json"),
-            F.max(F.when(F.col("operation") == "overwrite", F.col("snapshot_id"))).alias("base"),
-        ).first()
-        if state["last"] != version:
-            raise ValueError(f"no version {version}")
-        columns = json.loads(state["columns_json"])
-        names = [F.col(f"`{stored}`").alias(name) for stored, name, _ in columns]
-        if not upto.filter(F.col("operation").isin(*DATA_OPERATIONS)).head(1):
-            empty = T.StructType.fromDDL(", ".join(f"`{stored}` {kind}" for stored, _, kind in columns))
-            return self.spark.createDataFrame([], empty).select(*names)  # created, never written
-        schema = ", ".join([*[f"`{stored}` {kind}" for stored, _, kind in columns], "snapshot_id bigint"])
-        data = self.spark.read.schema(schema).parquet(f"{self.folder}/data")
-        return data.filter(F.col("snapshot_id").between(state["base"] or 0, version)).select(*names)
-
-    def as_of_time(self, at: datetime) -> DataFrame:
-        """Rows at a moment; a time with an offset is converted to UTC first."""
-        if at.tzinfo is not None:
-            at = at.astimezone(UTC).replace(tzinfo=None)
-        version = self.log().filter(F.col("committed_at") <= moment(at)).agg(F.max("snapshot_id")).first()[0]
-        if version is None:
-            raise ValueError(f"no version at {at}")
-        return self.as_of_version(version)
-
-    # --- helpers -----------------------------------------------------------------------------------
-
-    def _head(self) -> tuple[int, list[list[str]]]:
-        row = self.log().agg(F.max("snapshot_id"), F.max_by("columns_json", "snapshot_id")).first()
-        return row[0], json.loads(row[1])
-
-    def _write(self, df: DataFrame, operation: str, at: datetime | None) -> int:
-        """Data first, log row last: a commit that fails half-way is invisible and is overwritten by the next."""
-        version, columns = self._head()
-        unknown = set(df.columns) - {c[1] for c in columns}
-        if unknown:
-            raise ValueError(f"columns not in the table: {sorted(unknown)}")
-        stored = df.select(*[F.col(f"`{name}`").cast(kind).alias(stored) for stored, name, kind in columns
-                             if name in df.columns])
-        stored.write.mode("overwrite").parquet(f"{self.folder}/data/snapshot_id={version + 1}")
-        return self._commit(version + 1, operation, columns, at)
-
-    def _commit(self, version: int, operation: str, columns: list[list[str]], at: datetime | None) -> int:
-        at = at or datetime.now(UTC).replace(tzinfo=None)
-        values = (F.lit(version), moment(at), F.lit(operation), F.lit(json.dumps(columns)))
-        row = self.spark.range(1, numPartitions=1).select(
-            *[v.cast(f.dataType).alias(f.name) for v, f in zip(values, LOG_SCHEMA.fields, strict=True)])
-        row.write.mode("append").json(f"{self.folder}/log")
-        return version
+ADDED, REMOVED = "added_in", "removed_in"
+
+
+def rows_at_version(rows: DataFrame, version: int) -> DataFrame:
+    """Rows in force after a commit, without the history columns."""
+    removed = F.col(REMOVED).isNull() | (F.col(REMOVED) > version)
+    return rows.filter((F.col(ADDED) <= version) & removed).drop(ADDED, REMOVED)
+
+
+def current_rows(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col(REMOVED).isNull()).drop(ADDED, REMOVED)
+
+
+def version_at(commits: DataFrame, at: datetime) -> int:
+    """The last commit up to a moment; a time with an offset is converted to UTC first."""
+    if at.tzinfo is not None:
+        at = at.astimezone(UTC).replace(tzinfo=None)
+    version = commits.filter(F.col("committed_at") <= moment(at)).agg(F.max("snapshot_id")).first()[0]
+    if version is None:
+        raise ValueError(f"no commit at {at}")
+    return version
+
+
+def rows_at_time(rows: DataFrame, commits: DataFrame, at: datetime) -> DataFrame:
+    return rows_at_version(rows, version_at(commits, at))
+
+
+def rows_per_commit(rows: DataFrame, commits: DataFrame) -> DataFrame:
+    """Each commit with the number of rows it added."""
+    added = rows.groupBy(F.col(ADDED).alias("snapshot_id")).agg(F.count("*").alias("added_rows"))
+    return commits.join(added, "snapshot_id", "left").withColumn("added_rows", F.coalesce("added_rows", F.lit(0)))

@@ -6,13 +6,14 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import quality
 from ..operators.cleaning import clean_auth, clean_listen, clean_page_view
 from ..operators.incremental import new_rows
 from ..operators.upsert import merge
-from ..operators.versioned import VersionedTable
+from ..session import settle
 from ..sources.catalog import Sources
 from . import marts
 
@@ -71,18 +72,20 @@ MODELS = {m.name: m for m in _default()}
 
 
 def _load_incremental(spark: SparkSession, model: Model, df: DataFrame, folder: str) -> DataFrame:
-    if not VersionedTable.exists(spark, folder):
-        table = VersionedTable.create(spark, folder, df.schema)
-        table.append(df)
-        return table.current()
-    table = VersionedTable(spark, folder)
-    current = table.current()
+    """New rows are appended; with merge keys the merged rows are written aside first, then put in place."""
+    try:
+        current = spark.read.schema(df.schema).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        df.write.parquet(folder)
+        return spark.read.schema(df.schema).parquet(folder)
     fresh = new_rows(df, current, model.mark)
     if model.merge_on:
-        table.overwrite(merge(current, fresh, list(model.merge_on)))
+        settle(merge(current, fresh, list(model.merge_on)), "merged").write.mode("overwrite").parquet(folder)
     else:
-        table.append(fresh)
-    return table.current()
+        fresh.write.mode("append").parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def run_models(spark: SparkSession, sources: Sources, folder: str, models: dict[str, Model] | None = None,

@@ -9,8 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side with at most this many narrow rows may be broadcast.
+# A side may be broadcast with at most this many rows and as many bytes, as Spark estimates them from the
+# sizes of its files and the widths of its columns.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 * 1024 ** 2
 SALTS = 64
 
 
@@ -81,15 +83,24 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """Spark's estimate of the size of a result, from file sizes and column widths. Where it has none, the
+    rows are read and their text is measured."""
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if estimate < 1 << 60:
+        return estimate
+    return df.select(F.sum(F.length(F.to_json(F.struct(*df.columns))))).first()[0] or 0
+
+
 def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join facts to a dimension that is expected, but not known, to be small.
 
-    The dimension is settled and counted first. Up to BROADCAST_ROWS it is broadcast, so facts do
-    not move. Beyond that both sides shuffle on the key plus a salt, so that no single key of the
+    The dimension is settled and counted first. Up to BROADCAST_ROWS and BROADCAST_BYTES it is broadcast,
+    so facts do not move. Beyond that both sides shuffle on the key plus a salt, so that no single key of the
     facts fills one task.
     """
     dim = settle(dim, "lookup")
-    if dim.count() <= BROADCAST_ROWS:
+    if planned_bytes(dim) <= BROADCAST_BYTES and dim.count() <= BROADCAST_ROWS:
         return facts.join(F.broadcast(dim), on, how)
     salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     row_hash = F.xxhash64(*[c for c in facts.columns if c not in on] or on)

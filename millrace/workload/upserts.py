@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions.times import moment
 from ..operators import incremental, quality, upsert
-from ..operators.versioned import VersionedTable
 from ..session import new_folder, settle
 from .tables import table
 
@@ -93,9 +92,10 @@ def merge_plain(spark, sf_dir):
 
 
 def merge_latest(spark, sf_dir):
-    """One row per customer: the latest order wins, and customers already known are updated."""
-    orders = _orders(spark, sf_dir).select(
-        "o_custkey", F.struct("o_orderdate", "o_orderkey").alias("stamp"), "o_orderkey", "o_totalprice")
+    """One row per customer: the latest order wins, and customers already known are updated. Some customers'
+    orders have no date, and orders of one month tie; then the largest order number wins."""
+    stamp = F.when(F.col("o_custkey") % 7 != 0, F.date_trunc("MONTH", "o_orderdate").cast("timestamp_ntz"))
+    orders = _orders(spark, sf_dir).select("o_custkey", stamp.alias("stamp"), "o_orderkey", "o_totalprice")
     known = table(spark, sf_dir, "customer").filter("c_acctbal < 5000").select(
         F.col("c_custkey").alias("o_custkey"), F.lit(None).cast("bigint").alias("o_orderkey"),
         F.col("c_acctbal").alias("o_totalprice"))
@@ -103,13 +103,12 @@ def merge_latest(spark, sf_dir):
 
 
 def merge_committed(spark, sf_dir):
-    """A merge committed to a table that is read while it is replaced."""
-    target = _target(spark, sf_dir, ("LAST_UPDATED_DT",))
-    kept = VersionedTable.create(spark, new_folder(spark, "orders"), target.schema, EARLIER)
-    kept.append(target, EARLIER)
-    staging = _staging(spark, sf_dir)
-    kept.rewrite(lambda rows: upsert.merge(rows, staging, ["o_orderkey"], "last_updated", AT), AT)
-    return kept.current()
+    """A merge into a stored table: the result goes to a folder of its own, the old one stays for its readers."""
+    folder = new_folder(spark, "orders")
+    _target(spark, sf_dir, ("LAST_UPDATED_DT",)).write.parquet(f"{folder}/1")
+    kept = spark.read.parquet(f"{folder}/1")
+    upsert.merge(kept, _staging(spark, sf_dir), ["o_orderkey"], "last_updated", AT).write.parquet(f"{folder}/2")
+    return spark.read.schema(kept.schema).parquet(f"{folder}/2")
 
 
 def insert_if_absent(spark, sf_dir):
@@ -207,7 +206,8 @@ ORACLES = {
     "merge_plain": f"{_SIDES} SELECT * FROM staging",
     "merge_committed": f"""{_SIDES} SELECT s.*, {AT_SQL} AS "LAST_UPDATED_DT" FROM staging s""",
     "merge_latest": """WITH latest AS (SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER
-            (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders)
+            (PARTITION BY o_custkey ORDER BY CASE WHEN o_custkey % 7 <> 0 THEN date_trunc('month', o_orderdate) END
+            DESC NULLS LAST, o_orderkey DESC) AS n FROM orders)
         SELECT o_custkey, o_orderkey, o_totalprice FROM latest WHERE n = 1 UNION ALL
         SELECT c_custkey, NULL, c_acctbal FROM customer WHERE c_acctbal < 5000
         AND c_custkey NOT IN (SELECT o_custkey FROM orders)""",

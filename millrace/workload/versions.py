@@ -1,4 +1,4 @@
-"""Versioned tables over `customer`, and the model registry over the event feeds."""
+"""Histories over `customer`, and the model registry over the event feeds."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
-from ..operators.versioned import VersionedTable
+from ..functions.times import moment
+from ..operators import versioned
 from ..plans.models import check_models, run_models
 from ..session import new_folder
 from ..sources.catalog import Sources
@@ -15,41 +16,47 @@ from .tables import feed, feed_sql, table
 _DAYS = [datetime(2024, 10, day) for day in range(1, 7)]
 
 
-def _versions(spark, sf_dir) -> VersionedTable:
-    """Create, append, add a column, append, rename the column, overwrite with known segments."""
+def _commits(spark):
+    """Two appends and a replacement; commits 2 and 4 only added and renamed a column."""
+    kinds = {1: "append", 3: "append", 5: "overwrite"}
+    rows = [F.struct(F.lit(k).cast("bigint").alias("snapshot_id"), moment(_DAYS[k]).alias("committed_at"),
+                     F.lit(kind).alias("operation")) for k, kind in kinds.items()]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
+
+
+def _history(spark, sf_dir):
+    """Customers as they were added by each commit, with all columns that ever were."""
     rows = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"), "c_acctbal", "c_mktsegment")
-    plain = rows.select("customer_id", "name", F.col("c_acctbal").alias("balance"), "c_mktsegment")
-    old = plain.filter("balance < 3000").drop("c_mktsegment")
-    made = VersionedTable.create(spark, new_folder(spark, "versions"), old.schema, _DAYS[0])
-    made.append(old, _DAYS[1])
-    made.add_column("segment", "string", _DAYS[2])
-    made.append(plain.filter("balance >= 3000").withColumnRenamed("c_mktsegment", "segment"), _DAYS[3])
-    made.rename_column("segment", "market", _DAYS[4])
-    made.overwrite(plain.withColumnRenamed("c_mktsegment", "market").withColumn("name", F.upper("name")), _DAYS[5])
-    return made
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"),
+        F.col("c_mktsegment").alias("segment"))
+    early = rows.filter("balance < 3000").withColumn("segment", F.lit(None).cast("string"))
+
+    def added(df, first, last):
+        return df.withColumns({versioned.ADDED: F.lit(first), versioned.REMOVED: F.lit(last).cast("int")})
+    first = added(early, 1, 5).unionByName(added(rows.filter("balance >= 3000"), 3, 5))
+    return first.unionByName(added(rows.withColumn("name", F.upper("name")), 5, None))
 
 
 def vt_current(spark, sf_dir):
-    return _versions(spark, sf_dir).current()
+    return versioned.current_rows(_history(spark, sf_dir)).withColumnRenamed("segment", "market")
 
 
 def vt_as_of_version(spark, sf_dir):
-    return _versions(spark, sf_dir).as_of_version(1)
+    return versioned.rows_at_version(_history(spark, sf_dir), 1).drop("segment")
 
 
 def vt_renamed(spark, sf_dir):
-    return _versions(spark, sf_dir).as_of_version(4)
+    return versioned.rows_at_version(_history(spark, sf_dir), 4).withColumnRenamed("segment", "market")
 
 
 def vt_as_of_time(spark, sf_dir):
     """A time seven hours east of UTC, just after the second append."""
     at = (_DAYS[3] + timedelta(hours=7, minutes=1)).replace(tzinfo=timezone(timedelta(hours=7)))
-    return _versions(spark, sf_dir).as_of_time(at)
+    return versioned.rows_at_time(_history(spark, sf_dir), _commits(spark), at)
 
 
 def vt_snapshots(spark, sf_dir):
-    return _versions(spark, sf_dir).rows_per_commit()
+    return versioned.rows_per_commit(_history(spark, sf_dir), _commits(spark))
 
 
 _RAW = {"listen_events": "raw_listen", "auth_events": "raw_auth", "page_view_events": "raw_page_view"}

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import session
-from millrace.operators import aggregates, columns, quality
-from millrace.operators.versioned import VersionedTable
+from millrace.operators import aggregates, columns, quality, versioned
 from millrace.plans import marts, models, trips
 from millrace.sinks import files as file_sinks
 from millrace.sinks import tables
@@ -246,47 +245,23 @@ def test_shuffles_follow_the_input(spark):
 
 # --- versions ---------------------------------------------------------------------------------------
 
-def test_versions(spark, tmp_path):
+def test_versions(spark):
     days = [datetime(2024, 10, d) for d in range(1, 8)]
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
-    table = VersionedTable.create(spark, str(tmp_path / "t"), schema, days[0])
-    assert VersionedTable.exists(spark, str(tmp_path / "t")) and not VersionedTable.exists(spark, str(tmp_path / "u"))
-    assert table.current().columns == ["id", "name"] and table.current().count() == 0
-    table.append(spark.createDataFrame([(1, "Alice")], schema), days[1])
-    table.add_column("phone", "string", days[2])
-    table.append(spark.createDataFrame([(3, "Charlie", "555")], "id bigint, name string, phone string"), days[3])
-    table.rename_column("phone", "phone_number", days[4])
-    assert table.current().columns == ["id", "name", "phone_number"]
-    assert rows(table.current()) == [(1, "Alice", None), (3, "Charlie", "555")]
-    table.add_column("phone", "int", days[5])
-    assert rows(table.current().select("phone_number", "phone")) == [("555", None), (None, None)]
-    table.overwrite(spark.createDataFrame([(9, "Z", "1", 7)], "id bigint, name string, phone_number string, phone int"), days[6])
-    assert rows(table.current()) == [(9, "Z", "1", 7)]
-    assert rows(table.as_of_version(1)) == [(1, "Alice")]
-    assert table.as_of_version(3).columns == ["id", "name", "phone"] and table.as_of_version(3).count() == 2
-    assert [tuple(r) for r in table.snapshots().select("snapshot_id", "operation").collect()] == [
-        (1, "append"), (3, "append"), (6, "overwrite")]
+    history = spark.createDataFrame(
+        [(1, "Alice", 1, None), (2, "Bob", 1, 3), (3, "Charlie", 3, 6), (3, "Carl", 6, None)],
+        "id bigint, name string, added_in int, removed_in int")
+    commits = spark.createDataFrame([(k, days[k], "append") for k in (1, 3, 6)],
+                                    "snapshot_id bigint, committed_at timestamp_ntz, operation string")
+    assert rows(versioned.current_rows(history)) == [(1, "Alice"), (3, "Carl")]
+    assert rows(versioned.rows_at_version(history, 2)) == [(1, "Alice"), (2, "Bob")]
+    assert rows(versioned.rows_at_version(history, 3)) == [(1, "Alice"), (3, "Charlie")]
+    assert rows(versioned.rows_at_version(history, 0)) == []
+    assert [tuple(r)[::3] for r in versioned.rows_per_commit(history, commits).orderBy("snapshot_id").collect()] == [
+        (1, 2), (3, 1), (6, 1)]
     east = timezone(timedelta(hours=7))
-    assert rows(table.as_of_time(datetime(2024, 10, 2, 7, 0, tzinfo=east))) == [(1, "Alice")]
-    assert rows(table.as_of_time(datetime(2024, 10, 2, 6, 59, tzinfo=east))) == []
+    assert versioned.rows_at_time(history, commits, datetime(2024, 10, 2, 7, 0, tzinfo=east)).count() == 2
     with pytest.raises(ValueError):
-        table.as_of_time(datetime(2024, 9, 1))
-    with pytest.raises(ValueError):
-        table.as_of_version(99)
-    with pytest.raises(ValueError):
-        table.append(spark.createDataFrame([(1,)], "unknown int"))
-    with pytest.raises(ValueError):
-        table.rename_column("name", "id")
-
-
-def test_failed_commit_is_invisible(spark, tmp_path):
-    schema = T.StructType([T.StructField("id", T.LongType())])
-    table = VersionedTable.create(spark, str(tmp_path / "t"), schema)
-    table.append(spark.range(3))
-    spark.range(50).write.parquet(str(tmp_path / "t" / "data" / "snapshot_id=2"))
-    assert table.current().count() == 3
-    table.append(spark.range(2))
-    assert table.current().count() == 5
+        versioned.rows_at_time(history, commits, datetime(2024, 10, 2, 6, 59, tzinfo=east))
 
 
 # --- models -----------------------------------------------------------------------------------------

@@ -7,7 +7,6 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from millrace.operators import incremental, upsert
-from millrace.operators.versioned import VersionedTable
 
 AT, BEFORE = datetime(2024, 5, 1), datetime(2020, 1, 1)
 KV = "k int, v string"
@@ -102,7 +101,6 @@ def test_merge_equals_dictionary_update(spark, limit, old, new):
     target, source = spark.createDataFrame(list(old.items()), KV), spark.createDataFrame(list(new.items()), KV)
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(upsert, "BROADCAST_ROWS", limit)
-        patch.setattr(upsert, "BROADCAST_WIDE_ROWS", limit)
         merged = upsert.merge(target, source, ["k"])
         assert rows(merged) == sorted({**old, **new}.items(), key=repr)
         assert ("SortMergeJoin" in merged._jdf.queryExecution().toString()) == (limit < len(new))
@@ -152,10 +150,57 @@ def test_run_log(spark):
 
 
 def test_run_log_is_kept(spark, tmp_path):
-    log = incremental.RunLog(VersionedTable.create(spark, str(tmp_path / "log"), incremental.RUN_LOG, BEFORE))
-    log.table.append(spark.createDataFrame([("p", 1, BEFORE, BEFORE, BEFORE)], incremental.RUN_LOG))
+    log = incremental.RunLog(spark, str(tmp_path / "log"))
+    assert log.last_run("p") is None
+    log.add(spark.createDataFrame([("p", 1, BEFORE, BEFORE, BEFORE)], incremental.RUN_LOG), BEFORE)
     log.begin("p", AT)
     assert log.last_run("p") == BEFORE and log.last_run("unknown") is None
     log.finish("p", datetime(2024, 5, 2))
     assert log.last_run("p") == AT
-    assert rows(log.table.current()) == [("p", 1, AT, datetime(2024, 5, 2), AT)]
+    assert rows(log.current()) == [("p", 1, AT, datetime(2024, 5, 2), AT)]
+
+
+def test_latest_never_erases(spark):
+    target = spark.createDataFrame([(1, "old", None)], "id int, name string, stamp int")
+    changes = spark.createDataFrame([(1, "new", None), (2, "fresh", None), (3, "a", 1), (3, "b", 1), (3, "c", None)],
+                                    target.schema)
+    got = upsert.merge(target, changes, ["id"], latest_by="stamp")
+    assert rows(got) == [(1, "new", None), (2, "fresh", None), (3, "b", 1)]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_staging_leaves_a_large_target_in_place(spark, tmp_path):
+    spark.range(200_000).selectExpr("id", "md5(CAST(id AS STRING)) AS v").write.parquet(str(tmp_path / "t"))
+    spark.createDataFrame([(5, "x"), (-1, "y")], "id bigint, v string").write.parquet(str(tmp_path / "s"))
+    target, staging = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        changes = upsert.detect_changes(staging, target, "id")
+        scan = _plan(changes).split("BroadcastHashJoin [id")
+        assert len(scan) > 1, _plan(changes)
+        assert rows(changes) == [(-1, "y", "I"), (5, "x", "U")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_wide_changes_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(upsert, "BROADCAST_BYTES", 1000)
+    target = spark.range(50).selectExpr("id", "'a' AS v")
+    changes = spark.range(40).selectExpr("id", "repeat('x', 1000) AS v")
+    merged = upsert.merge(target, changes, ["id"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in _plan(upsert.merge(target, changes, ["id"])) and merged.count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_unknown_flags_are_an_error(spark):
+    target = spark.createDataFrame([(1, "a")], "id int, v string")
+    for key, flag in ((1, "X"), (1, None), (None, "U")):
+        changes = spark.createDataFrame([(key, "b", flag)], "id int, v string, RECORD_STATUS string")
+        with pytest.raises(ValueError, match="RECORD_STATUS"):
+            upsert.apply_flagged(target, changes, ["id"])
