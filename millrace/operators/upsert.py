@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import change_default
 from ..functions.times import moment
-from ..session import BROADCAST_BYTES, BROADCAST_ROWS, planned_bytes, settle
+from ..session import BROADCAST_ROWS, narrow, settle
 
 FLAG = "RECORD_STATUS"
 # Audit columns per style: set on insert, and set on update.
@@ -52,8 +52,8 @@ class ChangeSet:
     size: int
 
     def fits(self, df: DataFrame) -> bool:
-        """Whether `df`, made of these rows, may be broadcast: by their counted number and its planned bytes."""
-        return self.size <= BROADCAST_ROWS and planned_bytes(df) <= BROADCAST_BYTES
+        """Whether `df`, made of these rows, may be broadcast: by their counted number and its bytes."""
+        return self.size <= BROADCAST_ROWS and narrow(df)
 
     def beside_target(self, df: DataFrame) -> DataFrame:
         """`df` as a join side: broadcast if it fits, sorted and merged otherwise."""
@@ -93,7 +93,7 @@ def detect_changes(staging: DataFrame, target: DataFrame, key: str, ignore: tupl
     old = target.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_old_{c}") for c in compared])
     known = staging.filter(F.col(key).isNotNull())
     wanted = known.select(F.col(key).alias("_key")).distinct()
-    if planned_bytes(wanted) <= BROADCAST_BYTES and wanted.count() <= BROADCAST_ROWS:
+    if wanted.count() <= BROADCAST_ROWS and narrow(wanted):
         # Few keys: the target is reduced to them where it lies, and only those rows move.
         old = old.join(F.broadcast(wanted), "_key", "left_semi")
     joined = known.join(old, known[key] == F.col("_key"), "left")

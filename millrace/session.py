@@ -83,13 +83,19 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Spark's estimate of the size of a result, from file sizes and column widths. Where it has none, the
-    rows are read and their text is measured."""
+_FIXED = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "timestamp", "timestamp_ntz")
+
+
+def narrow(df: DataFrame) -> bool:
+    """Whether a result of at most BROADCAST_ROWS rows has no more than BROADCAST_BYTES, so that it may be
+    broadcast. A plan whose files are too large settles it; texts and nested values are measured, since
+    estimates know neither their lengths nor their compression."""
+    if all(kind in _FIXED for _, kind in df.dtypes):
+        return True
     estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if estimate < 1 << 60:
-        return estimate
-    return df.select(F.sum(F.length(F.to_json(F.struct(*df.columns))))).first()[0] or 0
+    if BROADCAST_BYTES < estimate < 1 << 60:
+        return False
+    return (df.select(F.sum(F.length(F.to_json(F.struct(*df.columns))))).first()[0] or 0) <= BROADCAST_BYTES
 
 
 def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
@@ -100,7 +106,7 @@ def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "inner")
     facts fills one task.
     """
     dim = settle(dim, "lookup")
-    if planned_bytes(dim) <= BROADCAST_BYTES and dim.count() <= BROADCAST_ROWS:
+    if dim.count() <= BROADCAST_ROWS and narrow(dim):
         return facts.join(F.broadcast(dim), on, how)
     salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     row_hash = F.xxhash64(*[c for c in facts.columns if c not in on] or on)
