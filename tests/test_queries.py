@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from millrace import workload
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +20,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(workload.all_queries()))
 def test_query(spark, con, sf_dir, name):
     df = entry.queries()[name](spark, sf_dir)
     assert not [node for node in FORBIDDEN if node in plan_of(df)]
@@ -57,5 +58,5 @@ def test_flagship(spark):
 
 
 def test_only_listing_has_no_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"object_listing"}
+    assert set(workload.all_queries()) - set(workload.all_oracles()) == {"object_listing"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
