@@ -31,6 +31,24 @@ def store_cards(df: DataFrame, key: str, arrival: list[str], block: str, link: s
         at["lat"].alias("latitude"), at["long"].alias("longitude"))
 
 
+def stores_by_region(df: DataFrame, key: str, arrival: list[str], region_link: str, address: str, link: str) -> DataFrame:
+    """Like `stores` where the province is the second-last part of the link of the region's list."""
+    first, at = first_by_key(df, [key], arrival), texts.marker_coordinates(F.col(link))
+    return first.select(
+        key, texts.path_segment(F.col(region_link), 2).alias("province"), F.col(address).alias("address"),
+        F.col(link).alias("map_url"), at["lat"].alias("latitude"), at["long"].alias("longitude"))
+
+
+def stores_by_row(df: DataFrame, key: str, arrival: list[str], province: str, address: str, link: str,
+                  mark: str = "=") -> DataFrame:
+    """Like `stores` where rows carry their province and the link ends in the coordinates after the last
+    `mark`, which is `=` or `/`."""
+    first, at = first_by_key(df, [key], arrival), texts.trailing_coordinates(F.col(link), mark)
+    return first.select(
+        key, F.col(province).alias("province"), F.col(address).alias("address"), F.col(link).alias("map_url"),
+        at["lat"].alias("latitude"), at["long"].alias("longitude"))
+
+
 # Tag patterns. A section is the inner text of one element; DOTALL lets it span lines.
 def element(html: Column, tag: str) -> Column:
     """Inner markup of the first element of that tag; NULL when there is none."""

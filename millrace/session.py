@@ -29,6 +29,9 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
     )
     if master:
         builder = builder.master(master)
+    if not (master or "").startswith("local"):
+        # Exchanges begin with many partitions; adaptive execution merges those that turn out small.
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "4096")
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,28 +11,37 @@ LOAD_PARTS = 6
 BATCH_ROWS = 1000
 
 
-def column_type(data_type: T.DataType) -> str:
-    """Warehouse type of a column; anything but numbers, booleans and timestamps is text."""
-    if isinstance(data_type, T.IntegralType):
-        return "INTEGER"
-    if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        return "DOUBLE"
-    if isinstance(data_type, T.BooleanType):
-        return "TINYINT"
-    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return "TIMESTAMP"
-    return "VARCHAR(255)"
+# The types of the warehouse's own table creation, by class of Spark types; all others are
+# VARCHAR(255). They are narrower than the data may be, so they are used on request only.
+WAREHOUSE_TYPES = {
+    "INTEGER": (T.IntegralType,), "DOUBLE": (T.FloatType, T.DoubleType), "TINYINT": (T.BooleanType,),
+    "TIMESTAMP": (T.TimestampType, T.TimestampNTZType),
+}
+# Names of exact types where the catalog's name is no SQL of other databases.
+_EXACT = {"tinyint": "SMALLINT", "int": "INTEGER", "string": "TEXT", "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE PRECISION",
+          "float": "REAL"}
+
+
+def column_type(data_type: T.DataType, warehouse: bool = False) -> str:
+    """Type of a column that holds every value, or the warehouse's own narrower one."""
+    if warehouse:
+        return next((name for name, kinds in WAREHOUSE_TYPES.items() if isinstance(data_type, kinds)), "VARCHAR(255)")
+    name = data_type.simpleString()
+    return _EXACT.get(name, name.upper())
 
 
-def create_statement(schema_name: str, table: str, schema: T.StructType) -> str:
+def create_statement(schema_name: str, table: str, schema: T.StructType, warehouse: bool = False) -> str:
     """CREATE TABLE text for a DataFrame schema, with upper-cased names."""
-    columns = ", ".join(f'"{f.name.upper()}" {column_type(f.dataType)}' for f in schema.fields)
+    columns = ", ".join(f'"{f.name.upper()}" {column_type(f.dataType, warehouse)}' for f in schema.fields)
     return f'CREATE TABLE "{schema_name}"."{table.upper()}" ({columns})'
 
 
-def created_types(schema: T.StructType) -> dict[str, str]:
-    """Writer option that gives the columns of a table made by the JDBC sink the same types."""
-    return {"createTableColumnTypes": ", ".join(f"`{f.name}` {column_type(f.dataType)}" for f in schema.fields)}
+def created_types(schema: T.StructType, warehouse: bool = False) -> dict[str, str]:
+    """Writer option for the columns of a table made by the JDBC sink. Without the warehouse's own types
+    there is nothing to say: the sink's dialect has a type for every value."""
+    if not warehouse:
+        return {}
+    return {"createTableColumnTypes": ", ".join(f"`{f.name}` {column_type(f.dataType, True)}" for f in schema.fields)}
 
 
 def create_if_missing(spark: SparkSession, table: str, schema: T.StructType, folder: str) -> bool:
@@ -73,23 +80,28 @@ def truncate_load(df: DataFrame, table: str) -> None:
 
 
 def full_refresh(df: DataFrame, table: str, schema: T.StructType, folder: str) -> DataFrame:
-    """Drop the table if it exists, create it with declared types in a new folder and fill it."""
+    """Write the rows with declared types to a new folder, then let the table stand for it. Until the rows are
+    complete the old table stays as it is."""
     spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
     typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    typed.write.mode("overwrite").option("path", folder).saveAsTable(table)
+    typed.write.mode("errorifexists").parquet(folder)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.catalog.createTable(table, path=folder, source="parquet", schema=schema)
     return spark.table(table)
 
 
-def split_rejects(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Rows that fit the typed schema, and the raw rows that do not with the columns at fault.
-
-    A row is rejected when a present value cannot be cast to its column's type.
-    """
+def tag_rejects(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """(row, raw, rejected_for) of every raw row, in one pass: the typed row, the raw one, and the columns
+    whose present value cannot be cast to its type; a row fits when there are none."""
     casts = [(f.name, F.col(f.name).try_cast(f.dataType)) for f in schema.fields]
-    faults = F.filter(
-        F.array(*[F.when(F.col(n).isNotNull() & cast.isNull(), F.lit(n)) for n, cast in casts]),
-        lambda x: x.isNotNull())
-    checked = df.withColumn("rejected_for", faults)
-    good = checked.filter(F.size("rejected_for") == 0).select(*[cast.alias(n) for n, cast in casts])
-    return good, checked.filter(F.size("rejected_for") > 0)
+    faults = F.array_compact(F.array(*[F.when(F.col(n).isNotNull() & cast.isNull(), F.lit(n)) for n, cast in casts]))
+    return df.select(F.struct(*[cast.alias(n) for n, cast in casts]).alias("row"), F.struct(*df.columns).alias("raw"),
+                     faults.alias("rejected_for"))
+
+
+def split_rejects(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Rows that fit the typed schema, and the raw rows that do not with the columns at fault. Each reads the
+    input; `tag_rejects` serves both from one pass."""
+    tagged = tag_rejects(df, schema)
+    fits = F.size("rejected_for") == 0
+    return tagged.filter(fits).select("row.*"), tagged.filter(~fits).select("raw.*", "rejected_for")

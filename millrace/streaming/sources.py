@@ -12,10 +12,21 @@ PULL_INTERVAL = "10 minutes"
 MAX_AGE_SECONDS = 60
 
 
+def batch_limits(format_name: str, records: int = BATCH_RECORDS) -> dict[str, str]:
+    """Reader options that hold a micro-batch to so many records (topics) or files (landed files)."""
+    names = {"kafka": "maxOffsetsPerTrigger"}
+    return {names.get(format_name, "maxFilesPerTrigger"): str(records)}
+
+
+def pull_trigger(mode: str) -> dict[str, str]:
+    """Trigger arguments: `batch` starts a micro-batch at the longest wait, `pull` at the pull interval."""
+    return {"processingTime": {"batch": BATCH_WAIT, "pull": PULL_INTERVAL}[mode]}
+
+
 def topic_options(servers: str, topics: list[str], per_batch: int | None = None, start: str = "latest") -> dict[str, str]:
     options = {"kafka.bootstrap.servers": servers, "subscribe": ",".join(topics), "startingOffsets": start}
     if per_batch:
-        options["maxOffsetsPerTrigger"] = str(per_batch)
+        options |= batch_limits("kafka", per_batch)
     return options
 
 
@@ -36,5 +47,5 @@ def read_arrivals(spark: SparkSession, path: str, schema: StructType | str, file
     """Files as they arrive below a path; only names with the format's extension count."""
     reader = spark.readStream.format(file_format).schema(schema).option("pathGlobFilter", f"*.{file_format}*")
     if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        reader = reader.options(**batch_limits(file_format, files_per_batch))
     return reader.load(path)

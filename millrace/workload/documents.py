@@ -93,6 +93,34 @@ def store_cards(spark, sf_dir):
     return extract.store_cards(pages, "host", ["page_id"], "block", "link")
 
 
+def _store_pages(spark, sf_dir, link):
+    """One row per page: host, its first link text as address, and a link with coordinates made of its number."""
+    return table(spark, sf_dir, "pages").select(
+        "page_id", "url", F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host"),
+        F.get(extract.elements(F.col("html"), "a"), F.lit(0)).alias("address"), link.alias("link"))
+
+
+def store_regions(spark, sf_dir):
+    """One store per host; its province is the part of its address before the page's name."""
+    link = F.concat(F.lit("https://maps/?ll=2.25,-"), F.col("page_id").cast("string"), F.lit("&z=1"))
+    pages = _store_pages(spark, sf_dir, link)
+    return extract.stores_by_region(pages, "host", ["page_id"], "url", "address", "link").drop("map_url")
+
+
+def store_marked(spark, sf_dir):
+    """One store per host with the province in the row and coordinates after an equals sign."""
+    pages = _store_pages(spark, sf_dir, F.concat(F.lit("https://maps/?q="), F.col("page_id").cast("string"), F.lit(",3.5")))
+    pages = pages.withColumn("province", F.regexp_extract("host", "[^.]+$", 0))
+    return extract.stores_by_row(pages, "host", ["page_id"], "province", "address", "link").drop("map_url")
+
+
+def store_paths(spark, sf_dir):
+    """The same with coordinates as the last part of the link's path."""
+    pages = _store_pages(spark, sf_dir, F.concat(F.lit("https://maps/dir/"), F.col("page_id").cast("string"), F.lit(",4.5")))
+    pages = pages.withColumn("province", F.regexp_extract("host", "[^.]+$", 0))
+    return extract.stores_by_row(pages, "host", ["page_id"], "province", "address", "link", "/").drop("map_url")
+
+
 def page_sections(spark, sf_dir):
     """Postings from whole pages: sections by element, list sections joined, missing sections ''."""
     html = F.col("html")
@@ -183,12 +211,17 @@ def sanctions_union(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     local_time_shift, title_case, path_parts, record_text, extract_coordinates, extract_address, extract_slug,
-    first_integer, store_rows, store_cards, page_sections, page_output, sanctions_individuals, sanctions_entities, sanctions_union,
+    first_integer, store_rows, store_cards, store_regions, store_marked, store_paths, page_sections, page_output, sanctions_individuals, sanctions_entities, sanctions_union,
 )}
 
 _LINKS = r"regexp_extract_all(html, '(?s)<a\b[^>]*>(.*?)</a>', 1)"
 
 
+_STORE_PAGES = f"""WITH p AS (SELECT page_id, regexp_extract(url, '^https?://([^/]+)', 1) AS host, {_LINKS}[1] AS address,
+        string_split(url, '/') AS parts FROM pages),
+    r AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY page_id) AS n FROM p)"""
+
+
 def _element(tag):
     return rf"regexp_extract(html, '(?s)<{tag}\b[^>]*>(.*?)</{tag}>', 1)"
 
@@ -239,6 +272,12 @@ ORACLES = {
         r AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY page_id) AS n FROM p)
         SELECT host, l[1] AS name, l[2] AS address, CAST(page_id AS DOUBLE) AS latitude,
         CAST(7.5 AS DOUBLE) AS longitude FROM r WHERE n = 1""",
+    "store_regions": f"""{_STORE_PAGES} SELECT host, CASE WHEN len(parts) >= 2 THEN parts[len(parts) - 1] END AS province, address,
+        CAST(2.25 AS DOUBLE) AS latitude, CAST('-' || page_id AS DOUBLE) AS longitude FROM r WHERE n = 1""",
+    "store_marked": f"""{_STORE_PAGES} SELECT host, regexp_extract(host, '[^.]+$') AS province, address,
+        CAST(page_id AS DOUBLE) AS latitude, CAST(3.5 AS DOUBLE) AS longitude FROM r WHERE n = 1""",
+    "store_paths": f"""{_STORE_PAGES} SELECT host, regexp_extract(host, '[^.]+$') AS province, address,
+        CAST(page_id AS DOUBLE) AS latitude, CAST(4.5 AS DOUBLE) AS longitude FROM r WHERE n = 1""",
     "page_sections": f"""SELECT page_id, {_element("h1")} AS job_title, '' AS company_name, url AS job_url,
         {_element("article")} AS job_description, array_to_string({_elements("p")}, ', ') AS candidate_requirements,
         array_to_string([regexp_replace(x, '<[^>]*>', '', 'g') FOR x IN {_elements("li")}], ', ') AS benefits,

@@ -140,8 +140,11 @@ def time_partitioned_json(spark, sf_dir):
 
 
 def object_listing(spark, sf_dir):
-    """Files of the given tables with size and time; contents are not read."""
-    return list_objects(spark, sf_dir, "parquet")
+    """Events landed by type, then listed by extension: the folders found and whether their files hold bytes."""
+    folder = write_split(table(spark, sf_dir, "events"), new_folder(spark, "listed"), ["event_type"])
+    files = list_objects(spark, folder, "parquet")
+    name = F.regexp_extract("path", "/(event_type=[^/]+)/[^/]+[.]parquet$", 1)
+    return files.groupBy(name.alias("folder")).agg((F.min("length") > 0).alias("filled"))
 
 
 def object_bytes(spark, sf_dir):
@@ -161,11 +164,11 @@ def reject_split(spark, sf_dir):
         F.when(F.col("o_orderstatus") == "P", F.lit("pending")).otherwise(
             F.col("o_totalprice").cast("string")).alias("price"))
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("price", T.DoubleType())])
-    good, bad = tables.split_rejects(raw, schema)
-    loaded = good.select("id", "price", F.lit(None).cast("string").alias("rejected_for"))
-    return loaded.unionByName(bad.select(
-        F.col("id").cast("bigint").alias("id"), F.lit(None).cast("double").alias("price"),
-        F.array_join("rejected_for", ",").alias("rejected_for")))
+    tagged = tables.tag_rejects(raw, schema)
+    fits = F.size("rejected_for") == 0
+    return tagged.select(
+        F.coalesce(F.col("row.id"), F.col("raw.id").try_cast("bigint")).alias("id"), F.col("row.price").alias("price"),
+        F.when(~fits, F.array_join("rejected_for", ",")).alias("rejected_for"))
 
 
 _CUSTOMER = T.StructType([
@@ -231,6 +234,7 @@ def _list(values):
 
 
 ORACLES = {
+    "object_listing": "SELECT DISTINCT 'event_type=' || event_type AS folder, true AS filled FROM events",
     "product_catalogue": f"""WITH f AS (SELECT unnest({_list(PRODUCT_FORMATS)}) AS format,
             unnest(range({len(PRODUCT_FORMATS)})) AS fi),
         t AS (SELECT unnest({_list(PRODUCT_TEXTS)}) AS text, unnest(range({len(PRODUCT_TEXTS)})) AS ti),

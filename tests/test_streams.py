@@ -111,3 +111,21 @@ def test_topic_options():
     options = sources.topic_options("h:1", ["a", "b"], sources.BATCH_RECORDS)
     assert options == {"kafka.bootstrap.servers": "h:1", "subscribe": "a,b", "startingOffsets": "latest",
                        "maxOffsetsPerTrigger": "5"}
+
+
+def test_limits_and_intervals_are_in_force(spark, tmp_path):
+    for i in range(7):
+        land(tmp_path / "in", f"{i}.json", [{"id": i}])
+    stream = sources.read_arrivals(spark, str(tmp_path / "in"), "id bigint", files_per_batch=sources.BATCH_RECORDS)
+    seen = []
+    writer = stream.writeStream.foreachBatch(lambda df, _: seen.append(df.count())).option(
+        "checkpointLocation", str(tmp_path / "state"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    assert sorted(seen) == [2, 5]
+    query = stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "pull")).trigger(
+        **sources.pull_trigger("pull")).start()
+    try:
+        assert query.isActive
+    finally:
+        query.stop()
+    assert sources.pull_trigger("batch") == {"processingTime": "30 seconds"}

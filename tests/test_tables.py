@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from millrace import session
 from millrace.operators import aggregates, columns, quality, versioned
+from millrace.operators import files as file_operators
 from millrace.plans import marts, models, trips
 from millrace.sinks import files as file_sinks
 from millrace.sinks import tables
@@ -97,13 +98,48 @@ def test_ddl():
     schema = T.StructType([
         T.StructField("a", T.LongType()), T.StructField("b", T.FloatType()), T.StructField("c", T.BooleanType()),
         T.StructField("d", T.TimestampType()), T.StructField("e", T.DateType())])
-    assert tables.create_statement("DW", "t", schema) == (
+    assert tables.create_statement("DW", "t", schema, warehouse=True) == (
         'CREATE TABLE "DW"."T" ("A" INTEGER, "B" DOUBLE, "C" TINYINT, "D" TIMESTAMP, "E" VARCHAR(255))')
+    exact = T.StructType([*schema.fields, T.StructField("f", T.DecimalType(20, 4)), T.StructField("g", T.StringType())])
+    assert tables.create_statement("DW", "t", exact) == (
+        'CREATE TABLE "DW"."T" ("A" BIGINT, "B" REAL, "C" BOOLEAN, "D" TIMESTAMP, "E" DATE, "F" DECIMAL(20,4), "G" TEXT)')
 
 
 def test_created_column_types():
     schema = T.StructType([T.StructField("a b", T.LongType()), T.StructField("c", T.StringType())])
-    assert tables.created_types(schema) == {"createTableColumnTypes": "`a b` INTEGER, `c` VARCHAR(255)"}
+    assert tables.created_types(schema, warehouse=True) == {"createTableColumnTypes": "`a b` INTEGER, `c` VARCHAR(255)"}
+    assert tables.created_types(schema) == {}
+
+
+def test_sample_keeps_values_and_orders_only_the_last_range(spark):
+    rows_in = [(k, -0.0 if k % 2 else 0.0, "f") for k in range(500)] + [(7, -0.0, "f")] * 300 + [(1, 1.0, "g")]
+    df = spark.createDataFrame(rows_in, "k int, v double, file string")
+    got = [(r.k, str(r.v)) for r in file_operators.sample_per_file(df, "file", 400, ["k"]).collect()]
+    import hashlib
+    order = sorted(((hashlib.md5(str(k).encode()).hexdigest(), k, str(v)) for k, v, f in rows_in if f == "f"))
+    assert sorted(got) == sorted((k, v) for _, k, v in order[:400])
+
+
+def test_refresh_keeps_the_table_when_the_write_fails(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.IntegerType())])
+    name = "refreshed_" + tmp_path.name.replace("-", "_")
+    tables.full_refresh(spark.range(3), name, schema, str(tmp_path / "one"))
+    bad = spark.range(3).selectExpr("IF(id = 2, raise_error('broken'), id) AS id")
+    with pytest.raises(Exception, match="broken"):
+        tables.full_refresh(bad, name, schema, str(tmp_path / "two"))
+    assert spark.table(name).count() == 3
+    assert tables.full_refresh(spark.range(5), name, schema, str(tmp_path / "three")).count() == 5
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_equal_measures_spread_over_tasks(spark):
+    plays = spark.range(20_000, numPartitions=4).selectExpr("id AS song", "1 AS n")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = aggregates.top_k(plays, "n").rdd.glom().map(len).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(sizes) < 10_000 and sum(sizes) == 20_000
 
 
 def test_jdbc_options():
