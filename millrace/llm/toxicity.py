@@ -161,16 +161,26 @@ def _svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0) -> tuple[np.ndarray,
 
 
 def _platt(worst: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a weighted logistic fit, lightly pulled to zero, by Newton steps."""
-    scale = float(np.std(worst)) or 1.0
-    z = np.column_stack([worst / scale, np.ones(len(worst))])
+    """Slope and offset of a weighted logistic fit to softened labels, by Newton steps that never go uphill."""
+    center, scale = float(np.mean(worst)), float(np.std(worst)) or 1.0
+    z = np.column_stack([(worst - center) / scale, np.ones(len(worst))])
+    y = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+
+    def loss(w: np.ndarray) -> float:
+        return float(weight @ (np.logaddexp(0, z @ w) - y * (z @ w)) + 5e-4 * w @ w)
+
     w = np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -500, 500)))
         gradient = z.T @ (weight * (p - y)) + 1e-3 * w
-        hessian = (z * (weight * p * (1 - p) + 1e-9)[:, None]).T @ z + 1e-3 * np.eye(2)
-        w -= np.clip(np.linalg.solve(hessian, gradient), -3, 3)
-    return float(w[0] / scale), float(w[1])
+        step = np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + 1e-3 * np.eye(2), gradient)
+        size = 1.0
+        while size > 1e-6 and loss(w - size * step) > loss(w):
+            size /= 2
+        w = w - size * step
+        if np.abs(size * step).max() < 1e-8:
+            break
+    return float(w[0] / scale), float(w[1] - w[0] * center / scale)
 
 
 def train(texts: list[str], toxic: np.ndarray, share: float) -> ToxicityModel:
