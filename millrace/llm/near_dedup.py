@@ -21,6 +21,7 @@ BANDS, ROWS = 32, 4
 CROWD = 8
 # Standard deviations by which the share of equal signature bytes may fall short before a pair is ruled out.
 SLACK = 6.0
+PARITY_BITS = 1024
 # Ids are broadcast to a scan up to this number; beyond it the scan is shuffled.
 BROADCAST_IDS = 1_000_000
 
@@ -70,6 +71,13 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def _parities(members: np.ndarray) -> bytes:
+    """For each of PARITY_BITS classes of members, whether their number is odd. Sets that differ in d members
+    differ in d of these bits at most."""
+    counts = np.bincount((members >> np.uint64(20)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
 def _digest(sets: list[np.ndarray]) -> list[bytes | None]:
     return [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
 
@@ -81,7 +89,7 @@ def _describe(batches: Iterator[pa.RecordBatch], shingle: int, bands: int, rows:
             full = [s for s in sets if len(s)]
             signature = signatures(full, bands * rows)
             keys = band_keys(signature, bands, rows)
-            sketches = iter([row.tobytes() for row in signature.astype(np.uint8)])
+            sketches = iter([row.tobytes() + _parities(s) for row, s in zip(signature.astype(np.uint8), full, strict=True)])
             ends = np.cumsum([0, *(bands if len(s) else 0 for s in sets)])
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(first, end - first), batch.column(2).slice(first, end - first),
@@ -124,17 +132,23 @@ def _plausible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
         if not batch.num_rows:
             continue
         one, two = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for k in (2, 3))
-        p, size = percent / 100, one.shape[1]
-        good = (one == two).mean(axis=1) >= p - SLACK * np.sqrt(p * (1 - p) / size)
+        p, size = percent / 100, one.shape[1] - PARITY_BITS // 8
+        good = (one[:, :size] == two[:, :size]).mean(axis=1) >= p - SLACK * np.sqrt(p * (1 - p) / size)
+        both = batch.column(4).to_numpy() + batch.column(5).to_numpy()
+        apart = np.bitwise_count(one[:, size:] ^ two[:, size:]).sum(axis=1, dtype=np.int64)
+        good &= (both - apart) // 2 * (100 + percent) >= both * percent
         yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
 def _ruled_in(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose signatures do not rule them out. A linked pair falls SLACK standard deviations short with
-    a probability near 1e-9; this only saves moving the texts of pairs far below the threshold."""
-    one = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"))
-    two = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b"))
-    both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "sketch_a", "sketch_b")
+    """Pairs that neither their parities nor their signatures rule out, so that texts of others need not move.
+
+    Parities bound the difference of two sets exactly. Signatures of a linked pair fall SLACK standard
+    deviations short with a probability near 1e-9.
+    """
+    one = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"), F.col("n").alias("n_a"))
+    two = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b"), F.col("n").alias("n_b"))
+    both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b")
     return both.mapInArrow(lambda it: _plausible(it, percent), "a binary, b binary")
 
 
@@ -248,7 +262,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         lambda it: _describe(it, shingle, bands, rows),
         f"id {id_type}, row_key string, node binary, n bigint, bands array<bigint>, sketch binary"), "signatures")
     nodes = prepared.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("id").alias("least_id"), F.count("*").alias("copies"), F.min("n").alias("n"), F.min("bands").alias("bands"), F.min("sketch").alias("sketch"))
+        F.min("id").alias("least_id"), F.count("*").alias("copies"), F.min("n").alias("n"), F.min("bands").alias("bands"),
+        F.min("sketch").alias("sketch"))
     nodes = settle(nodes, "nodes")
     spread = nodes.select("node", "n", F.explode("bands").alias("key"))
     # Each bucket has a centre of its own, so that a node in 32 buckets meets many others.
