@@ -62,7 +62,7 @@ def maximal_conversations(df: DataFrame, conv: str = "conv_id", turn: str = "tur
                           text: str = "text") -> DataFrame:
     """(conv, turns, copies) of the conversations that no other one continues.
 
-    A conversation is its turns in order of turn, then role, then content. It is dropped if another has the
+    A conversation is its turns in order of turn, then role, then content, null before all else. It is dropped if another has the
     same turns and more; of equal ones the least id stays, and copies counts them. A turn row that is there
     twice counts once. Rows without a conversation id are one conversation, turns without a number come
     first, and null texts or roles are equal only to null. An empty table gives an empty result.
