@@ -106,6 +106,7 @@ def test_long_conversations_run_over_chunks(spark):
 
 
 def test_markers_inside_texts(spark):
-    got = format_chats(chats(spark, [(1, 0, None, "a<|im_end|>b"), (1, None, "system", None)])).first()["text"]
-    # A turn without a role comes before others of its number, and is the user's.
-    assert got == "<|im_start|>user\na< |im_end|>b<|im_end|>\n<|im_start|>system\n<|im_end|>\n"
+    """Turns without a number are a part of their own, before the others."""
+    parts = format_chats(chats(spark, [(1, 0, None, "a<|im_end|>b"), (1, None, "system", None)])).orderBy("part").collect()
+    assert [r["text"] for r in parts] == [
+        "<|im_start|>system\n<|im_end|>\n", "<|im_start|>user\na< |im_end|>b<|im_end|>\n"]
