@@ -7,7 +7,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Sentences of public license texts and notices, by identifier, as they are usually written.
+# Sentences of public license texts and notices, by identifier, as they are usually written. Each is
+# one piece of the cut of _sentences. The headers of GPL 2 and 3 begin with the same piece.
 SENTENCES = {
     "mit-notice": "Released under the MIT License.",
     "mit-notice-2": "Licensed under the MIT License.",
@@ -28,9 +29,8 @@ SENTENCES = {
     "apache-2-header-copy": "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     "gpl-3-notice": "This work is licensed under the GNU General Public License, version 3.",
     "gpl-2-notice": "This work is licensed under the GNU General Public License, version 2.",
-    "gpl-3-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-                    "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-                    "option) any later version.",
+    "gpl-3-header-b": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+                      "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "gpl-2-header-a": "This program is free software;",
     "gpl-2-header-b": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
                       "by the Free Software Foundation;",
@@ -59,7 +59,8 @@ SENTENCES = {
     "bsd-3-notice": "Licensed under the BSD 3-Clause License.",
     "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
                  "granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    "mpl-2-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "mpl-2-header-a": "This Source Code Form is subject to the terms of the Mozilla Public License, v.",
+    "mpl-2-header-b": "2.0.",
     "mpl-2-notice": "Licensed under the Mozilla Public License, Version 2.0.",
     "unlicense-domain": "This is free and unencumbered software released into the public domain.",
     "all-rights": "All rights reserved under copyright.",
@@ -68,7 +69,7 @@ SENTENCES = {
 RULES = [
     ("MIT", ["mit-notice"]), ("MIT", ["mit-notice-2"]), ("MIT", ["mit-grant", "mit-condition"]),
     ("Apache-2.0", ["apache-2-notice"]), ("Apache-2.0", ["apache-2-header", "apache-2-header-use"]),
-    ("GPL-3.0", ["gpl-3-notice"]), ("GPL-3.0-or-later", ["gpl-3-header"]), ("GPL-2.0", ["gpl-2-notice"]),
+    ("GPL-3.0", ["gpl-3-notice"]), ("GPL-3.0-or-later", ["gpl-2-header-a", "gpl-3-header-b"]), ("GPL-2.0", ["gpl-2-notice"]),
     ("GPL-2.0-or-later", ["gpl-2-header-a", "gpl-2-header-b", "gpl-2-header-c"]),
     ("LGPL-3.0", ["lgpl-3-notice"]), ("AGPL-3.0", ["agpl-3-notice"]),
     ("CC-BY-4.0", ["cc-by-4-notice"]), ("CC-BY-4.0", ["cc-by-4-long"]), ("CC-BY-SA-4.0", ["cc-by-sa-4-notice"]),
@@ -76,10 +77,11 @@ RULES = [
     ("CC-BY-NC-SA-4.0", ["cc-by-nc-sa-4-notice"]), ("CC-BY-ND-4.0", ["cc-by-nd-4-notice"]), ("CC0-1.0", ["cc0-notice"]),
     ("BSD-2-Clause", ["bsd-2-notice"]), ("BSD-2-Clause", ["bsd-intro", "bsd-source", "bsd-binary"]),
     ("BSD-3-Clause", ["bsd-3-notice"]), ("BSD-3-Clause", ["bsd-intro", "bsd-source", "bsd-binary", "bsd-endorse"]),
-    ("ISC", ["isc-grant"]), ("MPL-2.0", ["mpl-2-header"]), ("MPL-2.0", ["mpl-2-notice"]), ("Unlicense", ["unlicense-domain"]),
+    ("ISC", ["isc-grant"]), ("MPL-2.0", ["mpl-2-header-a", "mpl-2-header-b"]), ("MPL-2.0", ["mpl-2-notice"]), ("Unlicense", ["unlicense-domain"]),
 ]
 # Every sentence holds one of these; texts without any are not cut up.
-TRIGGER = "licen[cs]e|copyright|permission|redistribut|the software|free software|free and unencumbered"
+TRIGGER = "licen[cs]e|copyright|permission|redistribut|the software|free software|free and unencumbered" \
+          "|(?<![a-z0-9])2[^a-z0-9]+0(?![a-z0-9])"
 _SPACE = r"[\x20\x09-\x0D]"
 
 

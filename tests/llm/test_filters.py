@@ -59,6 +59,24 @@ def test_licenses(docs):
     assert licenses.scan_licenses(docs([])).count() == 0
 
 
+GPL_3 = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+         "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.")
+MPL_2 = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
+
+
+def test_headers_that_the_cut_divides(docs):
+    after = " If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    wrapped = [t.replace(" of the ", "\n# of the ") for t in (GPL_3, MPL_2 + after)]
+    got = [found for found, _ in scan(docs, GPL_3, MPL_2, MPL_2 + after, *wrapped, MPL_2.replace("2.0", "3.0"))]
+    assert got == [["GPL-3.0-or-later"], ["MPL-2.0"], ["MPL-2.0"], ["GPL-3.0-or-later"], ["MPL-2.0"], []]
+
+
+def test_every_rule_is_found_from_its_own_text(docs):
+    texts = [" ".join(licenses.SENTENCES[k] for k in rule) for _, rule in licenses.RULES]
+    got = [(found, n) for found, n in scan(docs, *texts)]
+    assert got == [([name], len(rule)) for name, rule in licenses.RULES]
+
+
 def test_every_sentence_has_a_trigger_and_a_name():
     import re
     assert all(re.search(licenses.TRIGGER, s, re.I) or "cc by" in s.lower() for s in licenses.SENTENCES.values())
