@@ -84,6 +84,14 @@ def test_every_sentence_has_a_trigger_and_a_name():
     assert len({licenses.normalised(s) for s in licenses.SENTENCES.values()}) == len(licenses.SENTENCES)
 
 
+def test_triggers_hold_whatever_stands_between_words(docs):
+    texts = ["This is free and\nunencumbered software released into the public domain.",
+             "This is free  and -- unencumbered\tsoftware released into the public domain.",
+             "THE\nSOFTWARE IS PROVIDED" + licenses.SENTENCES["mit-disclaimer"].removeprefix("THE SOFTWARE IS PROVIDED"),
+             "This program is free\n * software;", "2 -\n0"]
+    assert scan(docs, *texts) == [(["Unlicense"], 1), (["Unlicense"], 1), ([], 1), ([], 1), ([], 1)]
+
+
 def chats(spark, rows):
     return spark.createDataFrame([(*r, 1, "z") for r in rows], "conv_id long, turn long, role string, text string, pos int, copies string")
 
