@@ -2,13 +2,15 @@
 
 A classifier learnt from a labelled table says to which degree a document belongs to each domain. Every
 document gets a rate, how often it is to appear, such that the expected tokens of each domain meet their
-targets. The rates minimise the squared misses of the targets, each relative to its domain, from a start of
-one for every document, under a least rate; a document's rate moves with its posteriors alone, so equal
-documents keep equal rates. A gradient step needs one sum per domain over all documents and nothing else.
+targets. Of all rates that do, those with the least squared distance from one, weighted by tokens, are
+taken, under a least rate. They are one plus the product of a document's posteriors with one number per
+domain, cut at the least rate, so equal documents keep equal rates. Newton steps find these numbers; a
+step needs a few sums over all documents and nothing else.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,8 +24,12 @@ from millrace.session import settle
 
 # Rows of labelled texts the classifier learns from, in the order of a hash of their id.
 SAMPLE_ROWS = 3000
-STEPS = 30
+# Scans after which a fit that has not converged is an error; a usual one takes about ten.
+STEPS = 200
+# Largest miss of a target, as a share of it.
 TOLERANCE = 1e-6
+# Pull of a Newton step to where it begins, as a share of the Gram matrix.
+_PULL = 1e-6
 
 
 class DomainModel:
@@ -91,41 +97,90 @@ def memberships(df: DataFrame, model: DomainModel, id_col: str = "doc_id", text_
     return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, tokens bigint, p array<double>")
 
 
+def _dot(p, push: np.ndarray):
+    return sum((p[i] * F.lit(x) for i, x in enumerate(push.tolist())), F.lit(0.0))
+
+
 def _rate(p, pushes: list[np.ndarray], least: float):
-    """The rate after the pushes so far, as an expression: each lowers or lifts a row along its posteriors.
+    """The rate after the pushes, as an expression: each lowers or lifts a row along its posteriors.
 
     Rates are computed from the few numbers of each push again and are never stored, so a lost task only
     repeats arithmetic."""
-    if not pushes:
-        return F.lit(max(1.0, least))
-    table = F.array(*(F.array(*map(F.lit, push.tolist())) for push in pushes))
-    dot = lambda push: F.aggregate(F.zip_with(p, push, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    return F.aggregate(table, F.lit(max(1.0, least)), lambda r, push: F.greatest(F.lit(least), r - dot(push)))
-
-
-def fit_rates(rows: DataFrame, targets: np.ndarray, least: float = 0.0, steps: int = STEPS) -> list[np.ndarray]:
-    """The pushes of projected gradient descent on rows (tokens, p) towards target tokens of each domain.
-
-    It stops when all targets are met to TOLERANCE or after `steps` steps; targets that no nonnegative rates
-    reach are met as closely as least squares allow."""
-    k = len(targets)
-    products = [F.sum(F.col("tokens") * F.col("p")[i] * F.col("p")[j]) for i in range(k) for j in range(k)]
-    gram = np.array([v or 0.0 for v in rows.agg(*(c.alias(f"g{n}") for n, c in enumerate(products))).first()]).reshape(k, k)
-    scale = np.where(np.diag(gram) > 0, 1.0 / np.maximum(np.diag(gram), 1e-300), 0.0)
-    root = np.sqrt(scale)
-    top = float(np.linalg.eigvalsh(root[:, None] * gram * root[None, :]).max()) if k else 0.0
-    pushes: list[np.ndarray] = []
-    if top <= 0:
-        return pushes
-    for _ in range(steps):
-        rate = _rate(F.col("p"), pushes, least)
-        sums = rows.select("tokens", "p", rate.alias("rate")).agg(
-            *(F.sum(F.col("rate") * F.col("tokens") * F.col("p")[i]).alias(f"s{i}") for i in range(k))).first()
-        miss = np.array([v or 0.0 for v in sums]) - targets
-        if np.all(np.abs(miss) <= TOLERANCE * np.maximum(targets, 1.0)):
-            break
-        pushes.append(scale * miss / top)
-    return pushes
+    rate = F.lit(max(1.0, least))
+    for push in pushes:
+        rate = F.greatest(F.lit(least), rate - _dot(p, push))
+    return rate
+
+
+def fit_rates(rows: DataFrame, targets: np.ndarray, least: float = 0.0, steps: int = STEPS,
+              per: np.ndarray | None = None) -> list[np.ndarray]:
+    """The push that takes rows (tokens, p) to target tokens of each domain; none where one is met already.
+
+    It goes on until all targets are met to TOLERANCE of `per`, by default of themselves. Targets that no
+    rates reach are met as closely as least squares allow, each miss relative to its domain, and a warning
+    names the misses. A fit that is neither after `steps` scans is an error.
+
+    Rates that meet the targets closest to one minimise a convex function of the push, whose gradient is
+    the miss and whose second derivative is the Gram matrix of the rows above the least rate.
+    """
+    k, start = len(targets), max(1.0, least)
+    bound = TOLERANCE * np.maximum(targets if per is None else per, 1.0)
+
+    def sums(frame: DataFrame, columns: list) -> np.ndarray:
+        return np.array([v or 0.0 for v in frame.agg(*(c.alias(f"c{n}") for n, c in enumerate(columns))).first()])
+
+    tokens, p, z = F.col("tokens"), F.col("p"), F.col("z")
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+
+    def square(flat: np.ndarray) -> np.ndarray:
+        out = np.zeros((k, k))
+        for (i, j), v in zip(pairs, flat, strict=True):
+            out[i, j] = out[j, i] = v
+        return out
+
+    def at(u: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """The convex function, the miss of each domain and the Gram matrix of the rows above the least rate."""
+        raised = rows.select("tokens", "p", (F.lit(start) - _dot(p, -root * u)).alias("z"))
+        above = z >= least
+        found = sums(raised, [
+            F.sum(tokens * F.when(above, z * z / 2).otherwise(least * (z - least / 2))),
+            *(F.sum(tokens * F.greatest(F.lit(least), z) * p[i]) for i in range(k)),
+            *(F.sum(F.when(above, tokens * p[i] * p[j]).otherwise(0.0)) for i, j in pairs)])
+        return found[0] - float(targets @ (root * u)), found[1 : k + 1] - targets, square(found[k + 1 :])
+
+    def settled(u: np.ndarray, miss: np.ndarray) -> bool:
+        """Whether no change of rates above the least one lowers the squared misses any more."""
+        raised = rows.select("tokens", "p", (F.lit(start) - _dot(p, -root * u)).alias("z"))
+        slope = _dot(p, root * root * miss)
+        free, full = sums(raised, [F.sum(F.when((z > least) | (slope < 0), tokens * slope * slope).otherwise(0.0)),
+                                   F.sum(tokens * _dot(F.transform(p, F.abs), np.abs(root * root * miss)) ** 2)])
+        return free <= 1e-8 * full
+
+    gram = square(sums(rows, [F.sum(tokens * p[i] * p[j]) for i, j in pairs]))
+    root = np.sqrt(np.where(np.diag(gram) > 0, 1.0 / np.maximum(np.diag(gram), 1e-300), 0.0))
+    u = np.zeros(k)
+    value, miss, active = at(u)
+    scans = 2
+    while not np.all(np.abs(miss) <= bound):
+        if scans >= steps:
+            raise RuntimeError(f"rates have not converged after {scans} scans; targets {targets}, misses {miss}")
+        step = -np.linalg.solve(root[:, None] * active * root + _PULL * np.eye(k), root * miss)
+        slope, size = float(step @ (root * miss)), 1.0
+        new = at(u + step)
+        scans += 1
+        while new[0] > value + 1e-4 * size * slope + 1e-12 * abs(value) and scans < steps:
+            size /= 2
+            new = at(u + size * step)
+            scans += 1
+        before = np.linalg.norm(root * miss)
+        u = u + size * step
+        value, miss, active = new
+        if np.linalg.norm(root * miss) > 0.9 * before and not np.all(np.abs(miss) <= bound):
+            scans += 1
+            if settled(u, miss):
+                warnings.warn(f"no rates reach the targets {targets.tolist()}; left over: {miss.tolist()}", stacklevel=2)
+                break
+    return [-root * u] if u.any() else []
 
 
 def mixing_rates(df: DataFrame, model: DomainModel, weights: list[float], id_col: str = "doc_id",
@@ -142,15 +197,17 @@ def mixing_rates(df: DataFrame, model: DomainModel, weights: list[float], id_col
 def lifted(df: DataFrame, model: DomainModel, weights: list[float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of df, each at least once and as often as its rate says, with all their columns.
 
-    No document is lost: the least rate is one, and targets are the smallest totals in the ratio of the
-    weights that are no less than what each domain has. A rate between two numbers is settled by a hash of
-    the text, so a repeated task repeats its choice.
+    No document is lost: the least rate is one. The rates are those closest to one that give the domains the
+    ratio of the weights; the sum of tokens is free, as lifting a text of one domain lifts its share of all
+    others. A rate between two numbers is settled by a hash of the text, so a repeated task repeats its choice.
     """
     rows = settle(memberships(df, model, id_col, text_col), "memberships")
-    have = rows.agg(*(F.sum(F.col("tokens") * F.col("p")[i]).alias(f"h{i}") for i in range(len(weights)))).first()
-    have = np.array([v or 0.0 for v in have])
     share = np.array(weights, dtype=float) / sum(weights)
-    pushes = fit_rates(rows, share * float((have / share).max()), 1.0)
+    # The ratio is met where posteriors less the shares add up to nothing.
+    off = rows.select("tokens", F.array(*(F.col("p")[i] - x for i, x in enumerate(share.tolist()))).alias("p"))
+    total = rows.agg(F.sum("tokens")).first()[0] or 0
+    # Posteriors add up to one, so a push along the differences is one along the posteriors.
+    pushes = [push - share @ push for push in fit_rates(off, np.zeros(len(share)), 1.0, per=share * total)]
     shared = df.sparkSession.sparkContext.broadcast(model)
     at = df.columns.index(text_col)
 

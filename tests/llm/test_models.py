@@ -140,6 +140,55 @@ def test_rates_meet_targets(spark, tables):
     assert mixing.mixing_rates(odd(spark), model, [0.2, 0.8]).count() == len(ODD)
 
 
+def overlapping(spark, n=600):
+    """Three domains that most rows belong to in part."""
+    rng = np.random.default_rng(4)
+    p = rng.dirichlet([0.6, 2.5, 0.5], n)
+    return spark.createDataFrame([(k, int(t), x.tolist()) for k, (t, x) in enumerate(zip(rng.integers(5, 200, n), p, strict=True))],
+                                 "id long, tokens long, p array<double>")
+
+
+@pytest.mark.parametrize("least", [0.0, 0.5])
+def test_targets_of_overlapping_domains_are_met(spark, least):
+    rows = overlapping(spark)
+    share = np.array([0.05, 0.9, 0.05])
+    total = rows.agg({"tokens": "sum"}).first()[0] * (1 if least == 0 else 2)
+    pushes = mixing.fit_rates(rows, share * total, least)
+    got = rows.select("tokens", "p", mixing._rate(rows["p"], pushes, least).alias("rate")).collect()
+    tokens, p, rate = (np.array([r[c] for r in got]) for c in ("tokens", "p", "rate"))
+    assert rate.min() >= least and np.allclose((tokens * rate) @ p / total, share, atol=1e-6)
+
+
+def test_a_fit_that_is_cut_short_is_an_error(spark):
+    with pytest.raises(RuntimeError, match="not converged"):
+        mixing.fit_rates(overlapping(spark), np.array([1000.0, 30000.0, 1000.0]), steps=3)
+
+
+def test_a_lifted_table_has_the_ratio_of_the_weights(spark, tables):
+    docs, labels, _ = tables
+    model = mixing.fit_domains(docs, labels.selectExpr("doc_id", "CAST(quality > 0 AS INT) AS domain"), 2)
+    rows = mixing.memberships(docs, model)
+    for weights in ([0.3, 0.7], [0.8, 0.2]):
+        share = np.array(weights)
+        off = rows.selectExpr("tokens", f"array(p[0] - {share[0]}D, p[1] - {share[1]}D) AS p")
+        push, = mixing.fit_rates(off, np.zeros(2), 1.0, per=share * 1000)
+        got = rows.select("tokens", "p", mixing._rate(rows["p"], [push - share @ push], 1.0).alias("rate")).collect()
+        tokens, p, rate = (np.array([r[c] for r in got]) for c in ("tokens", "p", "rate"))
+        have = (tokens * rate) @ p
+        assert rate.min() == 1 and np.allclose(have / have.sum(), share, atol=1e-5)
+        copies = {r["doc_id"]: r["count"] for r in mixing.lifted(docs, model, weights).groupBy("doc_id").count().collect()}
+        marked = rows.collect()
+        made = sum(copies[r["id"]] * r["tokens"] * np.array(r["p"]) for r in marked)
+        assert np.allclose(made / made.sum(), share, atol=0.03)
+
+
+def test_unreachable_targets_are_reported(spark, tables):
+    docs, _, _ = tables
+    rows = docs.limit(50).selectExpr("doc_id AS id", "CAST(10 AS BIGINT) AS tokens", "array(0.5D, 0.5D) AS p")
+    with pytest.warns(UserWarning, match="no rates reach"):
+        mixing.fit_rates(rows, np.array([0.0, 1000.0]))
+
+
 def test_unreachable_targets_give_the_least_miss(spark, tables):
     docs, _, _ = tables
     rows = docs.limit(50).selectExpr("doc_id AS id", "CAST(10 AS BIGINT) AS tokens", "array(0.5D, 0.5D) AS p")
