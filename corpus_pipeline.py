@@ -12,11 +12,9 @@ from pyspark.sql import functions as F
 from millrace.llm import mixing, pieces, toxicity
 from millrace.llm.exact_dedup import without_copies
 from millrace.llm.near_dedup import without_near_copies
-from millrace.llm.queries import piece_model
+from millrace.llm.queries import TOXIC, piece_model
 from millrace.session import settle
 
-# Documents at or above this probability of being toxic go.
-TOXIC = 0.5
 # Shares of the tokens of poor and good texts. Documents are repeated to get there, none is dropped.
 WEIGHTS = [0.12, 0.88]
 

@@ -44,9 +44,13 @@ def _judged(scored: DataFrame, threshold: float) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+# Documents at or above this probability of being toxic are rejected, by operator 4 and by the pipeline.
+TOXIC = 0.3
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return _judged(toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels"))), 0.3)
+    return _judged(toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels"))), TOXIC)
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

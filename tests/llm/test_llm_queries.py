@@ -50,3 +50,11 @@ def test_pipeline(spark, sf_dir):
     for row in rows:
         assert row["decoded_sha256"] == hashlib.sha256(texts[row["doc_id"]].encode()).hexdigest()
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "exact dedup", "MinHash near-dedup", "mixing", "SentencePiece"]
+
+
+def test_pipeline_drops_what_operator_4_rejects(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    judged = queries.op4_toxicity(spark, sf_dir).collect()
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, docs, sf_dir).collect()}
+    assert kept == {r["doc_id"] for r in judged if not r["predicted"]}
+    assert any(r["predicted"] and r["score"] < 0.5 for r in judged)
