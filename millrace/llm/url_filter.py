@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from millrace.session import settle
 
+# Rounds that the SQL unrolls. The query goes on until the scores of no host change by more than TOLERANCE of
+# themselves; it looks every LOOK rounds, and LIMIT rounds without that are an error.
 ROUNDS = 10
+TOLERANCE = 1e-6
+LOOK = 5
+LIMIT = 2000
 DAMPING = 0.85
 # A host is blocked when more than this share of what reaches it is distrust; ties allow.
 SHARE = 0.5
@@ -58,12 +63,14 @@ def host_links(pages: DataFrame, site_links: bool) -> DataFrame:
     return out
 
 
-def propagate(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """(host, trust, distrust) after that many rounds of personalised PageRank.
+def propagate(links: DataFrame, seeds: DataFrame, rounds: int = LIMIT, damping: float = DAMPING) -> DataFrame:
+    """(host, trust, distrust) of personalised PageRank, iterated until it has converged.
 
     seeds: host, trusted, blocked. Trust starts at trusted seeds and follows links, split by their weight;
     distrust starts at blocked seeds and follows links backwards, split likewise. A round joins the scores
-    with the links once and adds up; only sums per host are shuffled, after partial sums.
+    with the links once and adds up; only sums per host are shuffled, after partial sums. It has converged
+    when the last round changed neither score of any host by more than TOLERANCE of it, so also no host
+    is reached for the first time. Not having converged after `rounds` rounds is an error.
     """
     weight_out = links.groupBy("src").agg(F.sum("w").alias("all_out"))
     weight_in = links.groupBy("dst").agg(F.sum("w").alias("all_in"))
@@ -80,17 +87,27 @@ def propagate(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     scores = start
     if moves.isEmpty():
         return scores
-    for _ in range(rounds):
+    for done in range(1, rounds + 1):
         moved = moves.join(scores, "host").select(
             F.col("to").alias("host"), (F.col("trust") * F.col("good") * damping).alias("trust"),
             (F.col("distrust") * F.col("bad") * damping).alias("distrust"))
-        both = start.unionAll(moved).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
-        scores = settle(both, "scores")
-    return scores
+        both = start.unionAll(moved)
+        if done % LOOK and done < rounds:
+            scores = both.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
+            continue
+        # Beside the new scores of a host stand those of the round before.
+        both = both.withColumns({"trust0": none, "distrust0": none}).unionAll(
+            scores.select("host", none, none, F.col("trust").alias("trust0"), F.col("distrust").alias("distrust0")))
+        both = settle(both.groupBy("host").agg(*(F.sum(c).alias(c) for c in ("trust", "distrust", "trust0", "distrust0"))), "scores")
+        moving = [F.abs(F.col(c) - F.col(f"{c}0")) > TOLERANCE * F.col(c) for c in ("trust", "distrust")]
+        scores = both.select("host", "trust", "distrust")
+        if both.where(moving[0] | moving[1]).isEmpty():
+            return scores
+    raise RuntimeError(f"scores of hosts have not converged after {rounds} rounds")
 
 
 def judge_urls(df: DataFrame, rules: dict[str, str], id_col: str = "page_id", url_col: str = "url",
-               html_col: str = "html", share: float = SHARE, rounds: int = ROUNDS, damping: float = DAMPING,
+               html_col: str = "html", share: float = SHARE, rounds: int = LIMIT, damping: float = DAMPING,
                site_links: bool = True) -> DataFrame:
     """One row per page: id, host, path, rule, verdict, trust, distrust.
 

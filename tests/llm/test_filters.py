@@ -2,10 +2,12 @@
 
 import random
 
+import pytest
+
 from millrace.llm import licenses
 from millrace.llm.chat import format_chats, maximal_conversations, prefix_hashes
 from millrace.llm.queries import URL_RULES
-from millrace.llm.url_filter import judge_urls
+from millrace.llm.url_filter import judge_urls, propagate
 from tests_llm_helpers import rows_of
 
 
@@ -36,6 +38,26 @@ def test_distrust_flows_backwards_and_trust_forwards(spark):
     assert judge_urls(pages(spark, []), URL_RULES).count() == 0
 
 
+def test_distrust_reaches_the_far_end_of_a_chain(spark):
+    link = '<a href="https://{}/p">x</a>'
+    rows = [(f"http://h{k}.org/", link.format(f"h{k + 1}.org" if k < 14 else "bad.net")) for k in range(15)]
+    got = judge_urls(pages(spark, [*rows, ("http://bad.net/es/1", ""), ("http://alone.org/", "")]), URL_RULES).collect()
+    assert {r["page_id"]: r["verdict"] for r in got} == {**dict.fromkeys(range(16), "block"), 16: "allow"}
+    assert all(abs(r["distrust"] / (0.15 * 0.85 ** (15 - r["page_id"])) - 1) < 1e-9 for r in got if r["page_id"] < 15)
+
+
+def test_scores_of_a_ring_converge(spark):
+    links = spark.createDataFrame([(f"h{k}", f"h{(k + 1) % 3}", 1) for k in range(3)], "src string, dst string, w long")
+    seeds = spark.createDataFrame([("h0", 1, 1), ("h1", 0, 0)], "host string, trusted long, blocked long")
+    got = {r["host"]: (r["trust"], r["distrust"]) for r in propagate(links, seeds).collect()}
+    whole = 0.15 / (1 - 0.85 ** 3)
+    for k in range(3):
+        assert abs(got[f"h{k}"][0] / (whole * 0.85 ** k) - 1) < 1e-5
+        assert abs(got[f"h{k}"][1] / (whole * 0.85 ** (-k % 3)) - 1) < 1e-5
+    with pytest.raises(RuntimeError, match="not converged"):
+        propagate(links, seeds, rounds=10)
+
+
 def test_repeated_pages_and_columns(spark):
     df = pages(spark, [("http://a.com/", "")])
     assert judge_urls(df.unionAll(df), URL_RULES).count() == 2
