@@ -7,8 +7,9 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import fingerprint, licenses, mixing, pieces, quality, toxicity
+from millrace.llm import alignment, fingerprint, licenses, mixing, pieces, quality, toxicity, vector_codes
 from millrace.llm.chat import format_chats
+from millrace.llm.decontaminate import contamination
 from millrace.llm.exact_dedup import exact_duplicates
 from millrace.llm.near_dedup import near_duplicates
 from millrace.llm.url_filter import DAMPING, MARGIN, ROUNDS, SHARE, judge_urls
@@ -92,9 +93,28 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_likeness(_table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("n_near_items")
+
+
+def token_model() -> str:
+    """The byte-level tokenizer's file: BYTE_LEVEL_MODEL, or the public one of this machine."""
+    return os.environ.get("BYTE_LEVEL_MODEL", "/opt/tokenizers/byte_bpe_50k.json")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizers = alignment.Tokenizers.load(token_model(), piece_model())
+    return alignment.align_tokens(_table(spark, sf_dir, "documents"), tokenizers).drop("a", "b")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_sentencepiece, op3_license_scan, op4_toxicity, op5_url_filter, op6_chat_format,
-    op7_exact_dedup, op8_mixing, op9_quality, op10_fingerprint)}
+    op7_exact_dedup, op8_mixing, op9_quality, op10_fingerprint, op11_vector_codes, op12_decontamination,
+    op13_token_alignment)}
 
 
 def _license_sql() -> str:
@@ -173,6 +193,40 @@ SELECT q.page_id, q.host, q.path, q.rule, coalesce(q.ruled,
 FROM q LEFT JOIN z ON z.host = q.host"""
 
 
+def _codes_sql() -> str:
+    """Codebooks round by round, as tables of (part, entry, components); every distance is computed in full."""
+    assign = lambda k: f"""
+n{k} AS MATERIALIZED (
+  SELECT p.r, p.part, min(CAST(list_sum([(p.c[i] - b.c[i]) * (p.c[i] - b.c[i]) FOR i IN range(1, len(p.c) + 1)]) AS HUGEINT)
+    * {vector_codes.ENTRIES} + b.e) AS m FROM p JOIN b{k} b ON b.part = p.part GROUP BY p.r, p.part)"""
+    rounds = "".join(f"""{assign(k)},
+m{k} AS (
+  SELECT part, e, i, sum(x) AS s, count(*) AS n FROM (
+    SELECT p.part, CAST(n.m % {vector_codes.ENTRIES} AS BIGINT) AS e, unnest(p.c) AS x, generate_subscripts(p.c, 1) AS i
+    FROM p JOIN n{k} n ON n.r = p.r AND n.part = p.part) GROUP BY part, e, i),
+b{k + 1} AS MATERIALIZED (
+  SELECT b.part, b.e, coalesce(z.c, b.c) AS c FROM b{k} b LEFT JOIN (
+    SELECT part, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM m{k} GROUP BY part, e) z
+  ON z.part = b.part AND z.e = b.e),""" for k in range(vector_codes.ROUNDS))
+    last = vector_codes.ROUNDS
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label,
+    [CAST(floor({vector_codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS c, len(embedding) // {vector_codes.PARTS} AS w
+  FROM embeddings WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+k AS (SELECT unnest(range({vector_codes.PARTS})) AS part),
+p AS MATERIALIZED (SELECT r, part, c[part * w + 1 : (part + 1) * w] AS c FROM v, k),
+b0 AS MATERIALIZED (
+  SELECT part, e, c[part * w + 1 : (part + 1) * w] AS c FROM k,
+    (SELECT c, w, row_number() OVER (ORDER BY vec_id NULLS LAST, c) - 1 AS e FROM v ORDER BY e LIMIT {vector_codes.ENTRIES})),{rounds}{assign(last)},
+o AS (
+  SELECT r, string_agg(printf('%02x', CAST(m % {vector_codes.ENTRIES} AS INTEGER)), '' ORDER BY part) AS code,
+    CAST(sum(m // {vector_codes.ENTRIES}) AS BIGINT) AS error FROM n{last} GROUP BY r)
+SELECT v.vec_id, o.code, o.error, CAST(sum(o.error) OVER (PARTITION BY v.label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, e)) FROM b{last}) AS codebooks_sha256
+FROM v JOIN o ON o.r = v.r"""
+
+
 ORACLES = {
     "op1_minhash_near_dedup": r"""
 WITH RECURSIVE
@@ -223,4 +277,25 @@ k AS (
   SELECT *, first_value(doc_id) OVER (PARTITION BY body ORDER BY n DESC, doc_id) AS keep_id,
     count(*) OVER (PARTITION BY body) AS group_size FROM t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM k""",
+    "op11_vector_codes": _codes_sql(),
+    "op12_decontamination": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+w AS (
+  SELECT DISTINCT item, least(len(ws), 10) AS n, unnest([ws[i : i + least(len(ws), 10) - 1] FOR i IN range(1, greatest(len(ws) - 9, 1) + 1)]) AS win
+  FROM b WHERE len(ws) > 0),
+g AS (
+  SELECT r, unnest(range(1, greatest(len(ws) - n + 1, 0) + 1)) AS i, n,
+    unnest([ws[i : i + n - 1] FOR i IN range(1, greatest(len(ws) - n + 1, 0) + 1)]) AS win
+  FROM d, (SELECT DISTINCT n FROM w)),
+f AS (SELECT g.r, g.i, g.n, w.item FROM g JOIN w ON w.n = g.n AND w.win = g.win),
+h AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM f) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM f WHERE item IS NOT NULL) GROUP BY r)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(t.n_items, 0) AS n_items,
+  sha256(coalesce(t.items, '')) AS items_sha256, h.n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h ON h.r = d.r LEFT JOIN t ON t.r = d.r""",
 }

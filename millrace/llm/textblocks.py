@@ -55,10 +55,10 @@ def blocks(texts: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES) -> Itera
         first = end
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end of every run of characters that are not ASCII white space, and for each text the
-    number of the first word; the last entry is the number of words."""
-    solid = ~_SPACE[data]
+def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of every run of bytes that are not `between` words, by default ASCII white space, and for
+    each text the number of the first word; the last entry is the number of words."""
+    solid = ~between[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     before = np.empty(len(data), dtype=bool)

@@ -30,7 +30,7 @@ def test_query(spark, con, sf_dir, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark, sf_dir):
