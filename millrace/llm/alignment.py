@@ -17,6 +17,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
@@ -26,7 +27,9 @@ from millrace.llm import textblocks as tb
 from millrace.session import new_folder, settle
 
 # What a worker remembers: stretches of up to so many bytes, windows of up to so many ids, so many of each.
-SHORT, FEW, REMEMBERED = 48, 24, 150_000
+SHORT, FEW, REMEMBERED = 48, 24, 300_000
+# Short stretches that are encoded as one text.
+_JOINED = 2048
 # Id pairs whose counts are broadcast at once.
 PAIR_ROWS = 4_000_000
 # Different pairs that a task gathers before it hands on their counts.
@@ -41,11 +44,36 @@ def byte_level_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+# Fixed value: how the byte-level tokenizer splits texts before it joins pairs.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def ids_are_ranks(byte_level: str) -> bool:
+    """Whether joining the neighbours that make the entry with the lowest id gives the same ids as the file's merges.
+
+    It does if merges are listed in the order of the ids they make, and every entry, taken alone, is joined to
+    itself. For then, whenever two tokens stand side by side whose bytes are an entry, they have come about
+    inside these bytes alone, as they do in the entry, so they are the pair that its merge names.
+    """
+    from tokenizers import Tokenizer
+
+    tokenizer, model = Tokenizer.from_str(byte_level), json.loads(byte_level)["model"]
+    if json.loads(byte_level)["pre_tokenizer"] != {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}:
+        return False
+    vocabulary = model["vocab"]
+    special = {t["content"] for t in json.loads(byte_level)["added_tokens"]}
+    made = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    return made == sorted(made) and all(
+        [t.id for t in tokenizer.model.tokenize(entry)] == [number] for entry, number in vocabulary.items() if entry not in special)
+
+
 class Tokenizers:
-    """Both tokenizers from their files' bytes, made when first used; safe to broadcast."""
+    """Both tokenizers from their files' bytes, made when first used; safe to broadcast. If `ranks`, side A's ids serve
+    as ranks for a faster encoder of ASCII stretches, with the same result."""
 
     def __init__(self, byte_level: str, pieces: bytes):
         self.byte_level, self.pieces, self._made = byte_level, pieces, None
+        self.ranks = ids_are_ranks(byte_level)
 
     @classmethod
     def load(cls, byte_level_file: str, piece_file: str) -> Tokenizers:
@@ -62,27 +90,39 @@ class Tokenizers:
         return self._made
 
 
-class _Table:
-    """Arrays of ids, remembered by key. Full, it starts anew."""
+class _Stretches:
+    """Ids of both sides of the stretches seen so far. Full, it starts anew."""
 
     def __init__(self):
         self.clear()
 
-    def clear(self):
+    def clear(self) -> None:
         self.number: dict[bytes, int] = {}
+        self.sides = [_Lists(), _Lists()]
+
+    def add(self, keys: list[bytes], sides: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        self.number.update(zip(keys, range(len(self.number), len(self.number) + len(keys)), strict=True))
+        for lists, (flat, sizes) in zip(self.sides, sides, strict=True):
+            lists.extend(flat, sizes)
+
+
+class _Lists:
+    """Lists of ids, one after another, that more are added to."""
+
+    def __init__(self):
         self.flat, self.used = np.zeros(1 << 12, np.int32), 0
-        self.at, self.size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.size, self.rows = np.zeros(1 << 12, np.int64), 0
+        self.at = np.zeros(1 << 12, np.int64)
 
-    def add(self, key: bytes, ids: list[int]) -> None:
-        n = len(self.number)
-        if n == len(self.at):
-            self.at, self.size = np.resize(self.at, 2 * n), np.resize(self.size, 2 * n)
-        while self.used + len(ids) > len(self.flat):
+    def extend(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        while self.used + len(flat) > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.at[n], self.size[n] = self.used, len(ids)
-        self.used += len(ids)
-        self.number[key] = n
+        while self.rows + len(sizes) > len(self.size):
+            self.size, self.at = np.resize(self.size, 2 * len(self.size)), np.resize(self.at, 2 * len(self.at))
+        self.flat[self.used : self.used + len(flat)] = flat
+        rows = slice(self.rows, self.rows + len(sizes))
+        self.size[rows], self.at[rows] = sizes, self.used + np.cumsum(sizes) - sizes
+        self.used, self.rows = self.used + len(flat), rows.stop
 
 
 class _Made:
@@ -105,14 +145,51 @@ class _Made:
             plain = piece.replace("▁", " ").encode()
             spoken_b.append(bytes([int(piece[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", piece) else plain)
         self.spoken = [_Spoken(spoken_a), _Spoken(spoken_b)]
-        self.stretches = [_Table(), _Table()]
-        self.windows: dict[tuple[bytes, bytes], tuple[bytes, int, int]] = {}
-
-    def encode(self, side: int, stretches: list[str]) -> list[list[int]]:
-        """Ids of texts that begin with a space, which side B puts there itself."""
-        if side == 0:
-            return [e.ids for e in self.a.encode_batch_fast(stretches, add_special_tokens=False)]
-        return self.b.encode([s[1:] for s in stretches], num_threads=1)
+        self.digits = _Spoken([b"%d," % k for k in range(max(len(spoken_a), len(spoken_b)))])
+        self.fast = None
+        if files.ranks:
+            import tiktoken
+
+            special = {t["content"] for t in json.loads(files.byte_level)["added_tokens"]}
+            ranks = {spoken_a[number]: number for entry, number in vocabulary.items() if entry not in special}
+            self.fast = tiktoken.Encoding("side A", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        self.stretches = _Stretches()
+        # The groups of a window as text and their number, by the ids of both sides.
+        self.windows: dict[bytes, tuple[bytes, int]] = {}
+
+    def encode(self, side: int, text: str) -> np.ndarray:
+        """Ids of a text that begins with a space, which side B puts there itself."""
+        if side == 1:
+            ids = self.b.encode(text[1:])
+        elif self.fast and text.isascii():
+            ids = self.fast.encode_ordinary(text)
+        else:
+            ids = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(ids, dtype=np.int32)
+
+    def encode_each(self, side: int, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many stretches and their numbers."""
+        found = [self.encode(side, s.decode()) for s in stretches]
+        return np.concatenate([*found, np.zeros(0, np.int32)]), np.array([len(x) for x in found], dtype=np.int64)
+
+    def encode_joined(self, side: int, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many stretches that may stand next to each other in a text, and their numbers: they are encoded as
+        texts of many, and the ids dealt out by their bytes."""
+        flat, sizes = [], []
+        for first in range(0, len(stretches), _JOINED):
+            part = stretches[first : first + _JOINED]
+            ids = self.encode(side, b"".join(part).decode())
+            tops = np.cumsum(self.spoken[side].size[ids])
+            want = np.cumsum([len(s) for s in part])
+            at = np.minimum(np.searchsorted(tops, want), len(tops) - 1)
+            if np.array_equal(tops[at], want) and tops[-1] == want[-1]:
+                flat.append(ids)
+                sizes.append(np.diff(at + 1, prepend=0))
+            else:  # a side that does not give bytes back
+                ids, own = self.encode_each(side, part)
+                flat.append(ids)
+                sizes.append(own)
+        return np.concatenate([*flat, np.zeros(0, np.int32)]), np.concatenate([*sizes, np.zeros(0, np.int64)])
 
 
 class _Spoken:
@@ -160,22 +237,25 @@ def encode_block(made: _Made, data: np.ndarray, offsets: np.ndarray) -> list[tup
     raw = data.tobytes()
     keys = [raw[a:b] for a, b in zip(begin[chosen].tolist(), end[chosen].tolist(), strict=True)]
     of_text = np.searchsorted(begin, offsets)
+    table = made.stretches
+    if len(table.number) + len(keys) > REMEMBERED:
+        table.clear()
+    new = [key for key in keys if len(key) <= SHORT and key not in table.number]
+    inner = lambda s: len(s) > 1 and 32 < s[1] < 127 and 32 < s[-1] < 127
+    for ascii_ in (True, False):
+        part = [s for s in new if inner(s) and s.isascii() == ascii_]
+        table.add(part, [made.encode_joined(side, part) for side in (0, 1)])
+    part = [s for s in new if not inner(s)]
+    table.add(part, [made.encode_each(side, part) for side in (0, 1)])
+    long = [k for k, key in enumerate(keys) if len(key) > SHORT]
+    number = np.array([table.number.get(key, 0) for key in keys], dtype=np.int64)
     out = []
-    for side, table in enumerate(made.stretches):
-        if len(table.number) + len(keys) > REMEMBERED:
-            table.clear()
-        long = [k for k, key in enumerate(keys) if len(key) > SHORT]
-        new = [key for key in keys if len(key) <= SHORT and key not in table.number]
-        for at in range(0, len(new), 1024):
-            part = new[at : at + 1024]
-            for key, ids in zip(part, made.encode(side, [key.decode() for key in part]), strict=True):
-                table.add(key, ids)
-        once = [np.array(made.encode(side, [keys[k].decode()])[0], dtype=np.int32) for k in long]
-        flat = np.concatenate([table.flat[: table.used], *once])
-        number = np.array([table.number.get(key, 0) for key in keys], dtype=np.int64)
-        starts, counts = table.at[number], table.size[number]
+    for side, lists in enumerate(table.sides):
+        once = [made.encode(side, keys[k].decode()) for k in long]
+        flat = np.concatenate([lists.flat[: lists.used], *once])
+        starts, counts = lists.at[number], lists.size[number]
         sizes = np.array([len(x) for x in once], dtype=np.int64)
-        starts[long], counts[long] = table.used + np.cumsum(sizes) - sizes, sizes
+        starts[long], counts[long] = lists.used + np.cumsum(sizes) - sizes, sizes
         ids = flat[_runs(starts[which], counts[which])]
         out.append((ids, np.concatenate([[0], np.cumsum(counts[which])])[of_text]))
     return out
@@ -197,25 +277,34 @@ def verified(made: _Made, data: np.ndarray, offsets: np.ndarray, sides: list[tup
     return good
 
 
-def align(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> tuple[bytes, int, int]:
-    """Groups of a window whose sides have equally many bytes, as text, their number, and the number of links.
+def group_texts(made: _Made, sides: list[np.ndarray], at: list[np.ndarray]) -> tuple[list[bytes], np.ndarray]:
+    """The groups of windows as text, `a1,a2|b1;a3|b2,b3`, and their numbers. sides: ids of both sides, window after window;
+    at: where each window begins in them. Both sides of a window have the same bytes.
 
-    A group ends where a token of each side ends. Two neighbouring ends, of whatever side, have one token of each
-    side between them, so a group of m and n tokens has m + n - 1 links.
+    A group ends where a token of each side ends. Its tokens of side A come first, so the place of a token in the
+    text is its own number plus the tokens of the other side before it.
     """
-    groups, i, j = [], 0, 0
-    while i < len(a):
-        first, other, end_a, end_b = i, j, size_a[i], size_b[j]
-        while end_a != end_b:
-            if end_a < end_b:
-                i += 1
-                end_a += size_a[i]
-            else:
-                j += 1
-                end_b += size_b[j]
-        i, j = i + 1, j + 1
-        groups.append(",".join(map(str, a[first:i])) + "|" + ",".join(map(str, b[other:j])))
-    return ";".join(groups).encode(), len(groups), len(a) + len(b) - len(groups)
+    tops = [np.cumsum(spoken.size[ids]) for spoken, ids in zip(made.spoken, sides, strict=True)]
+    mark = np.zeros(int(tops[0][-1]) + 1, dtype=np.uint8)
+    for top in tops:
+        mark[top] += 1
+    # Groups end before each place; their tokens up to there.
+    group = np.cumsum(mark == 2)
+    last = [mark[top] == 2 for top in tops]
+    group = [group[top] - end for top, end in zip(tops, last, strict=True)]
+    upto = [np.flatnonzero(end) + 1 for end in last]
+    place = [np.arange(len(sides[0])) + np.concatenate([[0], upto[1]])[group[0]], np.arange(len(sides[1])) + upto[0][group[1]]]
+    ids = np.empty(len(sides[0]) + len(sides[1]), dtype=np.int64)
+    after = np.empty(len(ids), dtype=np.uint8)
+    for k, sign in enumerate(b"|;"):
+        ids[place[k]] = sides[k]
+        after[place[k]] = np.where(last[k], sign, ord(","))
+    ends = np.cumsum(made.digits.size[ids])
+    data = made.digits.bytes_of(ids)
+    data[ends - 1] = after
+    raw, ends = data.tobytes(), np.concatenate([[0], ends])[at[0] + at[1]].tolist()
+    numbers = np.diff(np.concatenate([[0], np.cumsum(last[0])])[at[0]])
+    return [raw[x : y - 1] for x, y in zip(ends[:-1], ends[1:], strict=True)], numbers
 
 
 def _windows(made: _Made, sides: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -226,9 +315,12 @@ def _windows(made: _Made, sides: list[tuple[np.ndarray, np.ndarray]]) -> tuple[l
         end = np.cumsum(spoken.size[ids])
         ends.append(end)
         begins.append(end - spoken.size[ids])
-    anchors = np.intersect1d(*(b[spoken.spaced[ids]] for b, spoken, (ids, _) in zip(begins, made.spoken, sides, strict=True)), assume_unique=True)
+    mark = np.zeros(int(ends[0][-1]), dtype=np.uint8)
+    for b, spoken, (ids, _) in zip(begins, made.spoken, sides, strict=True):
+        mark[b[spoken.spaced[ids]]] += 1
     texts = begins[0][sides[0][1][:-1]]
-    anchors = np.union1d(anchors, texts)
+    mark[texts] = 2
+    anchors = np.flatnonzero(mark == 2)
     return [np.append(np.searchsorted(b, anchors), len(b)) for b in begins], np.append(np.searchsorted(anchors, texts), len(anchors))
 
 
@@ -249,27 +341,40 @@ def _window_numbers(sides: list[tuple[np.ndarray, np.ndarray]], at: list[np.ndar
 
 
 def align_block(made: _Made, sides: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Numbers of groups and links of every verified text, and the hash of its groups."""
+    """Numbers of groups and links of every verified text, and the hash of its groups.
+
+    Two neighbouring ends of tokens, of whatever side, have one token of each side between them, so a group of
+    m and n tokens has m + n - 1 links.
+    """
     at, first = _windows(made, sides)
     chosen, which = _window_numbers(sides, at)
-    found = []
     if len(made.windows) > REMEMBERED:
         made.windows.clear()
-    bounds = [x.tolist() for side in at for x in (side[:-1][chosen], side[1:][chosen])]
-    ids = [i.astype(np.int32) for i, _ in sides]
-    for a0, a1, b0, b1 in zip(*bounds, strict=True):
-        a, b = ids[0][a0:a1], ids[1][b0:b1]
-        key = (a.tobytes(), b.tobytes())
-        known = made.windows.get(key)
-        if known is None:
-            known = align(a.tolist(), b.tolist(), made.spoken[0].size[a].tolist(), made.spoken[1].size[b].tolist())
-            if len(a) + len(b) <= FEW:
-                made.windows[key] = known
-        found.append(known)
-    texts = np.array([f[0] for f in found], dtype=object)[which]
-    counts = [np.concatenate([[0], np.cumsum(np.array([f[k] for f in found], dtype=np.int64)[which])])[first] for k in (1, 2)]
+    # The key of a window: its ids of side A, a mark that is no id, its ids of side B.
+    starts, counts = [side[:-1][chosen] for side in at], [np.diff(side)[chosen] for side in at]
+    flat = [ids[_runs(s, c)] for (ids, _), s, c in zip(sides, starts, counts, strict=True)]
+    total = counts[0] + counts[1] + 1
+    ends = np.cumsum(total)
+    keys = np.full(int(ends[-1]), -1, dtype=np.int32)
+    keys[_runs(ends - total, counts[0])] = flat[0]
+    keys[_runs(ends - counts[1], counts[1])] = flat[1]
+    raw, cuts = keys.tobytes(), [0, *(4 * ends).tolist()]
+    keys = [raw[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+    found = [made.windows.get(key) for key in keys]
+    new = np.array([k for k, f in enumerate(found) if f is None], dtype=np.int64)
+    if len(new):
+        own = [ids[_runs(s[new], c[new])] for (ids, _), s, c in zip(sides, starts, counts, strict=True)]
+        texts, numbers = group_texts(made, own, [np.concatenate([[0], np.cumsum(c[new])]) for c in counts])
+        for k, text, number, few in zip(new.tolist(), texts, numbers.tolist(), (total[new] <= FEW).tolist(), strict=True):
+            found[k] = (text, number)
+            if few:
+                made.windows[keys[k]] = (text, number)
+    texts = np.empty(len(found), dtype=object)
+    texts[:] = [f[0] for f in found]
+    texts = texts[which]
+    groups = np.diff(np.concatenate([[0], np.cumsum(np.array([f[1] for f in found], dtype=np.int64)[which])])[first])
     hashes = [hashlib.sha256(b";".join(texts[a:b].tolist())).hexdigest() for a, b in zip(first[:-1], first[1:], strict=True)]
-    return np.diff(counts[0]), np.diff(counts[1]), hashes
+    return groups, np.diff(sides[0][1]) + np.diff(sides[1][1]) - groups, hashes
 
 
 def _take(side: tuple[np.ndarray, np.ndarray], texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -319,17 +424,15 @@ def _links(spoken: list[_Spoken], a: pa.Array, b: pa.Array) -> Iterator[tuple[in
     first = 0
     while first < len(sizes):
         end = first + max(int(np.searchsorted(np.cumsum(sizes[first:]), tb.BLOCK_BYTES, side="right")), 1)
-        ids, tops, owner = [], [], None
-        for side, column in zip(spoken, (a, b), strict=True):
-            parts = [np.frombuffer(x.as_buffer(), dtype="<u2") for x in column[first:end]]
-            flat = np.concatenate(parts).astype(np.int64)
-            if owner is None:
-                owner = np.repeat(np.arange(end - first), [len(p) for p in parts])
-            ids.append(flat)
-            tops.append(np.cumsum(side.size[flat]))
-        ends = np.union1d(*tops)
-        i = np.searchsorted(tops[0], ends)
-        j = np.searchsorted(tops[1], ends)
+        parts = [[np.frombuffer(x.as_buffer(), dtype="<u2") for x in column[first:end]] for column in (a, b)]
+        ids = [np.concatenate(p).astype(np.int64) for p in parts]
+        tops = [np.cumsum(side.size[i]) for side, i in zip(spoken, ids, strict=True)]
+        mark = np.zeros(int(tops[0][-1]) + 1 if len(tops[0]) else 1, dtype=np.uint8)
+        mark[tops[0]] = 1
+        mark[tops[1]] += 2
+        mark = mark[mark > 0]
+        i, j = (np.cumsum(m) - m for m in ((mark & 1).astype(np.int64), (mark >> 1).astype(np.int64)))
+        owner = np.repeat(np.arange(end - first), [len(p) for p in parts[0]])
         yield first, end - first, owner[i], ids[0][i] * len(spoken[1].size) + ids[1][j]
         first = end
 
@@ -344,7 +447,7 @@ def pair_counts(aligned: DataFrame, shared: Broadcast) -> DataFrame:
         fresh, waiting = [], 0
         for batch in batches:
             for _, _, text, pair in _links(spoken, batch.column(0), batch.column(1)):
-                fresh.append(np.unique(text * codes + pair) % codes)
+                fresh.append(pd.unique(text * codes + pair) % codes)
                 waiting += len(fresh[-1])
                 if waiting > _GATHERED:
                     pairs, docs = _added(pairs, docs, fresh)
@@ -374,7 +477,7 @@ def _scored(aligned: DataFrame, shared: Broadcast, known: Broadcast) -> DataFram
         for batch in batches:
             more = np.zeros((2, batch.num_rows), dtype=np.int64)
             for first, rows, text, pair in _links(spoken, batch.column("a"), batch.column("b")):
-                kinds, which = np.unique(pair, return_inverse=True)
+                which, kinds = pd.factorize(pair)
                 at = np.minimum(np.searchsorted(pairs, kinds), max(len(pairs) - 1, 0))
                 there = pairs[at] == kinds if len(pairs) else np.zeros(len(kinds), bool)
                 count = np.where(there, docs[at], 0) if len(pairs) else np.zeros(len(kinds), np.int64)

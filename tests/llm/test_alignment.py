@@ -85,8 +85,18 @@ def test_ids_of_stretches_are_ids_of_texts(spark, sf_dir, tokenizers):
             assert ids[at[k] : at[k + 1]].tolist() == want
 
 
-def test_group_text():
-    assert alignment.align([1, 2, 3], [7, 8, 8], [2, 2, 4], [4, 1, 3]) == (b"1,2|7;3|8,8", 2, 4)
+def test_group_texts(tokenizers):
+    made = tokenizers.made
+    texts = [" naïve", " co-operation", " 日本", " x"]
+    a = [made.a.encode(t, add_special_tokens=False).ids for t in texts]
+    b = [made.b.encode(t[1:]) for t in texts]
+    at = [np.cumsum([0, *map(len, side)]) for side in (a, b)]
+    found, numbers = alignment.group_texts(made, [np.concatenate(side) for side in (a, b)], at)
+    for i, j, text, number in zip(a, b, found, numbers, strict=True):
+        groups = [[[int(k) for k in side.split(",")] for side in g.split("|")] for g in text.decode().split(";")]
+        assert len(groups) == number and sum((g[0] for g in groups), []) == i and sum((g[1] for g in groups), []) == j
+        for g in groups:
+            assert made.spoken[0].bytes_of(np.array(g[0])).tobytes() == made.spoken[1].bytes_of(np.array(g[1])).tobytes()
 
 
 def test_remembering_less_changes_nothing(spark, sf_dir, tokenizers, monkeypatch):
@@ -112,3 +122,12 @@ def test_repeats_and_empty_table(spark, tokenizers):
     assert len(same) == 3 and len({tuple(r)[1:] for r in same}) == 1
     assert same[0]["count_sum"] == 3 * same[0]["n_links"] and same[0]["n_best"] == same[0]["n_links"]
     assert alignment.align_tokens(df.limit(0), tokenizers).count() == 0
+
+
+def test_ids_serve_as_ranks_only_where_they_may(tokenizers):
+    assert tokenizers.ranks
+    import json
+
+    file = json.loads(tokenizers.byte_level)
+    file["model"]["merges"].reverse()
+    assert not alignment.ids_are_ranks(json.dumps(file))
