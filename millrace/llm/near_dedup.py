@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from millrace.llm import textblocks as tb
 from millrace.llm.components import components
 from millrace.llm.rows import only_rows, row_key
-from millrace.session import settle
+from millrace.session import narrow, settle
 
 BANDS, ROWS = 32, 4
 # Members of a bucket, still in different components, up to which all its pairs are candidates. Beyond it
@@ -22,6 +22,8 @@ CROWD = 8
 # Standard deviations by which the share of equal signature bytes may fall short before a pair is ruled out.
 SLACK = 6.0
 PARITY_BITS = 1024
+# 64-bit numbers that all parities are folded into, to go along with members.
+FOLDS = 4
 # Ids are broadcast to a scan up to this number; beyond it the scan is shuffled.
 BROADCAST_IDS = 1_000_000
 
@@ -78,6 +80,11 @@ def _parities(members: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
 
+def _folded(parities: bytes) -> np.ndarray:
+    """Parities of fewer, larger classes: those of the classes that make up one, added up."""
+    return np.bitwise_xor.reduce(np.frombuffer(parities, dtype=np.int64).reshape(-1, FOLDS), axis=0)
+
+
 def _digest(sets: list[np.ndarray]) -> list[bytes | None]:
     return [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
 
@@ -89,14 +96,18 @@ def _describe(batches: Iterator[pa.RecordBatch], shingle: int, bands: int, rows:
             full = [s for s in sets if len(s)]
             signature = signatures(full, bands * rows)
             keys = band_keys(signature, bands, rows)
-            sketches = iter([row.tobytes() + _parities(s) for row, s in zip(signature.astype(np.uint8), full, strict=True)])
+            parities = [_parities(s) for s in full]
+            sketches = iter([row.tobytes() + p for row, p in zip(signature.astype(np.uint8), parities, strict=True)])
+            folds = np.array([_folded(p) for p in parities], dtype=np.int64).ravel()
             ends = np.cumsum([0, *(bands if len(s) else 0 for s in sets)])
+            fold_ends = np.cumsum([0, *(FOLDS if len(s) else 0 for s in sets)])
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(first, end - first), batch.column(2).slice(first, end - first),
                 pa.array(_digest(sets), pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.ravel(), pa.int64())),
-                pa.array([next(sketches) if len(s) else None for s in sets], pa.binary())],
-                ["id", "row_key", "node", "n", "bands", "sketch"])
+                pa.array([next(sketches) if len(s) else None for s in sets], pa.binary()),
+                pa.ListArray.from_arrays(pa.array(fold_ends, pa.int32()), pa.array(folds))],
+                ["id", "row_key", "node", "n", "bands", "sketch", "folds"])
 
 
 def _named(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
@@ -157,7 +168,7 @@ def _texts_of(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int
     set again, since ids may repeat."""
     wanted = settle(nodes.select("node", "least_id").join(wanted, "node", "left_semi"), "wanted")
     ids = wanted.select(F.col("least_id").alias("wanted_id")).distinct()
-    if wanted.count() <= BROADCAST_IDS:
+    if wanted.count() <= BROADCAST_IDS and narrow(ids):
         ids = F.broadcast(ids)
     texts = docs.join(ids, docs["id"].eqNullSafe(ids["wanted_id"]), "left_semi").select("text")
     texts = texts.mapInArrow(lambda it: _named(it, shingle), "node binary, text string").where("node IS NOT NULL")
@@ -197,9 +208,10 @@ def _crossing(members: DataFrame) -> DataFrame:
 def _pairs_across(members: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes that share a key, are in different components and can be similar enough.
 
-    members: key, node, label, n and `left`, the most members that two sets can share if this key is the
+    members: key, node, label, n, folds and `left`, the most members that two sets can share if this key is the
     first they share. Nodes alike in label, n and left are paired as one group first, then expanded, so the
-    members of one large component never meet each other.
+    members of one large component never meet each other. A pair goes on only if its folded parities, which bound the
+    difference of the two sets from below, leave the similarity possible.
     """
     alike = ["key", "label", "n", "left"]
     groups = members.groupBy(*alike).agg(F.count("*").alias("size"))
@@ -207,9 +219,12 @@ def _pairs_across(members: DataFrame, percent: int) -> DataFrame:
     two = groups.select("key", *(F.col(c).alias(f"{c}_b") for c in alike[1:]))
     enough = F.least("left_a", "left_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
     meet = one.join(two, "key").where((F.col("label_a") < F.col("label_b")) & enough)
-    one = members.select("key", *(F.col(c).alias(f"{c}_a") for c in alike[1:]), F.col("node").alias("x"))
-    two = members.select("key", *(F.col(c).alias(f"{c}_b") for c in alike[1:]), F.col("node").alias("y"))
+    one = members.select("key", *(F.col(c).alias(f"{c}_a") for c in alike[1:]), F.col("node").alias("x"), F.col("folds").alias("folds_x"))
+    two = members.select("key", *(F.col(c).alias(f"{c}_b") for c in alike[1:]), F.col("node").alias("y"), F.col("folds").alias("folds_y"))
     found = meet.join(one, ["key", "label_a", "n_a", "left_a"]).join(two, ["key", "label_b", "n_b", "left_b"])
+    apart = sum(F.bit_count(F.col("folds_x")[k].bitwiseXOR(F.col("folds_y")[k])) for k in range(FOLDS))
+    both = F.col("n_a") + F.col("n_b")
+    found = found.where(F.floor((both - apart) / 2) * (100 + percent) >= both * percent)
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
@@ -221,7 +236,7 @@ def _prefix_pairs(members: DataFrame, docs: DataFrame, nodes: DataFrame, shingle
     their first one, no more than what is left from there on can be shared. Rare members come first here, so
     that what sets a text apart fills its prefix.
     """
-    members = members.select("node", "n", "label").distinct()
+    members = members.select("node", "n", "label", "folds").distinct()
     texts = _texts_of(members.select("node"), docs, nodes, shingle)
     tokens = settle(texts.mapInArrow(lambda it: _tokens(it, shingle), "node binary, token bigint"), "tokens")
     counts = tokens.groupBy("token").agg(F.count("*").alias("df"))
@@ -229,7 +244,7 @@ def _prefix_pairs(members: DataFrame, docs: DataFrame, nodes: DataFrame, shingle
         "place", F.row_number().over(Window.partitionBy("node").orderBy("df", "token"))).join(members, "node")
     prefix = F.floor(F.col("n") - F.ceil(F.col("n") * percent / 100.0 - 1e-9) + 1)
     heads = placed.where((F.col("place") <= prefix) & (F.col("df") > 1))
-    heads = heads.select(F.col("token").alias("key"), "node", "n", "label", (F.col("n") - F.col("place") + 1).alias("left"))
+    heads = heads.select(F.col("token").alias("key"), "node", "n", "label", "folds", (F.col("n") - F.col("place") + 1).alias("left"))
     return _pairs_across(settle(heads, "heads"), percent)
 
 
@@ -260,10 +275,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     id_type = docs.schema["id"].dataType.simpleString()
     prepared = settle(keyed.mapInArrow(
         lambda it: _describe(it, shingle, bands, rows),
-        f"id {id_type}, row_key string, node binary, n bigint, bands array<bigint>, sketch binary"), "signatures")
+        f"id {id_type}, row_key string, node binary, n bigint, bands array<bigint>, sketch binary, folds array<bigint>"), "signatures")
     nodes = prepared.where("node IS NOT NULL").groupBy("node").agg(
         F.min("id").alias("least_id"), F.count("*").alias("copies"), F.min("n").alias("n"), F.min("bands").alias("bands"),
-        F.min("sketch").alias("sketch"))
+        F.min("sketch").alias("sketch"), F.min("folds").alias("folds"))
     nodes = settle(nodes, "nodes")
     spread = nodes.select("node", "n", F.explode("bands").alias("key"))
     # Each bucket has a centre of its own, so that a node in 32 buckets meets many others.
@@ -288,9 +303,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "key", "node", "n", "center", F.coalesce("label", "node").alias("label"))
     rest = rest.join(_crossing(rest), "key").where("node <> center")
     crossing = _crossing(rest).withColumnRenamed("m", "others")
-    rest = settle(rest.drop("m").join(crossing, "key"), "unsettled")
-    small = rest.where(F.col("others") <= CROWD).select("key", "node", "n", "label", F.col("n").alias("left"))
-    crowded = rest.where(F.col("others") > CROWD).select("key", "node", "n", "label")
+    rest = rest.drop("m").join(crossing, "key").join(nodes.select("node", "folds"), "node")
+    rest = settle(rest, "unsettled")
+    small = rest.where(F.col("others") <= CROWD).select("key", "node", "n", "label", "folds", F.col("n").alias("left"))
+    crowded = rest.where(F.col("others") > CROWD).select("key", "node", "n", "label", "folds")
     pairs = _pairs_across(small, percent)
     if not crowded.isEmpty():
         pairs = pairs.unionAll(_prefix_pairs(crowded, docs, nodes, shingle, percent))
