@@ -1,14 +1,20 @@
-"""License recognition: known sentences become identifiers, sequences of identifiers become licenses."""
+"""License recognition: known sentences become identifiers, sequences of identifiers become licenses.
+
+A text is first written as its words, in lower case, with a mark where a sentence or paragraph ends and another
+where only a line does. A known sentence is found wherever it stands between two marks of any kind, and may run over
+line ends, so titles, wrapped headers and notices in comments are all read in one pass, by position.
+"""
 
 from __future__ import annotations
 
+import re
 import string
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Sentences of public license texts and notices, by identifier, as they are usually written. Each is
-# one piece of the cut of _sentences. The headers of GPL 2 and 3 begin with the same piece.
+# Sentences of public license texts and notices, by identifier, as they are usually written. The headers
+# of GPL 2 and 3 begin with the same sentence but for the mark behind it.
 SENTENCES = {
     "mit-notice": "Released under the MIT License.",
     "mit-notice-2": "Licensed under the MIT License.",
@@ -59,8 +65,7 @@ SENTENCES = {
     "bsd-3-notice": "Licensed under the BSD 3-Clause License.",
     "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
                  "granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    "mpl-2-header-a": "This Source Code Form is subject to the terms of the Mozilla Public License, v.",
-    "mpl-2-header-b": "2.0.",
+    "mpl-2-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "mpl-2-notice": "Licensed under the Mozilla Public License, Version 2.0.",
     "unlicense-domain": "This is free and unencumbered software released into the public domain.",
     "all-rights": "All rights reserved under copyright.",
@@ -77,55 +82,61 @@ RULES = [
     ("CC-BY-NC-SA-4.0", ["cc-by-nc-sa-4-notice"]), ("CC-BY-ND-4.0", ["cc-by-nd-4-notice"]), ("CC0-1.0", ["cc0-notice"]),
     ("BSD-2-Clause", ["bsd-2-notice"]), ("BSD-2-Clause", ["bsd-intro", "bsd-source", "bsd-binary"]),
     ("BSD-3-Clause", ["bsd-3-notice"]), ("BSD-3-Clause", ["bsd-intro", "bsd-source", "bsd-binary", "bsd-endorse"]),
-    ("ISC", ["isc-grant"]), ("MPL-2.0", ["mpl-2-header-a", "mpl-2-header-b"]), ("MPL-2.0", ["mpl-2-notice"]), ("Unlicense", ["unlicense-domain"]),
+    ("ISC", ["isc-grant"]), ("MPL-2.0", ["mpl-2-header"]), ("MPL-2.0", ["mpl-2-notice"]), ("Unlicense", ["unlicense-domain"]),
 ]
-# Every sentence holds one of these; texts without any are not cut up. They are single words, which normalising
-# leaves in one piece whatever stands between words, but for the number.
-TRIGGER = r"licen[cs]e|copyright|permission|redistribut|software|unencumbered|(?<![a-z0-9])2[^a-z0-9]+0(?![a-z0-9])"
+# Every sentence holds one of these; texts without any are not read further. They are single words, which
+# normalising leaves in one piece whatever stands between words.
+TRIGGER = r"licen[cs]e|copyright|permission|redistribut|software|unencumbered"
+# Marks of the normalised text: the end of a sentence or paragraph, and the end of a line within it.
+END, LINE = "|", "/"
 _SPACE = r"[\x20\x09-\x0D]"
+_STOP = rf"[.!?;:]{_SPACE}+"
 
 
 def normalised(sentence: str) -> str:
-    """Letters and digits in lower case, everything else as single spaces."""
-    kept = "".join(c if c.isascii() and c.isalnum() else " " for c in sentence)
-    return " ".join(kept.lower().split())
+    """Letters and digits in lower case, everything else as single spaces; END where a sentence ends inside."""
+    plain = "".join(chr(ord(c) + 32) if c in string.ascii_uppercase else "-" if c in (END, LINE) else c for c in sentence)
+    kept = re.sub(rf"[^a-z0-9{END}]+", " ", re.sub(_STOP, END, plain))
+    return re.sub(rf" ?([{END}]) ?", r"\1", kept).strip()
 
 
-def _sentences(text: Column) -> Column:
-    """Normalised sentences. They end at a full stop, mark or semicolon before white space, and at line ends."""
-    cut = F.split(F.regexp_replace(text, rf"([.!?;:]){_SPACE}+", "$1\n"), r"[\n\r]+")
-    lower = lambda c: F.translate(c, string.ascii_uppercase, string.ascii_lowercase)
-    return F.transform(cut, lambda s: F.trim(F.regexp_replace(lower(s), "[^a-z0-9]+", " ")))
+def _marked(text: Column) -> Column:
+    """The text as words with single spaces, END and LINE between them, END at both ends."""
+    plain = F.translate(text, string.ascii_uppercase + END + LINE, string.ascii_lowercase + "--")
+    marked = F.regexp_replace(F.regexp_replace(plain, _STOP, END), r"\r\n|[\n\r]", LINE)
+    words = F.regexp_replace(marked, rf"[^a-z0-9{END}{LINE}]+", " ")
+    words = F.concat(F.lit(END), F.trim(F.regexp_replace(words, rf" ?([{END}{LINE}]) ?", "$1")), F.lit(END))
+    # A line end next to another mark has an empty line, or nothing, between them.
+    return F.regexp_replace(words, rf"[{END}{LINE}]{{2,}}", END)
 
 
-def _identifiers(sentences: Column) -> Column:
-    """Identifiers of the known sentences, in order."""
-    known = F.create_map(*(F.lit(x) for name, sentence in SENTENCES.items() for x in (normalised(sentence), name)))
-    return F.filter(F.transform(sentences, lambda s: known[s]), lambda x: x.isNotNull())
+def _pattern() -> str:
+    """Any known sentence between two marks, the longest first. Its words may stand on several lines."""
+    def one(key: str) -> str:
+        return rf"[ {LINE}{END}]".join(part.replace(" ", f"[ {LINE}]") for part in key.split(END))
+    keys = sorted({normalised(s) for s in SENTENCES.values()}, key=lambda k: (-len(k), k))
+    return rf"(?<=[{END}{LINE}])(?:{'|'.join(map(one, keys))})(?=[{END}{LINE}])"
 
 
 def recognised(text: Column) -> Column:
-    """Identifiers of the sentences of a text. Where reading wrapped lines as one line gives more known
-    sentences, that reading counts, so that a license header may be wrapped."""
-    lines = _identifiers(_sentences(text))
-    # A paragraph ends at an empty line; other line ends, with a comment mark behind them, are spaces.
-    flowing = F.regexp_replace(text, rf"(?:\r?\n)[\x20\x09]*(?:[#*]|//)?[\x20\x09]*([^\x20\x09-\x0D])", " $1")
-    wrapped = _identifiers(_sentences(flowing))
-    return F.when(F.size(wrapped) > F.size(lines), wrapped).otherwise(lines)
+    """Identifiers of the known sentences of a text, in order. Of sentences that begin at the same place the longest
+    counts, and the next one begins where it ends or later."""
+    plain = lambda s: F.translate(s, END + LINE, "  ")
+    known = F.create_map(*(F.lit(x) for name, s in SENTENCES.items() for x in (normalised(s).replace(END, " "), name)))
+    found = F.regexp_extract_all(_marked(text), F.lit(_pattern()), F.lit(0))
+    return F.transform(found, lambda s: known[plain(s)])
 
 
 def rules_in(identifiers: Column) -> Column:
-    """Licenses whose rule is a run of the identifiers, sorted, each once. A rule that only is the beginning
-    of a longer one that fits as well does not count."""
-    joined = F.concat(F.lit(","), F.array_join(identifiers, ","), F.lit(","))
-    found = []
-    for name, rule in RULES:
-        fits = F.instr(joined, f",{','.join(rule)},") > 0
-        for _, longer in RULES:
-            if len(longer) > len(rule) and longer[: len(rule)] == rule:
-                fits = fits & (F.instr(joined, f",{','.join(longer)},") == 0)
-        found.append(F.when(fits, F.lit(name)))
-    return F.array_sort(F.array_distinct(F.array_compact(F.array(*found))))
+    """Licenses whose rule is a run of the identifiers, sorted, each once. Of the rules that fit at one place only the
+    longest counts there."""
+    def at(place: Column) -> Column:
+        found = F.lit(None).cast("string")
+        for name, rule in sorted(RULES, key=lambda r: len(r[1])):  # a longer rule decides over those before it
+            found = F.when(F.slice(identifiers, place, len(rule)) == F.array(*map(F.lit, rule)), F.lit(name)).otherwise(found)
+        return found
+    places = F.when(F.size(identifiers) > 0, F.sequence(F.lit(1), F.size(identifiers))).otherwise(F.array().cast("array<int>"))
+    return F.array_sort(F.array_distinct(F.array_compact(F.transform(places, at))))
 
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -118,37 +118,44 @@ QUERIES = {f.__name__: f for f in (
 
 
 def _license_sql() -> str:
+    """Sentences are put together from lines, one line at a time, as long as some known sentence begins that way."""
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
     known = ", ".join(f"({quoted(licenses.normalised(s))}, {quoted(name)})" for name, s in licenses.SENTENCES.items())
-    cases = []
-    for name, rule in licenses.RULES:
-        longer = [r for _, r in licenses.RULES if len(r) > len(rule) and r[: len(rule)] == rule]
-        fits = [f"contains(j, {quoted(',' + ','.join(rule) + ',')})",
-                *(f"NOT contains(j, {quoted(',' + ','.join(r) + ',')})" for r in longer)]
-        cases.append(f"SELECT doc_id, {quoted(name)} AS license FROM j WHERE {' AND '.join(fits)}")
+    rules = ", ".join(f"({quoted(name)}, [{', '.join(map(quoted, rule))}])" for name, rule in licenses.RULES)
     space = r"[\x20\x09-\x0D]"
-    def found(name: str, text: str) -> str:
-        return rf"""
-{name}s AS (
-  SELECT doc_id, unnest(s) AS s, generate_subscripts(s, 1) AS i FROM (
-    SELECT doc_id, regexp_split_to_array(regexp_replace({text}, '([.!?;:]){space}+', '\1' || chr(10), 'g'), '[\n\r]+') AS s FROM t)),
-{name}k AS (
-  SELECT doc_id, count(*) AS n, list(k.id ORDER BY i) AS ids FROM {name}s
-  JOIN k ON k.s = trim(regexp_replace(translate({name}s.s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^a-z0-9]+', ' ', 'g')) GROUP BY doc_id),"""
-    flowing = r"regexp_replace(text, '(?:\r?\n)[\x20\x09]*(?:[#*]|//)?[\x20\x09]*([^\x20\x09-\x0D])', ' \1', 'g')"
-    return f"""
-WITH k(s, id) AS (VALUES {known}),
-t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),{found('l', 'text')}{found('w', flowing)}
-r AS (
-  SELECT t.doc_id, CASE WHEN coalesce(w.n, 0) > coalesce(l.n, 0) THEN w.ids ELSE coalesce(l.ids, []) END AS ids
-  FROM t LEFT JOIN lk l ON l.doc_id = t.doc_id LEFT JOIN wk w ON w.doc_id = t.doc_id),
-j AS (SELECT doc_id, ids, ',' || array_to_string(ids, ',') || ',' AS j FROM r),
-m AS ({' UNION '.join(cases)})
-SELECT j.doc_id, CAST(len(j.ids) AS BIGINT) AS n_sentences, j.ids AS sentences,
-  coalesce((SELECT list(m.license ORDER BY m.license) FROM m WHERE m.doc_id = j.doc_id), []) AS licenses
-FROM j"""
-
+    return rf"""
+WITH RECURSIVE k(s, id) AS (VALUES {known}),
+r(license, ids) AS (VALUES {rules}),
+t AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),
+u AS (
+  SELECT n, regexp_replace(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ|/', 'abcdefghijklmnopqrstuvwxyz--'),
+    '[.!?;:]{space}+', '|', 'g'), '\r\n|[\n\r]', '/', 'g') AS s FROM t),
+v AS (
+  SELECT n, i, m, trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')) AS s FROM (
+    SELECT n, unnest(regexp_extract_all(s, '[|/]?[^|/]*')) AS s, generate_subscripts(regexp_extract_all(s, '[|/]?[^|/]*'), 1) AS i FROM u)
+  CROSS JOIN LATERAL (SELECT CASE WHEN i = 1 OR s[1] = '|' THEN '|' ELSE '/' END AS m)),
+p AS (
+  SELECT n, row_number() OVER w AS i, s, CASE WHEN m = '|' OR i - lag(i, 1, 0) OVER w > 1 THEN '|' ELSE '/' END AS m
+  FROM v WHERE s <> '' WINDOW w AS (PARTITION BY n ORDER BY i)),
+c(n, i, j, s) AS (
+  SELECT n, i, i, s FROM p WHERE EXISTS (SELECT 1 FROM k WHERE starts_with(k.s, p.s))
+  UNION
+  SELECT c.n, c.i, p.i, c.s || x.x || p.s FROM c JOIN p ON p.n = c.n AND p.i = c.j + 1
+  CROSS JOIN (VALUES (' '), ('|')) x(x)
+  WHERE (p.m = '/' OR x.x = '|') AND EXISTS (SELECT 1 FROM k WHERE starts_with(k.s, c.s || x.x || p.s))),
+f AS (SELECT c.n, c.i, max(c.j) AS j, arg_max(k.id, c.j) AS id FROM c JOIN k ON k.s = c.s GROUP BY c.n, c.i),
+g(n, i, j, id) AS (
+  SELECT n, min(i), arg_min(j, i), arg_min(id, i) FROM f GROUP BY n
+  UNION ALL
+  SELECT g.n, e.i, e.j, e.id FROM g CROSS JOIN LATERAL (SELECT i, j, id FROM f WHERE f.n = g.n AND f.i > g.j ORDER BY i LIMIT 1) e),
+o AS (SELECT n, list(id ORDER BY i) AS ids FROM g GROUP BY n),
+h AS (
+  SELECT n, q, arg_max(r.license, len(r.ids)) AS license FROM (SELECT n, ids AS own, unnest(range(1, len(ids) + 1)) AS q FROM o)
+  JOIN r ON own[q : q + len(r.ids) - 1] = r.ids GROUP BY n, q),
+l AS (SELECT n, list(DISTINCT license ORDER BY license) AS licenses FROM h GROUP BY n)
+SELECT t.doc_id, CAST(coalesce(len(o.ids), 0) AS BIGINT) AS n_sentences, coalesce(o.ids, []) AS sentences,
+  coalesce(l.licenses, []) AS licenses
+FROM t LEFT JOIN o ON o.n = t.n LEFT JOIN l ON l.n = t.n"""
 
 
 def _url_sql() -> str:

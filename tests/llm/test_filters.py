@@ -111,7 +111,42 @@ def test_triggers_hold_whatever_stands_between_words(docs):
              "This is free  and -- unencumbered\tsoftware released into the public domain.",
              "THE\nSOFTWARE IS PROVIDED" + licenses.SENTENCES["mit-disclaimer"].removeprefix("THE SOFTWARE IS PROVIDED"),
              "This program is free\n * software;", "2 -\n0"]
-    assert scan(docs, *texts) == [(["Unlicense"], 1), (["Unlicense"], 1), ([], 1), ([], 1), ([], 1)]
+    assert scan(docs, *texts) == [(["Unlicense"], 1), (["Unlicense"], 1), ([], 1), ([], 1), ([], 0)]
+
+
+def test_titles_and_wrapped_notices_in_one_text(docs):
+    s = licenses.SENTENCES
+    bsd = [s[k].replace(" the ", "\n// the ") for k in ("bsd-intro", "bsd-source", "bsd-binary")]
+    mixed = ("The MIT License (MIT)\nCopyright 2020 A\nLicensed under the Apache License,\nVersion 2.0.\n"
+             "Released under\nthe MIT License.")
+    after_lines = "MIT License\nfoo bar\n" + "\n".join(bsd) + "\n" + s["bsd-endorse"]
+    both = " ".join(bsd) + "\nand\n\n" + " ".join([*bsd, s["bsd-endorse"]])
+    assert scan(docs, mixed, after_lines, both) == [
+        (["Apache-2.0", "MIT"], 3), (["BSD-3-Clause"], 5), (["BSD-2-Clause", "BSD-3-Clause"], 7)]
+
+
+def test_sentences_begin_and_end_at_marks(docs):
+    assert scan(docs, "Not released under the MIT License.", "Released under the MIT License or not.", "Released under\n\nthe MIT License.",
+                "1.0. Fixes.\n2.0. License texts.", "x; Licensed under CC BY 4.0. y", "a|MIT License|b", "Released under|the MIT License.") == [
+        ([], 0), ([], 0), ([], 0), ([], 0), (["CC-BY-4.0"], 1), ([], 0), (["MIT"], 1)]
+
+
+def test_sql_agrees_on_made_up_texts(spark, docs, tmp_path):
+    import random
+
+    import check
+    from millrace.llm.queries import ORACLES
+
+    rng, parts = random.Random(2), [w for s in licenses.SENTENCES.values() for w in (s, s.replace(" the ", "\nthe "), s.replace(" of ", "\r\n# of "))]
+    texts = ["".join(rng.choice(parts) + rng.choice([" ", "\n", "\n\n", "; ", "", "|", " x. "]) for _ in range(rng.randrange(1, 9))) for _ in range(150)]
+    df = docs(list(enumerate([None, "", *texts])))
+    df.coalesce(1).write.parquet(f"{tmp_path}/documents")
+    import os
+    part = next(f for f in os.listdir(f"{tmp_path}/documents") if f.endswith(".parquet"))
+    os.link(f"{tmp_path}/documents/{part}", f"{tmp_path}/documents.parquet")
+    names, want = check.expected(check.connect(tmp_path), ORACLES["op3_license_scan"])
+    got = [tuple(r) for r in licenses.scan_licenses(df).select(*names).collect()]
+    assert check.rows_of(names, got) == check.rows_of(names, want)
 
 
 def chats(spark, rows):
