@@ -15,6 +15,7 @@ the stream coder.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,11 +28,14 @@ from millrace.llm import textblocks as tb
 
 LANE = 96
 UNKNOWN_PENALTY = 10.0
+# Of a position that no path reaches or needs.
+_NEVER = -(1 << 62)
 
 
 class Vocabulary:
     """Pieces with ids and scores: `texts` of normal pieces as bytes with plain spaces, `byte_ids` of the
-    256 byte pieces, ids that decode to nothing in `silent`. Plain data, small, and safe to broadcast."""
+    256 byte pieces, ids that decode to nothing in `silent`. Plain data, small, and safe to broadcast, with the
+    tables that are made of it once."""
 
     def __init__(self, texts: dict[bytes, tuple[int, float]], byte_ids: list[int], silent: set[int], size: int):
         self.texts, self.byte_ids, self.silent, self.size = texts, byte_ids, silent, size
@@ -56,9 +60,6 @@ class Vocabulary:
             raise ValueError("the model has no byte pieces, so not every text could be encoded")
         return cls(texts, byte_ids, silent, model.vocab_size())
 
-    def __getstate__(self):
-        return self.__dict__ | {"_tables": None}
-
     @property
     def tables(self) -> _Tables:
         if self._tables is None:
@@ -67,118 +68,174 @@ class Vocabulary:
 
 
 class _Tables:
-    """A trie over the bytes of all pieces, and what decoding needs, as arrays."""
+    """A trie over the bytes of all pieces, and what decoding needs, as arrays. Nodes without children share the
+    first row of `step`, so a node costs 512 bytes only if something follows it."""
 
     def __init__(self, vocabulary: Vocabulary):
-        step, number, score = [[0] * 256], [-1], [0.0]
+        texts = list(vocabulary.texts)
+        self.longest = max(map(len, texts), default=1)
+        flat = np.zeros((len(texts), self.longest), dtype=np.uint8)
+        size = np.array([len(t) for t in texts], dtype=np.int64)
+        flat[np.arange(self.longest) < size[:, None]] = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        # Level by level: the node of a piece's next byte is one for each node before it and byte.
+        node, edges, nodes = np.zeros(len(texts), dtype=np.int64), [], 1
+        for level in range(self.longest):
+            on = size > level
+            keys, which = np.unique(node[on] * 256 + flat[on, level], return_inverse=True)
+            edges.append((keys // 256, keys % 256, nodes + np.arange(len(keys))))
+            node[on] = nodes + which
+            nodes += len(keys)
+        parent, byte, child = (np.concatenate(x) for x in zip(*edges, strict=True))
+        inner = np.unique(parent)
+        self.row = np.zeros(nodes, dtype=np.int32)
+        self.row[inner] = 1 + np.arange(len(inner))
+        self.step = np.zeros((len(inner) + 1, 256), dtype=np.uint16 if nodes < 1 << 16 else np.int32)
+        self.step[self.row[parent], byte] = child
+        self.number = np.full(nodes, -1, dtype=np.int32)
+        self.score = np.zeros(nodes)
+        self.number[node] = [piece for piece, _ in vocabulary.texts.values()]
+        self.score[node] = [value for _, value in vocabulary.texts.values()]
         self.pairs = np.zeros((256, 256), dtype=bool)
-        for text, (piece, value) in vocabulary.texts.items():
-            node = 0
-            for byte in text:
-                if not step[node][byte]:
-                    step[node][byte] = len(step)
-                    step.append([0] * 256)
-                    number.append(-1)
-                    score.append(0.0)
-                node = step[node][byte]
-            number[node], score[node] = piece, value
-            for a, b in zip(text, text[1:], strict=False):
-                self.pairs[a, b] = True
-        self.step = np.array(step, dtype=np.int32)
-        self.number = np.array(number, dtype=np.int32)
-        self.score = np.array(score)
-        self.longest = max(map(len, vocabulary.texts), default=1)
+        for k in range(self.longest - 1):
+            on = size > k + 1
+            self.pairs[flat[on, k], flat[on, k + 1]] = True
         self.unknown = min((v for _, v in vocabulary.texts.values()), default=0.0) - UNKNOWN_PENALTY
         self.byte_ids = np.array(vocabulary.byte_ids, dtype=np.int32)
         spoken = [b""] * vocabulary.size
         for text, (piece, _) in vocabulary.texts.items():
             spoken[piece] = text
-        for byte, piece in enumerate(vocabulary.byte_ids):
-            spoken[piece] = bytes([byte])
+        for k, piece in enumerate(vocabulary.byte_ids):
+            spoken[piece] = bytes([k])
         self.spoken = np.frombuffer(b"".join(spoken), dtype=np.uint8)
         self.spoken_at = np.concatenate([[0], np.cumsum([len(s) for s in spoken])])
+        self._edges: dict[int, int] | None = None
+
+    def edges(self) -> dict[int, int]:
+        """The trie as one mapping of node * 256 + byte, for single steps; made when first asked for."""
+        if self._edges is not None:
+            return self._edges
+        row, byte = np.nonzero(self.step)
+        node = np.zeros(len(self.step), dtype=np.int64)
+        node[self.row] = np.arange(len(self.row))
+        keep = row > 0
+        self._edges = dict(zip((node[row[keep]] * 256 + byte[keep]).tolist(), self.step[row[keep], byte[keep]].tolist(), strict=True))
+        return self._edges
 
 
 class StreamCoder:
     """Viterbi over a stream of bytes. `feed` takes bytes and returns the ids committed so far, `finish` the
-    rest. Bytes must add up to whole characters."""
+    rest. Bytes must add up to whole characters.
+
+    Scores and bytes are kept for a window of the longest piece. Back-pointers form a tree whose root is the last
+    boundary committed. A position counts the pointers to it; one that the window has passed and that none points to
+    is let go, and so are those before it that nothing else needs. Where the root has one successor left, all surviving
+    paths go through that, and its ids are committed. Every position is added and let go once, so the time is
+    proportional to the stream. What is kept is the window and the surviving paths: where paths never meet, as in
+    a long run of one letter, a start and a piece for each of their positions.
+    """
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.t = vocabulary.tables
-        self.held = bytearray()  # bytes from the last committed boundary on
-        self.best = [0.0]  # best score of each position of held that was reached, else minus infinity
-        self.back = [(0, -1)]  # and the position it was reached from, with which piece
-        self.done = 0  # positions from which pieces were tried
+    def __init__(self, vocabulary: Vocabulary, edges: dict[int, int] | None = None):
+        t = vocabulary.tables
+        self.longest, self.unknown, self.byte_ids = max(t.longest, 4), t.unknown, t.byte_ids
+        self.edges = t.edges() if edges is None else edges
+        self.number, self.score = t.number, t.score
+        self.bytes, self.at = bytearray(), 0  # bytes from position `at` on; the next position to try pieces at
+        self.best: dict[int, float] = {0: 0.0}  # scores of the positions reached, from `at` on
+        self.root = self.origin = 0
+        # By position from origin: start of the last piece; its id, or the bytes of a bare character below zero; how many
+        # pointers come here; the exclusive or of the positions they come from.
+        self.start, self.piece, self.refs, self.heirs = array("q", [0]), array("q", [0]), array("h", [0]), array("q", [0])
 
     def feed(self, data: bytes) -> list[int]:
-        self.held += data
-        return self._advance(self.t.longest)
+        self.bytes += data
+        return self._advance(self.at + len(self.bytes) - self.longest)
 
     def finish(self) -> list[int]:
-        return self._advance(1) + self._commit(len(self.held))
-
-    def _advance(self, room: int) -> list[int]:
-        out = []
-        while self.done < len(self.held) and self.done + room <= len(self.held):
-            if self.done and len(self.best) == self.done + 1:  # no piece reaches beyond: all paths meet here
-                out += self._commit(self.done)
-            elif self.done and self.done % self.t.longest == 0:
-                out += self._commit(self._shared())
-            if self.best[self.done] > -np.inf:
-                self._try_pieces(self.done)
-            self.done += 1
+        """The ids that were left; the best path is the one to the end."""
+        end = self.at + len(self.bytes)
+        out = self._advance(end - 1)
+        path = []
+        while end > self.root:
+            path.append(self.piece[end - self.origin])
+            end = self.start[end - self.origin]
+        for piece in reversed(path):
+            out += self._ids(piece)
         return out
 
-    def _reach(self, position: int, score: float, start: int, piece: int) -> None:
-        while len(self.best) <= position:
-            self.best.append(-np.inf)
-            self.back.append((0, -1))
-        if score > self.best[position]:
-            self.best[position], self.back[position] = score, (start, piece)
+    def _ids(self, piece: int) -> list[int]:
+        if piece >= 0:
+            return [piece]
+        width, char = divmod(-piece, 1 << 32)
+        return [int(self.byte_ids[b]) for b in char.to_bytes(width, "big")]
+
+    def _advance(self, last: int) -> list[int]:
+        """Try pieces at all positions up to `last`."""
+        out, first = [], self.at
+        while self.at <= last:
+            score = self.best.pop(self.at, None)
+            if score is not None:
+                if self.at > self.root:  # no better path to here will come: it counts for where it comes from
+                    place = self.start[self.at - self.origin] - self.origin
+                    self.refs[place] += 1
+                    self.heirs[place] ^= self.at
+                self._try_pieces(score, self.at - first)
+            passed = self.at - self.longest
+            if passed > self.root:
+                self._let_go(passed, passed)
+            while self.root <= passed and self.refs[self.root - self.origin] == 1:
+                self.root = self.heirs[self.root - self.origin]
+                out += self._ids(self.piece[self.root - self.origin])
+            self.at += 1
+        del self.bytes[: self.at - first]
+        done = self.root - self.origin
+        if done > 4096 and 2 * done > len(self.start):
+            for kept in (self.start, self.piece, self.refs, self.heirs):
+                del kept[:done]
+            self.origin = self.root
+        return out
 
-    def _try_pieces(self, at: int) -> None:
-        t, node, end = self.t, 0, at
-        first = self.held[at]
+    def _let_go(self, position: int, oldest: int) -> None:
+        """A position without pointers to it, and those before it that only led here."""
+        while self.root < position <= oldest:
+            place = position - self.origin
+            if self.refs[place] or self.piece[place] == _NEVER:
+                return
+            before = self.start[place]
+            self.piece[place] = _NEVER
+            self.refs[before - self.origin] -= 1
+            self.heirs[before - self.origin] ^= position
+            position = before
+
+    def _reach(self, position: int, score: float, piece: int) -> None:
+        place = position - self.origin
+        while len(self.start) <= place:
+            for kept, value in ((self.start, 0), (self.piece, _NEVER), (self.refs, 0), (self.heirs, 0)):
+                kept.append(value)
+        known = self.best.get(position)
+        if known is None or score > known:
+            self.best[position], self.start[place], self.piece[place] = score, self.at, piece
+
+    def _try_pieces(self, score: float, offset: int) -> None:
+        data, node, end = self.bytes, 0, offset
+        if offset >= len(data):
+            return
+        first = data[offset]
         size = 1 if first < 0xC0 else 2 if first < 0xE0 else 3 if first < 0xF0 else 4
         covered = False
-        while end < len(self.held) and (node := int(t.step[node, self.held[end]])):
+        while end < len(data) and (node := self.edges.get(node * 256 + data[end], 0)):
             end += 1
-            if t.number[node] >= 0:
-                covered |= end - at == size
-                self._reach(end, self.best[at] + t.score[node], at, int(t.number[node]))
+            number = int(self.number[node])
+            if number >= 0:
+                covered |= end - offset == size
+                self._reach(self.at + end - offset, score + float(self.score[node]), number)
         if not covered:
-            self._reach(at + size, self.best[at] + t.unknown, at, -1)
-
-    def _shared(self) -> int:
-        """The last boundary through which the best paths to all positions still open go."""
-        common = None
-        for at in range(self.done, len(self.best)):
-            if self.best[at] > -np.inf:
-                path = {at}
-                while at > 0:
-                    at = self.back[at][0]
-                    path.add(at)
-                common = path if common is None else common & path
-        return min(max(common), self.done) if common else 0
-
-    def _commit(self, boundary: int) -> list[int]:
-        """Ids of the best path to a boundary that all surviving paths share; it and the bytes are let go."""
-        out, at = [], boundary
-        while at > 0:
-            start, piece = self.back[at]
-            out += [piece] if piece >= 0 else [int(self.t.byte_ids[b]) for b in reversed(self.held[start:at])]
-            at = start
-        if boundary:
-            del self.held[:boundary]
-            self.best = self.best[boundary:] or [0.0]
-            self.back = [(max(start - boundary, 0), piece) for start, piece in self.back[boundary:]] or [(0, -1)]
-            self.done -= boundary
-        return out[::-1]
-
-
-def stream_ids(vocabulary: Vocabulary, data: bytes, chunk: int = 4096) -> list[int]:
+            char = int.from_bytes(data[offset : offset + size], "big")
+            self._reach(self.at + size, score + self.unknown, -((size << 32) + char))
+
+
+def stream_ids(vocabulary: Vocabulary, data: bytes, chunk: int = 4096, edges: dict[int, int] | None = None) -> list[int]:
     """Ids of one stretch of bytes, a chunk at a time."""
-    coder, out = StreamCoder(vocabulary), []
+    coder, out = StreamCoder(vocabulary, edges), []
     for at in range(0, len(data), chunk):
         out += coder.feed(data[at : at + chunk])
     return out + coder.finish()
@@ -218,7 +275,7 @@ def _lanes(vocabulary: Vocabulary, data: np.ndarray, begin: np.ndarray, size: np
         at = starts[live]
         inside = rest[at] >= length
         live, node, at = live[inside], node[inside], at[inside]
-        node = t.step[node, flat[at + length - 1]]
+        node = t.step[t.row[node], flat[at + length - 1]].astype(np.int32)
         on = node > 0
         live, node, at = live[on], node[on], at[on]
         if not len(live):
@@ -288,10 +345,14 @@ def encode_block(vocabulary: Vocabulary, data: np.ndarray, offsets: np.ndarray)
         ids, counts[short] = _lanes(vocabulary, data, begin[short], size[short])
     starts = np.zeros(len(chosen), np.int64)
     starts[short] = np.cumsum(counts[short]) - counts[short]
-    for k in np.flatnonzero(size > LANE):
-        own = stream_ids(vocabulary, data[begin[k] : begin[k] + size[k]].tobytes())
-        starts[k], counts[k] = len(ids), len(own)
-        ids = np.concatenate([ids, np.array(own, np.int32)])
+    long, used = np.flatnonzero(size > LANE), len(ids)
+    edges = vocabulary.tables.edges() if len(long) else {}
+    parts = [ids]
+    for k in long:
+        parts.append(np.array(stream_ids(vocabulary, data[begin[k] : begin[k] + size[k]].tobytes(), edges=edges), np.int32))
+        starts[k], counts[k] = used, len(parts[-1])
+        used += len(parts[-1])
+    ids = np.concatenate(parts)
     totals = np.concatenate([[0], np.cumsum(counts[which])])
     return ids[_ragged(starts[which], counts[which])], totals[np.searchsorted(np.flatnonzero(cut), offsets)]
 
@@ -324,6 +385,12 @@ def _encode(batches: Iterator[pa.RecordBatch], shared: Broadcast, check: bool) -
             yield pa.RecordBatch.from_arrays(columns, ["id", "n_ids", "ids", "decoded_sha256"][: len(columns)])
 
 
+def _shared(df: DataFrame, vocabulary: Vocabulary) -> Broadcast:
+    """The vocabulary with its tables, made here once and by no executor."""
+    _ = vocabulary.tables
+    return df.sparkSession.sparkContext.broadcast(vocabulary)
+
+
 def encode(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text",
            check: bool = False) -> DataFrame:
     """One row per input row: id, n_ids, ids; with `check` also decoded_sha256, the hash of what the ids
@@ -334,7 +401,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_c
     broadcast variable; its size does not depend on the data.
     """
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = _shared(df, vocabulary)
     schema = f"id {docs.schema['id'].dataType.simpleString()}, n_ids bigint, ids array<int>"
     out = docs.mapInArrow(lambda it: _encode(it, shared, check), schema + (", decoded_sha256 string" if check else ""))
     return out.withColumnRenamed("id", id_col)
@@ -356,6 +423,6 @@ def decode(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", ids_co
     """(id, text) of every row. Null lists and null or unknown ids give nothing; bytes that are no valid text
     give replacement characters. A space at the beginning is the one that encoding added, and goes."""
     rows = df.select(F.col(id_col).alias("id"), F.col(ids_col).cast("array<int>").alias("ids"))
-    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = _shared(df, vocabulary)
     out = rows.mapInArrow(lambda it: _decode(it, shared), f"id {rows.schema['id'].dataType.simpleString()}, text string")
     return out.withColumnRenamed("id", id_col)

@@ -2,6 +2,7 @@
 
 import os
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -67,10 +68,11 @@ def test_small_vocabulary_against_brute_force():
 
 def test_stream_window_stays_bounded():
     vocabulary = small_vocabulary()
-    coder, longest = pieces.StreamCoder(vocabulary), vocabulary.tables.longest
-    for _ in range(500):
+    coder = pieces.StreamCoder(vocabulary)
+    for _ in range(4000):
         coder.feed(b"caabcaab")
-        assert len(coder.held) <= 8 + 6 * longest
+        assert len(coder.bytes) <= 8 + coder.longest and len(coder.best) <= coder.longest + 1
+        assert coder.at - coder.root <= 8 + 6 * coder.longest and len(coder.start) <= 2 * 4096 + 64
 
 
 @pytest.fixture(scope="module")
@@ -80,6 +82,24 @@ def vocabulary():
     return pieces.Vocabulary.load(piece_model())
 
 
+def test_long_runs_take_time_in_proportion(vocabulary):
+    seconds, t = [], vocabulary.tables
+    for n in (100_000, 400_000):
+        started = time.process_time()
+        ids = pieces.stream_ids(vocabulary, b" " + b"a" * n)
+        seconds.append(time.process_time() - started)
+        assert b"".join(t.spoken[t.spoken_at[i] : t.spoken_at[i + 1]].tobytes() for i in ids) == b" " + b"a" * n
+    assert seconds[1] < 8 * seconds[0]
+
+
+def test_streams_equal_brute_force(vocabulary):
+    rng = random.Random(5)
+    for letters in ("a", "ab", "xyz", "aeiou", "tionsére日"):
+        for _ in range(6):
+            text = "".join(rng.choice(letters) for _ in range(rng.randrange(1, 700)))
+            assert pieces.stream_ids(vocabulary, (" " + text).encode(), rng.choice([1 << 12, 64])) == brute(vocabulary, text)
+
+
 def test_public_vocabulary(vocabulary):
     short = [t[:200] for t in TEXTS]
     assert encoded(vocabulary, short) == [brute(vocabulary, t) for t in short]
