@@ -27,6 +27,8 @@ LENGTH_STEPS, LENGTH_LIMIT = 4, 32
 _STEP = np.array([0, 1, 2, 6])
 # Digests of unrelated counts are about this far apart: the mean of _STEP over all pairs, for each bucket.
 UNRELATED = BUCKETS * 15 / 8
+# Texts whose counts are in memory at once.
+BLOCK_ROWS = 1024
 # Ranges of ids for each task, so that hashing ranges to tasks stays even.
 RANGES_PER_TASK = 8
 
@@ -72,7 +74,7 @@ def likeness(one: np.ndarray, two: np.ndarray) -> np.ndarray:
 
 
 def _digests_of(texts: list[str]) -> np.ndarray:
-    rows = [digests(data, offsets) for *_, data, offsets in tb.blocks(pa.array(texts, pa.large_string()))]
+    rows = [digests(data, offsets) for *_, data, offsets in tb.blocks(pa.array(texts, pa.large_string()), rows=BLOCK_ROWS)]
     return np.concatenate(rows) if rows else np.zeros((0, BUCKETS + 1), np.uint8)
 
 
@@ -84,7 +86,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, end, data, offsets in tb.blocks(batch.column(1)):
+            for first, end, data, offsets in tb.blocks(batch.column(1), rows=BLOCK_ROWS):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, end - first), pa.array(as_text(digests(data, offsets)), pa.string())],
                     ["id", "fingerprint"])
@@ -144,9 +146,9 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str],
                 ids.append(last[1])
                 texts.append(last[2])
                 after.append(text)
-                size += len(text)
+                size += len(last[2]) + len(text)
             last = None if copy else (group, key, text)
-            if size > tb.BLOCK_BYTES:
+            if size > tb.BLOCK_BYTES or len(ids) >= BLOCK_ROWS:
                 yield ids, texts, after
                 ids, texts, after, size = [], [], [], 0
     if ids:

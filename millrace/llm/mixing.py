@@ -1,4 +1,4 @@
-"""Mixing to target weights with soft membership: domain posteriors, then rates by projected gradients.
+"""Mixing to target weights with soft membership: domain posteriors, then nonnegative rates by least squares.
 
 A classifier learnt from a labelled table says to which degree a document belongs to each domain. Every
 document gets a rate, how often it is to appear, such that the expected tokens of each domain meet their
@@ -69,14 +69,14 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domains: int, label_col: str
         return DomainModel(quality.TermSpace(np.ones(quality.TERMS), np.zeros((quality.TERMS, 1))),
                            np.zeros((1, domains)), np.zeros(domains))
     texts = pa.array([t for t, _ in sample], pa.large_string())
-    counts = np.concatenate([quality.term_counts(d, o).astype(np.float32) for *_, d, o in tb.blocks(texts)])
+    counts = np.concatenate([quality.term_counts(d, o).astype(np.float32) for *_, d, o in tb.blocks(texts, rows=quality.BLOCK_ROWS)])
     space = quality.TermSpace.fit(counts, df, total)
     return DomainModel(space, *_softmax_fit(space.vectors(counts), np.array([y for _, y in sample]), domains))
 
 
 def _described(model: DomainModel, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, tokens, posteriors) of blocks of texts; tokens are words."""
-    for first, end, data, offsets in tb.blocks(texts, 1 << 19):
+    for first, end, data, offsets in tb.blocks(texts, 1 << 19, quality.BLOCK_ROWS):
         tokens = np.diff(tb.words(data, offsets)[2])
         yield first, end, tokens, model.posteriors(quality.term_counts(data, offsets))
 
@@ -213,7 +213,7 @@ def lifted(df: DataFrame, model: DomainModel, weights: list[float], id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, end, data, offsets in tb.blocks(batch.column(at), 1 << 19):
+            for first, end, data, offsets in tb.blocks(batch.column(at), 1 << 19, quality.BLOCK_ROWS):
                 p = shared.value.posteriors(quality.term_counts(data, offsets))
                 rate = np.ones(len(p))
                 for push in pushes:

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from millrace.llm import textblocks as tb
 
 TERMS = 4096
+# Texts whose counts of all terms are in memory at once.
+BLOCK_ROWS = 128
 # Rows of labelled texts that are neighbours, in the order of a hash of their id.
 SAMPLE_ROWS = 3000
 DIMENSIONS = 64
@@ -58,7 +60,7 @@ def document_counts(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, rows = np.zeros(TERMS, dtype=np.int64), 0
         for batch in batches:
-            for first, end, data, offsets in tb.blocks(batch.column(0), 1 << 18):
+            for first, end, data, offsets in tb.blocks(batch.column(0), 1 << 18, BLOCK_ROWS):
                 seen += (term_counts(data, offsets) > 0).sum(axis=0)
                 rows += end - first
         yield pa.RecordBatch.from_arrays(
@@ -148,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not sample:
         return QualityModel(TermSpace(np.ones(TERMS), np.zeros((TERMS, 1))), np.zeros((0, 1), np.float32), y, 0.5)
     texts = pa.array([t for t, _ in sample], pa.large_string())
-    counts = np.concatenate([term_counts(data, offsets).astype(np.float32) for *_, data, offsets in tb.blocks(texts)])
+    counts = np.concatenate([term_counts(data, offsets).astype(np.float32) for *_, data, offsets in tb.blocks(texts, rows=BLOCK_ROWS)])
     space = TermSpace.fit(counts, df, total)
     return QualityModel(space, space.vectors(counts), y, float(y.mean()))
 
@@ -164,7 +166,7 @@ def score(df: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, end, data, offsets in tb.blocks(batch.column(1), 1 << 19):
+            for first, end, data, offsets in tb.blocks(batch.column(1), 1 << 19, BLOCK_ROWS):
                 scores = shared.value.vote(term_counts(data, offsets))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(scores)], ["id", "score"])
 

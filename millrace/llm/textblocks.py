@@ -13,8 +13,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 BLOCK_BYTES = 1 << 20
+BLOCK_ROWS = 1 << 14
 # Words longer than this are hashed one by one; all others together, eight bytes a step.
 LONG_WORD = 256
 
@@ -38,8 +40,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def blocks(texts: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of consecutive texts of about `limit` bytes; null counts as empty."""
+def blocks(texts: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES, rows: int = BLOCK_ROWS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) of at most `rows` consecutive texts of about `limit` bytes; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -51,6 +53,7 @@ def blocks(texts: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES) -> Itera
     first = 0
     while first < len(texts):
         end = max(first + 1, int(np.searchsorted(at, at[first] + limit, side="right")) - 1)
+        end = min(end, first + rows)
         yield first, end, raw[at[first] : at[end]], at[first : end + 1] - at[first]
         first = end
 
@@ -121,3 +124,11 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.nd
     begin, end, first = words(data, offsets)
     runs, at = shingle_hashes(word_hashes(data, begin, end), first, size)
     return [np.unique(runs[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to Python workers in batches of `rows`, unless the session already asks for fewer. Spark's own number
+    is meant for rows of a few numbers; of texts it makes batches of tens of megabytes, twice for every task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= rows:
+        spark.conf.set(name, str(rows))
