@@ -13,14 +13,16 @@ from millrace.llm import mixing, pieces, toxicity
 from millrace.llm.exact_dedup import without_copies
 from millrace.llm.near_dedup import without_near_copies
 from millrace.llm.queries import TOXIC, piece_model
+from millrace.llm.textblocks import small_batches
 from millrace.session import settle
 
 # Shares of the tokens of poor and good texts. Documents are repeated to get there, none is dropped.
-WEIGHTS = [0.12, 0.88]
+WEIGHTS = [0.1, 0.9]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the string-kernel machine holds for toxic go; labels teach it and decide nothing."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.without_toxic(docs, toxicity.fit(docs, labels), TOXIC)
 
@@ -32,17 +34,20 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: five words, a similarity of 0.8 or more."""
+    small_batches(spark)
     return without_near_copies(docs)
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated until poor and good texts have the target shares of the tokens."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", (F.col("quality") > 0).cast("int").alias("domain"))
     return mixing.lifted(docs, mixing.fit_domains(docs, labels, len(WEIGHTS)), WEIGHTS)
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, with the hash of what they decode to."""
+    small_batches(spark)
     return pieces.encode(docs, pieces.Vocabulary.load(piece_model()), check=True)
 
 
@@ -54,7 +59,7 @@ STAGES = [
     ("SentencePiece", to_pieces),
 ]
 
-# Classifiers, a gradient descent and piece ids: SQL states none of them. tests/llm holds the stages
+# Classifiers, a least-squares fit and piece ids: SQL states none of them. tests/llm holds the stages
 # against brute force.
 ORACLE_SQL = None
 
