@@ -29,3 +29,25 @@ def top_k(df: DataFrame, measure: str, k: int | None = None, ties: tuple[str, ..
 def latest_of(values):
     """Largest text of an array; no element gives NULL."""
     return F.array_max(values)
+
+
+def distinct_parts(df: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """Which whole numbers occur in each group, as one bitmap of 32,768 bits per group and range of numbers.
+
+    Unlike counts of distinct values, bitmaps of different rows add up: keep them per day and combine days with
+    `add_parts`. Building is partial before the shuffle, so a hot group sends one bitmap per task and range. NULL is
+    no value."""
+    known = df.where(F.col(value).isNotNull()).withColumn("bucket", F.bitmap_bucket_number(value))
+    return known.groupBy(*by, "bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bitmap"))
+
+
+def add_parts(parts: DataFrame, by: list[str]) -> DataFrame:
+    """Bitmaps of fewer columns, or of several tables in one, united."""
+    return parts.groupBy(*by, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+
+
+def distinct_counts(parts: DataFrame, by: list[str], name: str) -> DataFrame:
+    """Exact number of distinct values of each group, from bitmaps. Without groups there is one row."""
+    counts = add_parts(parts, by).select(*by, F.bitmap_count("bitmap").alias("n"))
+    total = F.coalesce(F.sum("n"), F.lit(0)).alias(name)
+    return counts.groupBy(*by).agg(total) if by else counts.agg(total)

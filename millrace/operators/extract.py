@@ -60,6 +60,42 @@ def elements(html: Column, tag: str) -> Column:
     return F.regexp_extract_all(html, F.lit(rf"(?s)<{tag}\b[^>]*>(.*?)</{tag}>"), F.lit(1))
 
 
+def nested_elements(html: Column, tag: str) -> Column:
+    """Inner markup of every outermost element of that tag, in document order, with the elements of the same tag that it
+    holds: an element ends at the end tag that balances its start tag.
+
+    The markup is cut before every start and end tag of that name, and one pass over the pieces keeps the depth. An end
+    tag without a start is ignored, an element that is never closed goes on to the end, and a start tag that
+    closes itself is an empty element. NULL markup gives NULL.
+    """
+    start, stop = rf"(?i)^<{tag}(?=[\s/>])[^>]*>", rf"(?i)^</{tag}\s*>"
+    pieces = F.split(html, rf"(?i)(?=</?{tag}(?=[\s/>])[^>]*>)")
+    nothing = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("held"), F.array().cast("array<string>").alias("out"))
+
+    def step(s: Column, x: Column) -> Column:
+        opens, closes = x.rlike(start), x.rlike(stop)
+        alone = opens & x.rlike(rf"(?i)^<{tag}[^>]*/>")
+        inside, last = s["depth"] > 0, closes & (s["depth"] == 1)
+        first = opens & ~inside
+        none = F.array().cast("array<string>")
+        depth = F.when(opens & ~alone, s["depth"] + 1).when(closes & inside, s["depth"] - 1).otherwise(s["depth"])
+        held = F.when(last | (first & alone), none).when(first, F.array(F.regexp_replace(x, start, ""))).when(
+            inside, F.concat(s["held"], F.array(x))).otherwise(none)
+        out = F.when(last, F.concat(s["out"], F.array(F.array_join(s["held"], "")))).when(
+            first & alone, F.concat(s["out"], F.array(F.lit("")))).otherwise(s["out"])
+        return F.struct(depth.alias("depth"), held.alias("held"), out.alias("out"))
+
+    def finish(s: Column) -> Column:
+        return F.when(s["depth"] > 0, F.concat(s["out"], F.array(F.array_join(s["held"], "")))).otherwise(s["out"])
+
+    return F.aggregate(pieces, nothing, step, finish)
+
+
+def nested_element(html: Column, tag: str) -> Column:
+    """Inner markup of the first outermost element of that tag; NULL when there is none."""
+    return F.get(nested_elements(html, tag), F.lit(0))
+
+
 def plain(markup: Column) -> Column:
     """Markup without tags."""
     return F.regexp_replace(markup, "<[^>]*>", "")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -39,6 +41,43 @@ def read_partitions(spark: SparkSession, folder: str, schema: StructType | str)
     return spark.read.schema(schema).parquet(folder)
 
 
+def covering_folders(start: datetime, end: datetime) -> list[str]:
+    """Fewest year/month/day/hour folders that hold exactly the hours from `start` up to, not including, `end`; both are
+    taken down to the hour."""
+    at, end = (t.replace(minute=0, second=0, microsecond=0, tzinfo=None) for t in (start, end))
+    parts = ("year={0:%Y}", "month={0:%m}", "day={0:%d}", "hour={0:%H}")
+    folders = []
+    while at < end:
+        year = at.replace(year=at.year + 1, month=1, day=1, hour=0)
+        month = at.replace(year=at.year + at.month // 12, month=at.month % 12 + 1, day=1, hour=0)
+        day, hour = at.replace(hour=0) + timedelta(days=1), at + timedelta(hours=1)
+        begins = ((at.month, at.day, at.hour) == (1, 1, 0), (at.day, at.hour) == (1, 0), at.hour == 0, True)
+        depth, after = next((k, t) for k, (t, whole) in enumerate(zip((year, month, day, hour), begins, strict=True)) if whole and t <= end)
+        folders.append("/".join(parts[: depth + 1]).format(at))
+        at = after
+    return folders
+
+
+def read_declared(spark: SparkSession, folder: str, schema: StructType | str, start: datetime, end: datetime,
+                  declared: tuple[datetime, datetime] | None = None, file_format: str = "parquet") -> DataFrame:
+    """Rows of the hours from `start` to before `end` of a folder laid out by year, month, day and hour.
+
+    The folders to read are computed from the range, cut to the `declared` one, so the root is never listed, however
+    many hours it has; a computed folder that does not exist is left out. Types come from the schema, which also
+    names the partition columns. Without any folder the result is empty.
+    """
+    if declared:
+        start, end = max(start, declared[0]), min(end, declared[1])
+    configuration, paths = spark._jsc.hadoopConfiguration(), []
+    for name in covering_folders(start, end):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        if path.getFileSystem(configuration).exists(path):
+            paths.append(f"{folder}/{name}")
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", folder).format(file_format).load(paths)
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """CSV with a header; types are inferred when no schema is declared."""
     reader = spark.read.option("header", True)

@@ -128,3 +128,21 @@ def hourly_counts(spark: SparkSession, folder: str, delay: str | None = "1 hour"
         return totals
     closed = parts.agg(F.max("latest").alias("latest")).select((F.col("latest") - F.expr(f"INTERVAL {delay}")).alias("t"))
     return totals.filter(F.col("hour") + F.expr("INTERVAL 1 HOUR") <= closed.scalar())
+
+
+def windowed_counts(stream: DataFrame, event_time: str, width: str = "1 hour", delay: str = "1 hour") -> DataFrame:
+    """(window_start, total_streams) per window of event time, kept in the state store until the watermark closes it.
+
+    event_time is a timestamp. A window is emitted once, when the latest event seen is `delay` past its end; rows that come
+    after that are dropped and counted by the query's progress. State holds the open windows only, whatever the
+    length of the stream. Rows without an event time count nowhere.
+    """
+    counts = stream.withWatermark(event_time, delay).groupBy(F.window(event_time, width).alias("w")).agg(
+        F.count("*").alias("total_streams"))
+    return counts.select(F.col("w.start").alias("window_start"), "total_streams")
+
+
+def land_windows(counts: DataFrame, folder: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Closed windows as Parquet, each written once: the file sink's log and the state of the checkpoint go together."""
+    writer = counts.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
+    return trigger(writer, every).start(folder)

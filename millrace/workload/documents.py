@@ -136,6 +136,19 @@ def page_sections(spark, sf_dir):
     return postings.drop("url", "html").toDF(*[names[c] for c in postings.columns if c not in ("url", "html")])
 
 
+def page_nested_sections(spark, sf_dir):
+    """Sections of one tag inside each other: links as cards, two deep, in an outer section of pages with scripts, unclosed
+    paragraphs and other noise; the outer section, its cards and the text of the cards."""
+    html = F.col("html")
+    card = lambda x, i: F.concat(F.lit('<Section class="card"><section>'), x, F.lit("</section>"), i.cast("string"), F.lit("</section >"))
+    cards = F.array_join(F.transform(extract.elements(html, "a"), card), "\n")
+    wrapped = F.concat(F.lit('</section><section\nid="outer">'), cards, F.lit("</section><sections>"), html, F.lit("<section/><section>open"))
+    found = table(spark, sf_dir, "pages").select("page_id", extract.nested_elements(wrapped, "section").alias("all"))
+    inner = F.transform(extract.nested_elements(F.col("all")[0], "section"), lambda x: extract.nested_element(x, "section"))
+    return found.select("page_id", F.col("all")[0].alias("outer_section"), F.size("all").cast("bigint").alias("n_sections"),
+                        inner.alias("cards"), F.element_at("all", -1).alias("last_section"))
+
+
 def page_output(spark, sf_dir):
     """Page records in one folder per language, read back with their folder value."""
     pages = table(spark, sf_dir, "pages").select(
@@ -211,7 +224,7 @@ def sanctions_union(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     local_time_shift, title_case, path_parts, record_text, extract_coordinates, extract_address, extract_slug,
-    first_integer, store_rows, store_cards, store_regions, store_marked, store_paths, page_sections, page_output, sanctions_individuals, sanctions_entities, sanctions_union,
+    first_integer, store_rows, store_cards, store_regions, store_marked, store_paths, page_sections, page_nested_sections, page_output, sanctions_individuals, sanctions_entities, sanctions_union,
 )}
 
 _LINKS = r"regexp_extract_all(html, '(?s)<a\b[^>]*>(.*?)</a>', 1)"
@@ -283,6 +296,9 @@ ORACLES = {
         array_to_string([regexp_replace(x, '<[^>]*>', '', 'g') FOR x IN {_elements("li")}], ', ') AS benefits,
         '' AS location, '' AS work_location, '' AS salary, {_element("table")} AS experience,
         '' AS application_deadline, '' AS "domain", '' AS company_size FROM pages""",
+    "page_nested_sections": rf"""SELECT page_id, array_to_string([
+            '<Section class="card"><section>' || x || '</section>' || (i - 1) || '</section >' FOR x, i IN {_LINKS}], chr(10)) AS outer_section,
+        CAST(3 AS BIGINT) AS n_sections, {_LINKS} AS cards, 'open' AS last_section FROM pages""",
     "page_output": """SELECT page_id, url, regexp_extract(html, 'lang="([a-z]*)"', 1) AS page FROM pages""",
     "sanctions_individuals": f"""SELECT * EXCLUDE (k) FROM (SELECT {_PERSON}, '1' AS "VERSIONNUM",
         c_mktsegment AS "SECOND_NAME", CASE WHEN c_nationkey % 2 = 0 THEN 'Third' END AS "THIRD_NAME",

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.aggregates import top_k
+from ..functions.times import date_text, from_epoch
+from ..operators.aggregates import distinct_counts, distinct_parts, top_k
 from ..operators.cleaning import clean_auth, clean_listen, clean_page_view
 from ..plans import marts
+from ..session import settle
 from .tables import feed, feed_sql
 
 
@@ -26,7 +29,31 @@ def _all(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFr
     return listen(spark, sf_dir), auth(spark, sf_dir), page_view(spark, sf_dir)
 
 
+def _kept(rows: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Bitmaps of users per day and group: those stored for all days but the last, and those with the last day, of which
+    alone events are read again."""
+    rows = rows.withColumn("day", date_text(from_epoch("ts")))
+    last = rows.agg(F.max("day")).first()[0]
+    stored = settle(distinct_parts(rows.filter(F.col("day") < last), "userId", ["day", *by]), "bitmaps")
+    return stored, stored.unionByName(distinct_parts(rows.filter(F.col("day") == last), "userId", ["day", *by]))
+
+
+def unique_users_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listeners up to the day before the last, and with it, from bitmaps that are kept per day."""
+    stored, parts = _kept(listen(spark, sf_dir), [])
+    before = distinct_counts(stored, [], "users_before").scalar()
+    return distinct_counts(parts, [], "total_unique_users").withColumn("users_before", before)
+
+
+def user_levels_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users by gender and level, from bitmaps that are kept per day."""
+    known = auth(spark, sf_dir).filter(F.col("gender").isNotNull() & F.col("level").isNotNull())
+    return distinct_counts(_kept(known, ["gender", "level"])[1], ["gender", "level"], "user_count")
+
+
 QUERIES = {
+    "unique_users_kept": unique_users_kept,
+    "user_levels_kept": user_levels_kept,
     "src_listen_events": listen,
     "src_auth_events": auth,
     "src_page_view_events": page_view,
@@ -58,7 +85,14 @@ _LEVELS = """SELECT gender, level, COUNT(DISTINCT CAST(FLOOR(CAST(NULLIF(userId,
 _SONGS = "SELECT artist, song, COUNT(*) AS play_count FROM raw_listen GROUP BY artist, song"
 _ALL = feed_sql("raw_listen", "raw_auth", "raw_page_view")
 
+_USER = "CAST(ROUND(CAST(NULLIF(userId, '') AS DOUBLE)) AS INTEGER)"
+
 ORACLES = {
+    "unique_users_kept": f"""{feed_sql("raw_listen")}, days AS (
+        SELECT {_USER} AS u, CAST(make_timestamp(ts * 1000000) AS DATE) AS day FROM raw_listen)
+        SELECT COUNT(DISTINCT u) AS total_unique_users,
+        COUNT(DISTINCT u) FILTER (day < (SELECT max(day) FROM days)) AS users_before FROM days""",
+    "user_levels_kept": f"{feed_sql('raw_auth')} {_LEVELS}",
     "src_listen_events": f"""{feed_sql("raw_listen")}
         SELECT _id AS id, artist, song, {_DOUBLE.format("duration")}, ts, sessionId AS sessionid, auth, level,
         CAST(NULLIF(itemInSession, '') AS INTEGER) AS itemInSession, city, zip, state, country, userAgent, {_LON_LAT},

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.times import date_text, from_epoch, hour_text, to_epoch
 from ..session import new_folder
 from ..streaming import landing, records
 from ..streaming.sources import MAX_AGE_SECONDS, read_arrivals
@@ -79,6 +80,23 @@ def stream_hourly(spark, sf_dir):
         "total_streams")
 
 
+def stream_hourly_windows(spark, sf_dir):
+    """Hourly counts kept as state: three deliveries, each in time order by itself. The last one comes when the first
+    has closed all but its latest hours, so its rows of those hours are late and dropped."""
+    folder = new_folder(spark, "windows")
+    plays = spark.read.schema(_EVENTS).parquet(f"{sf_dir}/events.parquet").filter(F.col("event_type").isin("view", "click"))
+    plays = plays.select("event_id", F.timestamp_seconds(to_epoch("ts")).alias("at"))
+    query = None
+    for k, part in enumerate(("event_id % 10 < 8", "event_id % 10 = 8", "event_id % 10 = 9")):
+        plays.filter(part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        query = landing.land_windows(landing.windowed_counts(
+            read_arrivals(spark, f"{folder}/in", "event_id bigint, at timestamp", "parquet", 1), "at"), f"{folder}/data", f"{folder}/state")
+        query.awaitTermination()
+    hour = from_epoch("unix_timestamp(window_start)")
+    found = spark.read.schema("window_start timestamp, total_streams bigint").parquet(f"{folder}/data")
+    return found.select(date_text(hour).alias("stream_date"), hour_text(hour).alias("stream_hour"), "total_streams")
+
+
 _TOPICS = {"auth": ["signup"], "listen": ["view", "click"], "page_view": ["purchase"]}
 
 
@@ -121,7 +139,7 @@ def stream_batch_counts(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    stream_landing, stream_dead_letter, stream_hourly, stream_fanout, stream_forward, stream_batch_counts)}
+    stream_landing, stream_dead_letter, stream_hourly, stream_hourly_windows, stream_fanout, stream_forward, stream_batch_counts)}
 
 _ARRIVED = """WITH arrived AS (SELECT *, date_trunc('day', date_trunc('second', ts)
         + to_seconds(CAST(floor(value) AS BIGINT))) + INTERVAL 29 HOUR AS arrival,
@@ -139,6 +157,12 @@ ORACLES = {
         hours AS (SELECT date_trunc('hour', ts) AS hour, COUNT(*) AS total_streams FROM plays GROUP BY 1)
         SELECT strftime(hour, '%Y-%m-%d') AS stream_date, strftime(hour, '%H') AS stream_hour, total_streams
         FROM hours WHERE hour + INTERVAL 1 HOUR <= (SELECT max(ts) FROM plays) - INTERVAL 1 HOUR""",
+    "stream_hourly_windows": """WITH plays AS (SELECT event_id, ts, date_trunc('hour', ts) AS hour FROM events WHERE event_type IN ('view', 'click')),
+        closed AS (SELECT max(ts) FILTER (event_id % 10 < 8) - INTERVAL 1 HOUR AS first,
+            max(ts) FILTER (event_id % 10 < 9) - INTERVAL 1 HOUR AS second, max(ts) - INTERVAL 1 HOUR AS last FROM plays)
+        SELECT strftime(hour, '%Y-%m-%d') AS stream_date, strftime(hour, '%H') AS stream_hour, COUNT(*) AS total_streams
+        FROM plays, closed WHERE hour + INTERVAL 1 HOUR <= last AND hour + INTERVAL 1 HOUR > CASE event_id % 10
+            WHEN 8 THEN first WHEN 9 THEN second ELSE TIMESTAMP '1900-01-01' END GROUP BY hour""",
     "stream_fanout": """SELECT event_id, user_id, props, CASE event_type WHEN 'signup' THEN 'auth'
         WHEN 'purchase' THEN 'page_view' WHEN 'view' THEN 'listen' WHEN 'click' THEN 'listen' END AS topic FROM events""",
     "stream_forward": """SELECT CAST(event_id AS VARCHAR) AS key, CAST(event_id AS VARCHAR) AS id, event_type, props

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +12,8 @@ from ..plans import trips
 from ..schemas import TRIP_WAREHOUSE
 from ..session import new_folder
 from ..sinks.files import write_by_time, write_split, write_stage
-from ..sources.files import read_directory, read_merged, read_partitions, read_split, rows_per_file
+from ..sources.catalog import discover
+from ..sources.files import read_declared, read_directory, read_merged, read_partitions, read_split, rows_per_file
 from .tables import table
 
 _COMMON = {
@@ -93,6 +96,31 @@ def partitioned_scan(spark, sf_dir):
     return read_partitions(spark, folder, schema).filter((F.col("day") <= "20") & (F.col("hour") >= "06"))
 
 
+def schema_discovered(spark, sf_dir):
+    """Three deliveries whose types clash, found in two runs and registered as one table."""
+    lines, folder = table(spark, sf_dir, "lineitem"), new_folder(spark, "discovered")
+    name = "discovered_" + folder.rpartition("-")[2]
+    keys = ["l_orderkey", "l_linenumber"]
+    first = lines.filter("l_linenumber = 1").selectExpr(*keys, "CAST(l_quantity AS INT) AS l_quantity", "CAST(l_partkey AS INT) AS l_partkey", "l_shipdate")
+    second = lines.filter("l_linenumber = 2").selectExpr(*keys, "CAST(l_quantity AS DOUBLE) AS L_Quantity", "CAST(l_partkey AS BIGINT) AS l_partkey", "l_tax")
+    third = lines.filter("l_linenumber > 2").selectExpr(*keys, "CAST(l_quantity AS FLOAT) AS l_quantity", "'P-' || l_partkey AS l_partkey")
+    for k, delivery in enumerate((first, second, third)):
+        write_stage(delivery, f"{folder}/delivery={k}")
+        if k:
+            discover(spark, name, folder)
+    return spark.table(name)
+
+
+def declared_partitions(spark, sf_dir):
+    """Two days and a half of hourly folders by computed paths; the range begins before the first hour that exists."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    folder = new_folder(spark, "declared")
+    write_by_time(events, folder, F.col("ts"), "hourly", "parquet")
+    schema = "event_id bigint, event_type string, ts timestamp_ntz, year string, month string, day string, hour string"
+    return read_declared(spark, folder, schema, datetime(2023, 12, 30, 21), datetime(2024, 1, 3, 14),
+                         (datetime(2023, 1, 1), datetime(2025, 1, 1))).drop("ts")
+
+
 _HOLES = """CASE WHEN l_quantity = 13 THEN NULL ELSE l_partkey END"""
 
 
@@ -143,7 +171,7 @@ def sample_per_file(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    trip_batch, trip_rows_per_file, named_file_scan, schema_merge_scan, partitioned_scan, drop_null_rows,
+    trip_batch, trip_rows_per_file, named_file_scan, schema_merge_scan, schema_discovered, partitioned_scan, declared_partitions, drop_null_rows,
     drop_null_columns, normalize_columns, align_to_schema, size_guard, sample_per_file,
 )}
 
@@ -169,6 +197,12 @@ ORACLES = {
     "partitioned_scan": """SELECT event_id, user_id, event_type, strftime(ts, '%Y') AS year,
         strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, lpad(CAST(hour(ts) // 6 * 6 AS VARCHAR), 2, '0') AS hour
         FROM events WHERE strftime(ts, '%d') <= '20' AND hour(ts) >= 6""",
+    "schema_discovered": """SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS l_quantity,
+        CASE WHEN l_linenumber > 2 THEN 'P-' ELSE '' END || l_partkey AS l_partkey,
+        CASE WHEN l_linenumber = 1 THEN l_shipdate END AS l_shipdate, CASE WHEN l_linenumber = 2 THEN l_tax END AS l_tax FROM lineitem""",
+    "declared_partitions": """SELECT event_id, event_type, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
+        strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour FROM events
+        WHERE ts >= TIMESTAMP '2023-12-30 21:00:00' AND ts < TIMESTAMP '2024-01-03 14:00:00'""",
     "drop_null_rows": "SELECT * FROM lineitem WHERE l_quantity <> 13 AND l_linenumber <> 3",
     "drop_null_columns": "SELECT * EXCLUDE (l_partkey, l_tax) FROM lineitem",
     "normalize_columns": """SELECT p_partkey AS "P_PARTKEY", p_name AS "PART_NAME", p_brand AS "P_BRAND",
