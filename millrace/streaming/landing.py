@@ -94,6 +94,28 @@ def fan_out(stream: DataFrame, topic: str, routes: dict[str, BatchWriter], rest:
     return write_batches(stream, checkpoint, write, every)
 
 
+def all_or_nothing(write: BatchWriter, reject: BatchWriter, bad: Column) -> BatchWriter:
+    """A batch with a bad record goes to `reject` as a whole, every other one to `write`.
+
+    The decision depends on the batch's records alone, so a batch that is repeated goes the same way and replaces what an
+    attempt before it left. The batch is kept while it is looked at and written, so it is read once; a null condition is not bad."""
+    def decide(batch: DataFrame, label: str) -> None:
+        batch.persist()
+        try:
+            sink = write if batch.filter(bad).isEmpty() else reject
+            sink(batch, label)
+        finally:
+            batch.unpersist()
+    return decide
+
+
+def land_bounded(df: DataFrame, folder: str, records: int) -> str:
+    """Records as files of at most `records` each, appended to a landing folder. A stream that admits one file a batch then
+    never has more records in a batch than that, however they arrive."""
+    df.write.mode("append").option("maxRecordsPerFile", records).parquet(folder)
+    return folder
+
+
 def counted(write: BatchWriter, folder: str) -> BatchWriter:
     """Also keep the number of records of each batch, as they pass, in a file of its own."""
     def write_and_count(batch: DataFrame, label: str) -> None:

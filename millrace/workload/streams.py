@@ -19,6 +19,8 @@ _RECORD = T.StructType([
 
 # Files per micro-batch: bounds what one batch shuffles, however long the backlog.
 _FILES = 1000
+# Records per micro-batch of the bounded stream.
+_BATCH_RECORDS = 2500
 
 
 def _events(spark, sf_dir, files_per_batch: int | None = _FILES):
@@ -97,6 +99,32 @@ def stream_hourly_windows(spark, sf_dir):
     return found.select(date_text(hour).alias("stream_date"), hour_text(hour).alias("stream_hour"), "total_streams")
 
 
+def stream_batch_failures(spark, sf_dir):
+    """Four deliveries, a batch each; an error of an odd event is a bad record and fails its whole batch."""
+    folder = new_folder(spark, "batches")
+    events = spark.read.schema(_EVENTS).parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type")
+    for k in range(4):
+        events.filter(F.col("event_id") % 4 == k).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    schema = "event_id bigint, event_type string"
+    stream = read_arrivals(spark, f"{folder}/in", schema, "parquet", 1)
+    bad = (F.col("event_type") == "error") & (F.col("event_id") % 2 == 1)
+    write = landing.all_or_nothing(landing.to_folder(f"{folder}/out/result=ok"), landing.to_folder(f"{folder}/out/result=failed"), bad)
+    landing.write_batches(stream, f"{folder}/state", write).awaitTermination()
+    found = spark.read.schema(f"{schema}, result string, batch_id string").parquet(f"{folder}/out")
+    return found.select("event_id", "result")
+
+
+def stream_bounded_batches(spark, sf_dir):
+    """Batches bounded by records: how many had more than the bound, and the records of all."""
+    folder = new_folder(spark, "bounded")
+    events = spark.read.schema(_EVENTS).parquet(f"{sf_dir}/events.parquet").select("event_id")
+    stream = read_arrivals(spark, landing.land_bounded(events, f"{folder}/in", _BATCH_RECORDS), "event_id bigint", "parquet", 1)
+    write = landing.counted(landing.to_folder(f"{folder}/out"), f"{folder}/counts")
+    landing.write_batches(stream, f"{folder}/state", write).awaitTermination()
+    counts = landing.batch_counts(spark, f"{folder}/counts")
+    return counts.agg(F.count_if(F.col("records") > _BATCH_RECORDS).alias("over_bound"), F.sum("records").alias("records"))
+
+
 _TOPICS = {"auth": ["signup"], "listen": ["view", "click"], "page_view": ["purchase"]}
 
 
@@ -139,7 +167,8 @@ def stream_batch_counts(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    stream_landing, stream_dead_letter, stream_hourly, stream_hourly_windows, stream_fanout, stream_forward, stream_batch_counts)}
+    stream_landing, stream_dead_letter, stream_hourly, stream_hourly_windows, stream_batch_failures, stream_bounded_batches,
+    stream_fanout, stream_forward, stream_batch_counts)}
 
 _ARRIVED = """WITH arrived AS (SELECT *, date_trunc('day', date_trunc('second', ts)
         + to_seconds(CAST(floor(value) AS BIGINT))) + INTERVAL 29 HOUR AS arrival,
@@ -163,6 +192,9 @@ ORACLES = {
         SELECT strftime(hour, '%Y-%m-%d') AS stream_date, strftime(hour, '%H') AS stream_hour, COUNT(*) AS total_streams
         FROM plays, closed WHERE hour + INTERVAL 1 HOUR <= last AND hour + INTERVAL 1 HOUR > CASE event_id % 10
             WHEN 8 THEN first WHEN 9 THEN second ELSE TIMESTAMP '1900-01-01' END GROUP BY hour""",
+    "stream_batch_failures": """SELECT event_id, CASE WHEN bool_or(event_type = 'error' AND event_id % 2 = 1) OVER (PARTITION BY event_id % 4)
+        THEN 'failed' ELSE 'ok' END AS result FROM events""",
+    "stream_bounded_batches": "SELECT CAST(0 AS BIGINT) AS over_bound, COUNT(*) AS records FROM events",
     "stream_fanout": """SELECT event_id, user_id, props, CASE event_type WHEN 'signup' THEN 'auth'
         WHEN 'purchase' THEN 'page_view' WHEN 'view' THEN 'listen' WHEN 'click' THEN 'listen' END AS topic FROM events""",
     "stream_forward": """SELECT CAST(event_id AS VARCHAR) AS key, CAST(event_id AS VARCHAR) AS id, event_type, props

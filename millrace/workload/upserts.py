@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import moment
-from ..operators import incremental, quality, upsert
+from ..operators import incremental, quality, stored, upsert
 from ..session import new_folder, settle
 from .tables import table
 
 AT = datetime(2024, 5, 1, 12, 0, 0)
 EARLIER = datetime(2020, 1, 1)
+# Keys of a range of the stored orders.
+_RANGE = 5000
 AT_SQL = "TIMESTAMP '2024-05-01 12:00:00'"
 EARLIER_SQL = "TIMESTAMP '2020-01-01 00:00:00'"
 
@@ -111,6 +113,16 @@ def merge_committed(spark, sf_dir):
     return spark.read.schema(kept.schema).parquet(f"{folder}/2")
 
 
+def merge_stored_ranges(spark, sf_dir):
+    """A merge in place: orders of every third range of keys arrive, and only these ranges are written again."""
+    folder, width = new_folder(spark, "ranges"), _RANGE
+    target = _target(spark, sf_dir, ("LAST_UPDATED_DT",))
+    stored.store(target, folder, "o_orderkey", width)
+    arrived = _staging(spark, sf_dir).filter(f"o_orderkey div {width} % 3 = 0")
+    stored.merge_stored(spark, folder, target.schema, arrived, ["o_orderkey"], width, "last_updated", AT)
+    return stored.read_stored(spark, folder, target.schema).drop(stored.PART)
+
+
 def insert_if_absent(spark, sf_dir):
     target = _target(spark, sf_dir, ("created_at", "updated_at"))
     return upsert.insert_if_absent(target, _staging(spark, sf_dir), ["o_orderkey"], at=AT)
@@ -168,7 +180,7 @@ def dq_suite(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     incremental_new_rows, incremental_include_ties, incremental_append, incremental_merge, upsert_changes,
-    upsert_applied, merge_audited, merge_last_updated, merge_plain, merge_latest, merge_committed, insert_if_absent, apply_flagged,
+    upsert_applied, merge_audited, merge_last_updated, merge_plain, merge_latest, merge_committed, merge_stored_ranges, insert_if_absent, apply_flagged,
     tracking_cycle, dq_not_null, dq_unique, dq_accepted_values, dq_suite,
 )}
 
@@ -205,6 +217,8 @@ ORACLES = {
     "merge_last_updated": f"""{_SIDES} SELECT s.*, {AT_SQL} AS "LAST_UPDATED_DT" FROM staging s""",
     "merge_plain": f"{_SIDES} SELECT * FROM staging",
     "merge_committed": f"""{_SIDES} SELECT s.*, {AT_SQL} AS "LAST_UPDATED_DT" FROM staging s""",
+    "merge_stored_ranges": f"""{_SIDES} SELECT s.*, {AT_SQL} AS "LAST_UPDATED_DT" FROM staging s WHERE o_orderkey // {_RANGE} % 3 = 0
+        UNION ALL SELECT t.*, {EARLIER_SQL} FROM target t WHERE o_orderkey // {_RANGE} % 3 <> 0""",
     "merge_latest": """WITH latest AS (SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER
             (PARTITION BY o_custkey ORDER BY CASE WHEN o_custkey % 7 <> 0 THEN date_trunc('month', o_orderdate) END
             DESC NULLS LAST, o_orderkey DESC) AS n FROM orders)

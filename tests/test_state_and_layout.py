@@ -158,3 +158,58 @@ def test_bitmaps_add_up(spark):
         expected = sorted(tuple(r) for r in df.groupBy(*by).agg(F.count_distinct("u")).collect())
         assert sorted(tuple(r) for r in distinct_counts(parts, by, "n").collect()) == expected
     assert distinct_counts(distinct_parts(df.limit(0), "u", []), [], "n").first()["n"] == 0
+
+
+def test_merges_rewrite_touched_ranges_only(spark, tmp_path):
+    import os
+
+    from millrace.operators import stored
+    from millrace.operators.upsert import merge
+
+    folder, schema = str(tmp_path), "k bigint, v string, created_at timestamp_ntz, updated_at timestamp_ntz"
+    old = [(k, "old", datetime(2020, 1, 1), datetime(2020, 1, 1)) for k in range(0, 50, 2)] + [(None, "old", None, None)]
+    target = spark.createDataFrame(old, schema)
+    stored.store(target, folder, "k", 10)
+    files_of = lambda: {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(folder)
+                        for f in names if f.endswith(".parquet")}
+    before = files_of()
+    source = spark.createDataFrame([(12, "new"), (13, "new"), (71, "new")], "k bigint, v string")
+    at = datetime(2024, 5, 1)
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    want = rows(merge(target, source, ["k"], "created_updated", at))
+    for _ in range(2):  # a repeated merge gives the same rows
+        assert stored.merge_stored(spark, folder, target.schema, source, ["k"], 10, "created_updated", at) == [1, 7]
+        found = rows(stored.read_stored(spark, folder, target.schema).drop(stored.PART))
+        assert [r[:2] for r in found] == [r[:2] for r in want] and {r for r in found if r[0] not in (13, 71)} == {r for r in want if r[0] not in (13, 71)}
+    after = files_of()
+    assert all(after.get(f) == t for f, t in before.items() if "key_range=1/" not in f)
+    assert not [f for f in before if "key_range=1/" in f and f in after]
+    assert stored.merge_stored(spark, folder, target.schema, source.limit(0), ["k"], 10) == [] and files_of() == after
+    nulls = spark.createDataFrame([(None, "more")], "k bigint, v string")
+    assert stored.merge_stored(spark, folder, target.schema, nulls, ["k"], 10) == [None]
+    assert stored.read_stored(spark, folder, target.schema).where("k IS NULL").count() == 2
+
+
+def test_a_bad_record_fails_its_batch(spark, tmp_path):
+    from millrace.streaming.sources import read_arrivals
+
+    for part in ([(1, "ok"), (2, "bad"), (3, None)], [(4, "ok"), (5, None)]):
+        spark.createDataFrame(part, "id int, kind string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = read_arrivals(spark, f"{tmp_path}/in", "id int, kind string", "parquet", 1)
+    write = landing.all_or_nothing(landing.to_folder(f"{tmp_path}/ok"), landing.to_folder(f"{tmp_path}/bad"), F.col("kind") == "bad")
+    landing.write_batches(stream, f"{tmp_path}/state", write).awaitTermination()
+    ids = lambda name: sorted(r["id"] for r in spark.read.parquet(f"{tmp_path}/{name}").collect())
+    assert (ids("bad"), ids("ok")) == ([1, 2, 3], [4, 5])
+    write(spark.read.parquet(f"{tmp_path}/in").where("id < 4"), "again")  # a repeated batch replaces itself
+    write(spark.read.parquet(f"{tmp_path}/in").where("id < 4"), "again")
+    assert ids("bad") == [1, 1, 2, 2, 3, 3] and ids("ok") == [4, 5]
+
+
+def test_no_batch_has_more_records_than_the_bound(spark, tmp_path):
+    from millrace.streaming.sources import read_arrivals
+
+    landing.land_bounded(spark.range(23).coalesce(1), f"{tmp_path}/in", 5)
+    stream = read_arrivals(spark, f"{tmp_path}/in", "id bigint", "parquet", 1)
+    landing.write_batches(stream, f"{tmp_path}/state", landing.counted(landing.to_folder(f"{tmp_path}/out"), f"{tmp_path}/counts")).awaitTermination()
+    counts = [r["records"] for r in landing.batch_counts(spark, f"{tmp_path}/counts").collect()]
+    assert max(counts) <= 5 and sum(counts) == 23
