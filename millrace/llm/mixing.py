@@ -68,8 +68,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domains: int, label_col: str
     if not sample:
         return DomainModel(quality.TermSpace(np.ones(quality.TERMS), np.zeros((quality.TERMS, 1))),
                            np.zeros((1, domains)), np.zeros(domains))
-    texts = pa.array([t for t, _ in sample], pa.large_string())
-    counts = np.concatenate([quality.term_counts(d, o).astype(np.float32) for *_, d, o in tb.blocks(texts, rows=quality.BLOCK_ROWS)])
+    counts = quality.counts_of([t for t, _ in sample])
     space = quality.TermSpace.fit(counts, df, total)
     return DomainModel(space, *_softmax_fit(space.vectors(counts), np.array([y for _, y in sample]), domains))
 

@@ -93,6 +93,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, rows: in
     return [(r["text"] or "", int(r["y"])) for r in sorted(found, key=lambda r: (r["h"], r["id"]))]
 
 
+def counts_of(texts: list[str]) -> np.ndarray:
+    """Counts of the terms of each text, one row each; temporaries are those of a block."""
+    out = np.empty((len(texts), TERMS), dtype=np.float32)
+    for first, end, data, offsets in tb.blocks(pa.array(texts, pa.large_string()), 1 << 18, BLOCK_ROWS):
+        out[first:end] = term_counts(data, offsets)
+    return out
+
+
+def _parts(counts: np.ndarray) -> Iterator[np.ndarray]:
+    """The rows in blocks, at least one."""
+    for first in range(0, max(len(counts), 1), BLOCK_ROWS):
+        yield counts[first : first + BLOCK_ROWS]
+
+
 class TermSpace:
     """Weighted terms, projected to the latent space."""
 
@@ -102,13 +116,16 @@ class TermSpace:
     @classmethod
     def fit(cls, counts: np.ndarray, df: np.ndarray, rows: int, dimensions: int = DIMENSIONS) -> TermSpace:
         """Terms weigh by how few documents have them; the basis spans the strongest directions of the sample,
-        by subspace iteration from a fixed start."""
+        by subspace iteration from a fixed start. Weighted rows are made a block at a time."""
         weights = np.log((rows + 1) / (df + 1)) + 0.1
         space = cls(weights, np.zeros((TERMS, 1)))
-        x = space.weighted(counts).astype(np.float64)
         basis = np.random.default_rng(5).standard_normal((TERMS, min(dimensions, TERMS)))
         for _ in range(6):
-            basis, _ = np.linalg.qr(x.T @ (x @ basis))
+            turned = np.zeros_like(basis)
+            for part in _parts(counts):
+                x = space.weighted(part).astype(np.float64)
+                turned += x.T @ (x @ basis)
+            basis, _ = np.linalg.qr(turned)
         space.basis = basis.astype(np.float32)
         return space
 
@@ -118,7 +135,7 @@ class TermSpace:
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         """Latent vectors of unit length; of texts without terms, zero."""
-        z = self.weighted(counts) @ self.basis
+        z = np.concatenate([self.weighted(part) @ self.basis for part in _parts(counts)])
         return z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
 
 
@@ -149,8 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     y = np.array([float(label > 0) for _, label in sample])
     if not sample:
         return QualityModel(TermSpace(np.ones(TERMS), np.zeros((TERMS, 1))), np.zeros((0, 1), np.float32), y, 0.5)
-    texts = pa.array([t for t, _ in sample], pa.large_string())
-    counts = np.concatenate([term_counts(data, offsets).astype(np.float32) for *_, data, offsets in tb.blocks(texts, rows=BLOCK_ROWS)])
+    counts = counts_of([t for t, _ in sample])
     space = TermSpace.fit(counts, df, total)
     return QualityModel(space, space.vectors(counts), y, float(y.mean()))
 

@@ -19,7 +19,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -125,7 +124,10 @@ class _Landmarks:
 
     def kernel(self, windows: np.ndarray) -> np.ndarray:
         """Kernel of every window (a row of codes) with every landmark."""
-        out = []
+        return np.concatenate([*self.kernel_blocks(windows)])
+
+    def kernel_blocks(self, windows: np.ndarray) -> Iterator[np.ndarray]:
+        """The same in blocks of rows."""
         for first in range(0, len(windows), 256):
             part = windows[first : first + 256]
             counts = np.zeros((len(part), len(self.numbers) + 1), dtype=np.float32)
@@ -133,8 +135,7 @@ class _Landmarks:
             for feature, decay in features(part, WINDOW):
                 np.add.at(counts, (rows, self.column[feature].ravel()), np.float32(decay))
             counts[:, -1] = 0
-            out.append(counts @ self.matrix)
-        return np.concatenate(out)
+            yield counts @ self.matrix
 
     def fold(self, beta: np.ndarray) -> np.ndarray:
         """The weighted sum of all landmarks as one table over subsequences."""
@@ -143,17 +144,22 @@ class _Landmarks:
         return masked(table)
 
 
-def _svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0) -> tuple[np.ndarray, float]:
-    """Linear support vector machine with squared hinge loss, classes balanced, by Newton steps."""
-    z = np.hstack([x, np.ones((len(x), 1))])
+def _svm(z: np.ndarray, y: np.ndarray, cost: float = 10.0) -> tuple[np.ndarray, float]:
+    """Linear support vector machine with squared hinge loss, classes balanced, by Newton steps whose sums run over
+    blocks of rows. The last column of z is one."""
     share = cost * len(y) * np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
     keep = np.full(z.shape[1], 1.0)
     keep[-1] = 1e-6
     w = np.zeros(z.shape[1])
     for _ in range(30):
-        inside = y * (z @ w) < 1
-        zi = z[inside] * share[inside, None]
-        new = np.linalg.solve(np.diag(keep) + zi.T @ z[inside], zi.T @ y[inside])
+        inside = np.flatnonzero(y * (z @ w) < 1)
+        curve, pull = np.diag(keep), np.zeros(z.shape[1])
+        for first in range(0, len(inside), 1024):
+            at = inside[first : first + 1024]
+            zi = z[at] * share[at, None]
+            curve += zi.T @ z[at]
+            pull += zi.T @ y[at]
+        new = np.linalg.solve(curve, pull)
         if np.allclose(new, w, atol=1e-6):
             break
         w = new
@@ -203,7 +209,9 @@ def train(texts: list[str], toxic: np.ndarray, share: float) -> ToxicityModel:
     good = values > 1e-4
     half = (vectors[:, good] / np.sqrt(values[good])) @ vectors[:, good].T
 
-    blocks = [encoded(data, offsets) for *_, data, offsets in tb.blocks(pa.array(texts, pa.large_string()))]
+    # Codes are kept as bytes and widened a block at a time.
+    blocks = [(codes.astype(np.uint8), begin) for codes, begin in (
+        encoded(data, offsets) for *_, data, offsets in tb.blocks(pa.array(texts, pa.large_string()), 1 << 18))]
     table = marks.fold(lift)
     clean: dict[bytes, None] = {}
     for _ in range(ROUNDS):
@@ -215,10 +223,14 @@ def train(texts: list[str], toxic: np.ndarray, share: float) -> ToxicityModel:
             else:
                 clean[window.tobytes()] = None
         good_ones = np.frombuffer(b"".join(clean), np.int32).reshape(-1, _WIDTH)
-        mapped = marks.kernel(np.concatenate([np.array(bad), good_ones])) @ half
+        windows = np.concatenate([np.array(bad), good_ones])
+        mapped, first = np.ones((len(windows), half.shape[1] + 1)), 0
+        for part in marks.kernel_blocks(windows):
+            mapped[first : first + len(part), :-1] = part @ half
+            first += len(part)
         weights, _ = _svm(mapped, np.repeat([1.0, -1.0], [len(bad), len(good_ones)]))
         table = marks.fold(half @ weights)
-    worst = np.concatenate([worst_windows(*b, table)[0] for b in blocks])
+    worst = np.concatenate([worst_windows(codes.astype(np.int32), begin, table)[0] for codes, begin in blocks])
     weight = np.where(toxic, share / toxic.mean(), (1 - share) / (1 - toxic.mean()))
     return ToxicityModel(table, *_platt(worst, toxic.astype(float), weight))
 
@@ -244,6 +256,7 @@ def _choose_landmarks(texts: list[str], toxic: np.ndarray) -> tuple[list[str], n
 
 def _worst_codes(codes: np.ndarray, begin: np.ndarray, table: np.ndarray) -> Iterator[np.ndarray]:
     """The worst window of each text, as codes."""
+    codes = codes.astype(np.int32)
     worst, window = worst_windows(codes, begin, table)
     for a, b in zip(begin, [*begin[1:], len(window)], strict=True):
         at = a + int(np.argmax(window[a:b]))
@@ -270,7 +283,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ids = F.broadcast(chosen[0].unionAll(chosen[1]).select("id", "y"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, "id")
     texts = texts.groupBy("id", "y").agg(F.max("text").alias("text")).select("id", "y", "text")
-    sample = texts.toPandas().sort_values("id") if texts else pd.DataFrame()
+    sample = texts.toPandas().sort_values("id")
     return train(sample["text"].tolist(), sample["y"].to_numpy() > 0, share)
 
 
