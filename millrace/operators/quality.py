@@ -6,14 +6,18 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 NOT_NULL = "expect_column_values_to_not_be_null"
 
 
 class CheckFailed(Exception):
-    """Raised by a gate when a check has failing rows."""
+    """Raised by a gate when a check has failing rows; `failures` has their number by check."""
+
+    def __init__(self, failures: dict[str, int]):
+        super().__init__(", ".join(f"{name}: {n}" for name, n in failures.items()))
+        self.failures = failures
 
 
 @dataclass(frozen=True)
@@ -39,6 +43,16 @@ def row_checks(df: DataFrame, checks: list[RowCheck]) -> DataFrame:
     return counted.unpivot([], [c.name for c in checks], "check", "failures")
 
 
+def observed(df: DataFrame, checks: list[RowCheck]) -> tuple[DataFrame, Observation]:
+    """The same rows, whose first job also counts `rows` and what fails each check, so that no job of its own reads them.
+
+    A shuffle behind it may repeat tasks and count their rows again; write the rows as they are to have exact
+    numbers. A check without failures is never counted up."""
+    seen = Observation()
+    counts = [F.count(F.when(c.fails(), 1)).alias(c.name) for c in checks]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
+
+
 def unique(df: DataFrame, column: str) -> DataFrame:
     """Number of values that occur more than once; NULLs are ignored."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
@@ -89,5 +103,5 @@ def gate(checks: DataFrame) -> DataFrame:
     """Raise when any check failed; the checks table has one row per check."""
     failed = checks.filter(F.col("failures") > 0).collect()
     if failed:
-        raise CheckFailed(", ".join(f"{r['check']}: {r['failures']}" for r in failed))
+        raise CheckFailed({r["check"]: r["failures"] for r in failed})
     return checks

@@ -1,4 +1,4 @@
-"""Table sinks: typed creation, parallel append, truncate and load, full refresh, reject capture."""
+"""Table sinks: typed creation, parallel append, truncate and load, full refresh, checked publication, reject capture."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import quality
+
 # Bulk load width and batch size.
 LOAD_PARTS = 6
 BATCH_ROWS = 1000
@@ -90,6 +92,32 @@ def full_refresh(df: DataFrame, table: str, schema: T.StructType, folder: str) -
     return spark.table(table)
 
 
+def publish(df: DataFrame, table: str, folder: str, checks: list[quality.RowCheck]) -> int:
+    """Write rows to a new folder and let the table stand for it if no check fails; the number of rows.
+
+    The write itself counts the failures, so nothing is read twice. When a check fails, `CheckFailed` names it, the written
+    rows stay in their folder to be looked at, and the table stays as it was, or absent. Readers see the old rows or
+    the new ones: the table is an external one whose location changes in one step. A table of other columns or types is
+    an error before anything is written. No rows are published as an empty table.
+    """
+    spark = df.sparkSession
+    exists = spark.catalog.tableExists(table)
+    if exists and spark.table(table).dtypes != df.dtypes:
+        raise ValueError(f"{table} has columns {spark.table(table).dtypes}, not {df.dtypes}")
+    rows, seen = quality.observed(df, checks)
+    rows.write.mode("errorifexists").parquet(folder)
+    counts = seen.get
+    failures = {c.name: counts[c.name] for c in checks if counts.get(c.name, 0)}
+    if failures:
+        raise quality.CheckFailed(failures)
+    if exists:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(table, path=folder, source="parquet", schema=df.schema)
+    return counts.get("rows", 0)
+
+
 def tag_rejects(df: DataFrame, schema: T.StructType) -> DataFrame:
     """(row, raw, rejected_for) of every raw row, in one pass: the typed row, the raw one, and the columns
     whose present value cannot be cast to its type; a row fits when there are none."""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.times import moment
 from ..operators import incremental, quality, stored, upsert
 from ..session import new_folder, settle
+from ..sinks.tables import publish
 from .tables import table
 
 AT = datetime(2024, 5, 1, 12, 0, 0)
@@ -166,6 +167,20 @@ def dq_accepted_values(spark, sf_dir):
     ])
 
 
+def published_after_checks(spark, sf_dir):
+    """A load that passes its checks is published; one with missing priorities is refused, and readers keep the first."""
+    checks = [quality.not_null("o_orderkey"), quality.not_null("o_orderpriority")]
+    folder = new_folder(spark, "published")
+    name = folder.rsplit("/", 1)[1].replace("-", "_")
+    publish(_target(spark, sf_dir), name, f"{folder}/1", checks)
+    refused = 0
+    try:
+        publish(_staging(spark, sf_dir), name, f"{folder}/2", checks)
+    except quality.CheckFailed as failed:
+        refused = failed.failures["not_null_o_orderpriority"]
+    return spark.table(name).withColumn("refused", F.lit(refused).cast("bigint"))
+
+
 SUITE = json.dumps({
     "expectation_suite_name": "orders_suite",
     "expectations": [
@@ -182,6 +197,7 @@ QUERIES = {f.__name__: f for f in (
     incremental_new_rows, incremental_include_ties, incremental_append, incremental_merge, upsert_changes,
     upsert_applied, merge_audited, merge_last_updated, merge_plain, merge_latest, merge_committed, merge_stored_ranges, insert_if_absent, apply_flagged,
     tracking_cycle, dq_not_null, dq_unique, dq_accepted_values, dq_suite,
+    published_after_checks,
 )}
 
 _CUT_SQL = "TIMESTAMP '2000-01-01 00:00:00'"
@@ -246,6 +262,8 @@ ORACLES = {
         COUNT(*) FILTER (o_orderstatus NOT IN ('F', 'O')) AS failures FROM staging UNION ALL
         SELECT 'accepted_values_o_orderpriority',
         COUNT(*) FILTER (o_orderpriority NOT IN ('1-URGENT', '2-HIGH')) FROM staging""",
+    "published_after_checks": f"""{_SIDES} SELECT t.*,
+        (SELECT COUNT(*) FROM staging WHERE o_orderpriority IS NULL) AS refused FROM target t""",
     "dq_suite": f"""{_SIDES}, counted AS (
         SELECT 'o_orderkey' AS "column", COUNT(*) AS n, COUNT(*) FILTER (o_orderkey IS NULL) AS bad FROM staging
         UNION ALL SELECT 'o_orderpriority', COUNT(*), COUNT(*) FILTER (o_orderpriority IS NULL) FROM staging)

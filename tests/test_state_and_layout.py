@@ -8,8 +8,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators import extract
+from millrace.operators import extract, quality
 from millrace.operators.aggregates import add_parts, distinct_counts, distinct_parts
+from millrace.sinks import tables as sinks
 from millrace.sources import catalog, files
 from millrace.streaming import landing
 
@@ -213,3 +214,35 @@ def test_no_batch_has_more_records_than_the_bound(spark, tmp_path):
     landing.write_batches(stream, f"{tmp_path}/state", landing.counted(landing.to_folder(f"{tmp_path}/out"), f"{tmp_path}/counts")).awaitTermination()
     counts = [r["records"] for r in landing.batch_counts(spark, f"{tmp_path}/counts").collect()]
     assert max(counts) <= 5 and sum(counts) == 23
+
+
+def test_a_failing_load_leaves_the_published_table(spark, tmp_path):
+    schema, name = "k int, v string", "published_test"
+    checks = [quality.not_null("k"), quality.accepted_values("v", ["a", "b"])]
+
+    def load(rows, k):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/in{k}")
+        return spark.read.parquet(f"{tmp_path}/in{k}")
+
+    with pytest.raises(quality.CheckFailed):
+        sinks.publish(load([(None, "a")], 0), name, f"{tmp_path}/0", checks)
+    assert not spark.catalog.tableExists(name)
+    first = load([(1, "a"), (2, None)], 1)
+    context = spark.sparkContext
+    context.setJobGroup("publish", "")
+    assert sinks.publish(first, name, f"{tmp_path}/1", checks) == 2
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("publish")) == 1
+    with pytest.raises(quality.CheckFailed) as failed:
+        sinks.publish(load([(None, "a"), (None, "c"), (3, "b")], 2), name, f"{tmp_path}/2", checks)
+    assert failed.value.failures == {"not_null_k": 2, "accepted_values_v": 1}
+    assert sorted(spark.table(name).collect()) == sorted(first.collect())
+    assert all("/1/" in f for f in spark.table(name).inputFiles())
+    with pytest.raises(ValueError):
+        sinks.publish(first.withColumn("w", F.lit(1)), name, f"{tmp_path}/3", checks)
+    assert sinks.publish(load([(4, "b")], 4), name, f"{tmp_path}/4", checks) == 1
+    assert [tuple(r) for r in spark.table(name).collect()] == [(4, "b")]
+    assert sinks.publish(load([], 5), name, f"{tmp_path}/5", checks) == 0
+    assert spark.table(name).count() == 0
+    assert sinks.publish(spark.createDataFrame([], schema), name, f"{tmp_path}/6", checks) == 0
+    spark.sql(f"DROP TABLE {name}")
