@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.times import date_text, from_epoch
+from ..functions.times import date_text, from_epoch, hour_text
 from ..operators.aggregates import distinct_counts, distinct_parts, top_k
 from ..operators.cleaning import clean_auth, clean_listen, clean_page_view
+from ..operators.kept import add_counts
 from ..plans import marts
-from ..session import settle
+from ..session import new_folder, settle
 from .tables import feed, feed_sql
 
 
@@ -51,7 +52,33 @@ def user_levels_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_counts(_kept(known, ["gender", "level"])[1], ["gender", "level"], "user_count")
 
 
+# 2024-01-15 00:00:00, up to which events are there at a first run.
+_FIRST_RUN = 1705276800
+
+
+def _counted_twice(rows: DataFrame, by: list[str], name: str) -> DataFrame:
+    """Counts after a first run over the events up to then, and a second one that reads what came later."""
+    folder = new_folder(rows.sparkSession, "counts")
+    add_counts(rows.filter(F.col("ts") < _FIRST_RUN), folder, by, "ts", name)
+    return add_counts(rows, folder, by, "ts", name)
+
+
+def hourly_counts_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plays by hour, kept: the second run adds the new hours' counts to the stored ones."""
+    rows = listen(spark, sf_dir).select("ts", (F.col("ts") - F.pmod("ts", F.lit(3600))).alias("hour"))
+    at = from_epoch("hour")
+    counts = _counted_twice(rows, ["hour"], "total_streams")
+    return counts.select(date_text(at).alias("stream_date"), hour_text(at).alias("stream_hour"), "total_streams")
+
+
+def song_counts_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plays by song, kept likewise; songs of both runs add up."""
+    return _counted_twice(listen(spark, sf_dir), ["artist", "song"], "play_count")
+
+
 QUERIES = {
+    "hourly_counts_kept": hourly_counts_kept,
+    "song_counts_kept": song_counts_kept,
     "unique_users_kept": unique_users_kept,
     "user_levels_kept": user_levels_kept,
     "src_listen_events": listen,
@@ -88,6 +115,8 @@ _ALL = feed_sql("raw_listen", "raw_auth", "raw_page_view")
 _USER = "CAST(ROUND(CAST(NULLIF(userId, '') AS DOUBLE)) AS INTEGER)"
 
 ORACLES = {
+    "hourly_counts_kept": f"{feed_sql('raw_listen')} {_HOURLY}",
+    "song_counts_kept": f"{feed_sql('raw_listen')} {_SONGS}",
     "unique_users_kept": f"""{feed_sql("raw_listen")}, days AS (
         SELECT {_USER} AS u, CAST(make_timestamp(ts * 1000000) AS DATE) AS day FROM raw_listen)
         SELECT COUNT(DISTINCT u) AS total_unique_users,

@@ -1,6 +1,7 @@
 """Windows kept as state, balanced elements, computed folders, discovered schemas, bitmaps that add up."""
 
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from hypothesis import given, settings
@@ -8,8 +9,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators import extract, quality
+from millrace.operators import extract, kept, quality
 from millrace.operators.aggregates import add_parts, distinct_counts, distinct_parts
+from millrace.operators.incremental import new_rows
 from millrace.sinks import tables as sinks
 from millrace.sources import catalog, files
 from millrace.streaming import landing
@@ -246,3 +248,34 @@ def test_a_failing_load_leaves_the_published_table(spark, tmp_path):
     assert spark.table(name).count() == 0
     assert sinks.publish(spark.createDataFrame([], schema), name, f"{tmp_path}/6", checks) == 0
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_counts_grow_by_new_rows_only(spark, tmp_path):
+    def run(rows, folder=f"{tmp_path}/counts"):
+        df = spark.createDataFrame(rows, "k string, at int")
+        return sorted(((r[0] or "", r[1]) for r in kept.add_counts(df, folder, ["k"], "at", "n").collect()))
+
+    def files_of(folder=f"{tmp_path}/counts"):
+        return {f: f.stat().st_mtime_ns for f in Path(folder).glob("*.parquet")}
+
+    assert run([]) == [] and not files_of(tmp_path)
+    old = [("a", 1), ("a", 2), (None, 2), ("b", 3), ("b", None)]
+    assert run(old) == [("", 1), ("a", 2), ("b", 1)]
+    before = files_of()
+    # Nothing new, and a row that ties with the mark: no count changes and no file appears.
+    assert run([*old, ("a", 3)]) == [("", 1), ("a", 2), ("b", 1)] and files_of() == before
+    # Old rows need not be there any more: only what is beyond the mark is read.
+    assert run([("a", 4), ("c", 9)]) == [("", 1), ("a", 3), ("b", 1), ("c", 1)]
+    assert before.items() <= files_of().items()
+    kept.compact_counts(spark, f"{tmp_path}/counts", f"{tmp_path}/one", ["k"], "n")
+    assert run([("a", 9), ("b", 10)], f"{tmp_path}/one") == [("", 1), ("a", 3), ("b", 2), ("c", 1)]
+
+
+def test_the_mark_of_kept_counts_reaches_the_scan(spark, tmp_path):
+    spark.range(100).selectExpr("id % 3 AS k", "id AS at").write.parquet(f"{tmp_path}/in")
+    rows = spark.read.parquet(f"{tmp_path}/in")
+    kept.add_counts(rows.filter("at < 60"), f"{tmp_path}/counts", ["k"], "at", "n")
+    mark = spark.read.parquet(f"{tmp_path}/counts").select(F.col(kept.UPTO).alias("at"))
+    plan = new_rows(rows, mark, "at")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(at,59)" in plan
+    assert sorted(kept.add_counts(rows, f"{tmp_path}/counts", ["k"], "at", "n").collect()) == [(0, 34), (1, 33), (2, 33)]
