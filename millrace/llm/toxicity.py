@@ -1,8 +1,9 @@
 """Toxicity: a support vector machine on a gap-weighted subsequence string kernel with Nyström landmarks.
 
 The kernel of two strings sums, over all subsequences of ORDER letters, the product of their weights in
-both; an occurrence may span SPAN characters and weighs DECAY per skipped one. So `i-d-i-o-t` and `idxiot`
-still share most of `idiot`. Landmarks are words and beginnings of words of labelled rows. A Nyström map
+both; an occurrence may span SPAN characters and weighs DECAY per skipped one. A skipped run of spaces or marks
+between two lone letters weighs one, so `i-d-i-o-t` and `i  d  i  o  t` are `idiot` in full; `idxiot` shares part of it, and with
+a letter put between all of its own little is left. Landmarks are words and beginnings of words of labelled rows. A Nyström map
 with landmarks z makes the kernel machine f(x) = sum of beta_z k(z, x) + b, and as k is a dot product of
 subsequence weights, all landmarks fold into one table of weights per subsequence. Scoring a text then is
 one pass over its characters, whatever the number of landmarks.
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import textblocks as tb
 
-ORDER, SPAN, DECAY, WINDOW = 4, 7, 0.5, 10
+ORDER, SPAN, DECAY, WINDOW = 4, 8, 0.7, 12
 # Bounds of the labelled sample: rows of each label, in the order of a hash of their id.
 SAMPLE_ROWS = 3000
 LANDMARKS = 320
@@ -34,28 +35,50 @@ _CODES = 32  # 0 is no character, 1 to 26 are letters, 27 is a boundary, 28 to 3
 _BOUNDARY = 27
 _WIDTH = WINDOW + SPAN - 1
 
-# Code of each byte of UTF-8. Lead bytes of longer characters are left out, the byte after them tells
-# accented letters apart (in four classes, the same for both cases).
+# Code of each byte of UTF-8. Lead bytes of longer characters are left out; of the byte after them the last five bits
+# count, which are the same for both cases of accented Latin, Greek and Cyrillic letters.
 _CODE = np.full(256, _BOUNDARY, dtype=np.int32)
 _CODE[97:123] = _CODE[65:91] = np.arange(1, 27)
-_CODE[128:192] = 28 + np.arange(64) % 4
+_CODE[128:192] = np.array([*range(1, 27), 28, 29, 30, 31, 28, 29])[np.arange(64) % 32]
 _CODE[192:] = -1
 # Offsets of the characters of an occurrence from its first one.
 SHAPES = [(0, *rest) for rest in itertools.combinations(range(1, SPAN), ORDER - 1)]
 
 
+def _letters(data: np.ndarray) -> np.ndarray:
+    """Code of each byte; punctuation and spaces outside ASCII are boundaries too."""
+    codes = _CODE[data]
+    sign = np.flatnonzero(data[:-1] == 0xC2)
+    codes[sign + 1] = _BOUNDARY
+    sign = np.flatnonzero((data[:-2] >= 0xE2) & (data[:-2] <= 0xE3) & (data[1:-1] == 0x80))
+    codes[sign + 1] = codes[sign + 2] = _BOUNDARY
+    return codes
+
+
 def encoded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the texts of a block, and where each begins. A text is preceded by a boundary and followed
-    by empty characters that keep its windows to itself."""
-    codes = _CODE[data]
+    by empty characters that keep its windows to itself. Boundaries in a row are one. One between two lone letters
+    is left out, so letters that are set apart are next to each other."""
+    codes = _letters(data)
     kept = codes >= 0
+    texts = np.arange(len(offsets) - 1)
     before = np.concatenate([[0], np.cumsum(kept)])[offsets]
+    begin = before[:-1] + texts
+    line = np.full(before[-1] + len(texts), _BOUNDARY, dtype=np.int32)
+    line[np.arange(before[-1]) + np.repeat(texts, np.diff(before)) + 1] = codes[kept]
+    first = np.zeros(len(line), dtype=bool)
+    first[begin] = True
+    stay = np.ones(len(line), dtype=bool)
+    stay[1:] = first[1:] | (line[1:] != _BOUNDARY) | (line[:-1] != _BOUNDARY)
+    line, first = line[stay], first[stay]
+    space = np.concatenate([[True, True], line == _BOUNDARY, [True, True]])
+    stay = first | ~(space[2:-2] & ~space[1:-3] & space[:-4] & ~space[3:-1] & space[4:])
+    line, first = line[stay], first[stay]
+    begin = np.flatnonzero(first)
     gap = _WIDTH + 1
-    begin = before[:-1] + np.arange(len(offsets) - 1) * gap
-    out = np.zeros(before[-1] + (len(offsets) - 1) * gap, dtype=np.int32)
-    out[begin] = _BOUNDARY
-    out[np.arange(before[-1]) + np.repeat(np.arange(len(offsets) - 1) * gap, np.diff(before)) + 1] = codes[kept]
-    return out, begin
+    out = np.zeros(len(line) + len(texts) * gap, dtype=np.int32)
+    out[np.arange(len(line)) + (np.cumsum(first) - 1) * gap] = line
+    return out, begin + texts * gap
 
 
 def word_codes(word: str) -> np.ndarray:
@@ -88,6 +111,8 @@ def worst_windows(codes: np.ndarray, begin: np.ndarray, table: np.ndarray) -> tu
         weight += table[feature] * np.float32(decay)
     sums = np.cumsum(np.concatenate([[0.0], weight.astype(np.float64)]))
     window = sums[WINDOW:] - sums[:-WINDOW]
+    # Windows of empty characters only, but for those that reach into the next text.
+    window[(begin[1:, None] - np.arange(1, WINDOW)).ravel()] = 0
     return np.maximum.reduceat(window, begin), window
 
 
@@ -240,8 +265,9 @@ def _choose_landmarks(texts: list[str], toxic: np.ndarray) -> tuple[list[str], n
     then common words of clean texts; and a first weight of each."""
     counts = [Counter(), Counter()]
     for text, label in zip(texts, toxic, strict=True):
-        found = set(re.findall(r"[^\W\d_]{%d,}" % ORDER, text.lower()))
-        counts[int(label)].update({w[:n] for w in found for n in (5, 6, 7, 8, 12)})
+        found = set(re.findall(r"[^\W\d_]{%d,}" % (ORDER - 1), text.lower()))
+        # Words of three letters need the boundary after them to tell them from beginnings.
+        counts[int(label)].update({w[:n] if len(w) >= ORDER else w + " " for w in found for n in (5, 6, 7, 8, 12)})
     n = [max(int((~toxic).sum()), 1), max(int(toxic.sum()), 1)]
     score = {}
     for word, c in counts[1].items():

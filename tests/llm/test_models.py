@@ -1,6 +1,7 @@
 """Toxicity, quality, mixing and fingerprints: held-out accuracy, targets met, brute force."""
 
 import hashlib
+import itertools
 import random
 import zlib
 
@@ -78,6 +79,64 @@ def test_insults_with_gaps_and_insertions(tables):
         assert say(text) > 3 * clean
 
 
+@pytest.mark.parametrize("shape", [" ".join, "--".join, ".".join, " - ".join, "\u200b".join, "\u00b7".join, lambda w: w.upper()])
+def test_insults_that_are_set_apart_pass_the_threshold(tables, shape):
+    docs, labels, _ = tables
+    model = toxicity.fit(docs, labels)
+    texts = [f"Ranta tolne {shape(w)} mirlis." for w in INSULTS] + ["Ranta tolne mirlis.", "Ranta a b c mirlis."]
+    scores = np.concatenate([s for _, s in toxicity.score_batches([pa.RecordBatch.from_arrays([pa.array(texts)], ["t"])], model, 0)])
+    assert (scores[:3] >= 0.3).all() and (scores[3:] < 0.3).all()
+
+
+def test_a_text_is_scored_without_its_neighbours(tables):
+    docs, labels, _ = tables
+    model = toxicity.fit(docs, labels)
+    texts = ["Ranta tolne.", "idiot", "", "idiot idiot", "senor", None, "moron"]
+    def scores(part):
+        batch = pa.RecordBatch.from_arrays([pa.array(part, pa.string())], ["t"])
+        return np.concatenate([s for _, s in toxicity.score_batches([batch], model, 0)])
+    together = scores(texts)
+    assert np.allclose(together, [scores([t])[0] for t in texts], atol=1e-6)
+    assert ((together >= 0.3) == [False, True, False, True, False, False, True]).all()
+
+
+def test_kernel_equals_its_definition():
+    def weights(codes, starts):
+        found = {}
+        for at in itertools.combinations(range(len(codes)), toxicity.ORDER):
+            if at[0] < starts and at[-1] - at[0] < toxicity.SPAN and all(codes[k] for k in at):
+                key = tuple(codes[k] for k in at)
+                found[key] = found.get(key, 0) + toxicity.DECAY ** (at[-1] - at[0] + 1 - toxicity.ORDER)
+        return found
+
+    words = ["idiot", "ranta", "fat "]
+    marks = toxicity._Landmarks(words)
+    data = np.frombuffer("the fat idxi-ot, r a n t a".encode(), np.uint8)
+    codes, _ = toxicity.encoded(data, np.array([0, len(data)]))
+    rows = np.array([codes[k : k + toxicity._WIDTH] for k in range(0, 12, 3)])
+    got = marks.kernel(rows)
+    for k, word in enumerate(words):
+        own = weights(toxicity.word_codes(word).tolist(), 99)
+        norm = sum(v * v for v in own.values()) ** 0.5
+        for row, value in zip(rows.tolist(), got[:, k], strict=True):
+            other = weights(row, toxicity.WINDOW)
+            assert value == pytest.approx(sum(v * other.get(n, 0) for n, v in own.items()) / norm, abs=1e-4)
+
+
+def test_letters_that_are_set_apart_are_joined():
+    def read(*texts):
+        data = [t.encode() for t in texts]
+        codes, begin = toxicity.encoded(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+        ends = [*begin[1:], len(codes)]
+        return ["".join("." if c == 0 else "_" if c == 27 else chr(96 + c) for c in codes[a:b]).rstrip(".")
+                for a, b in zip(begin, ends, strict=True)]
+
+    assert read("a b", "", "c d", "x") == ["_ab", "_", "_cd", "_x"]
+    assert read("Is it i - d,i o t?! yes") == ["_is_it_idiot_yes"]
+    assert read("  J. R. R. Tol ", "no") == ["_jrr_tol_", "_no"]
+    assert read("é") == read("É") != read("д") == read("Д")
+
+
 def test_table_of_the_machine_equals_the_kernel_sum():
     marks = toxicity._Landmarks(["idiot", "ranta", "moronic"])
     beta = np.array([0.7, -0.4, 0.2])
