@@ -109,26 +109,76 @@ def all_or_nothing(write: BatchWriter, reject: BatchWriter, bad: Column) -> Batc
     return decide
 
 
-def land_bounded(df: DataFrame, folder: str, records: int) -> str:
+LANE = "lane"
+
+
+def land_bounded(df: DataFrame, folder: str, records: int, lanes: int = 0) -> str:
     """Records as files of at most `records` each, appended to a landing folder. A stream that admits one file a batch then
-    never has more records in a batch than that, however they arrive."""
-    df.write.mode("append").option("maxRecordsPerFile", records).parquet(folder)
+    never has more records in a batch than that, however they arrive.
+
+    With lanes, every run of `records` rows goes to the next of so many sub-folders, whatever the rows hold, so that
+    `write_lanes` can work through them side by side. A lane that got no rows is an empty folder."""
+    if not lanes:
+        df.write.mode("append").option("maxRecordsPerFile", records).parquet(folder)
+        return folder
+    place = F.monotonically_increasing_id() % F.lit(1 << 33)  # the row's place within its task
+    lane = (F.spark_partition_id() + F.floor(place / records)) % lanes
+    df.withColumn(LANE, lane).write.mode("append").option("maxRecordsPerFile", records).partitionBy(LANE).parquet(folder)
+    for path in lane_folders(folder, lanes):
+        _mkdirs(df.sparkSession, path)
     return folder
 
 
+def lane_folders(folder: str, lanes: int) -> list[str]:
+    return [f"{folder}/{LANE}={k}" for k in range(lanes)]
+
+
+def write_lanes(read: Callable[[str], DataFrame], folder: str, lanes: int, checkpoint: str, write: BatchWriter) -> None:
+    """Work through the lanes of a landing folder, each as a query with a checkpoint of its own, until nothing is left.
+
+    Batches of one lane follow each other, those of different lanes run at the same time. A batch is as large as without lanes.
+    When a lane fails, the others are stopped; all go on from their checkpoints the next time."""
+    queries: list[StreamingQuery] = []
+    try:
+        for name, path in zip(lane_folders(checkpoint, lanes), lane_folders(folder, lanes), strict=True):
+            queries.append(write_batches(read(path), name, write))
+        for query in queries:
+            query.awaitTermination()
+    finally:
+        for query in queries:
+            query.stop()
+
+
+def _path(spark: SparkSession, name: str):
+    """A path and the file system it is on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _mkdirs(spark: SparkSession, folder: str) -> None:
+    path, files = _path(spark, folder)
+    files.mkdirs(path)
+
+
 def counted(write: BatchWriter, folder: str) -> BatchWriter:
-    """Also keep the number of records of each batch, as they pass, in a file of its own."""
+    """Also keep the number of records of each batch, as they pass, in a file of its own. The number is at hand when the batch
+    is written, so the file takes no job; a repeated batch replaces it."""
     def write_and_count(batch: DataFrame, label: str) -> None:
         seen = Observation()
         write(batch.observe(seen, F.count("*").alias("records")), label)
-        one = batch.sparkSession.range(1, numPartitions=1).select(F.lit(seen.get["records"]).alias("records"))
-        to_folder(folder)(one, label)
+        path, files = _path(batch.sparkSession, f"{folder}/{label}.json")
+        out = files.create(path, True)
+        try:
+            out.writeBytes(json.dumps({"batch_id": str(label), "records": seen.get["records"]}) + "\n")
+        finally:
+            out.close()
     return write_and_count
 
 
 def batch_counts(spark: SparkSession, folder: str) -> DataFrame:
     """(batch_id, records) of every batch that `counted` saw, whatever the query's progress remembers."""
-    return spark.read.schema("records bigint, batch_id string").parquet(folder).select("batch_id", "records")
+    _mkdirs(spark, folder)  # there may have been no batch
+    return spark.read.schema("batch_id string, records bigint").json(folder)
 
 
 def hourly_partials(event_time: str, folder: str) -> BatchWriter:

@@ -21,6 +21,8 @@ _RECORD = T.StructType([
 _FILES = 1000
 # Records per micro-batch of the bounded stream.
 _BATCH_RECORDS = 2500
+# Queries that work through the bounded batches side by side.
+_LANES = 8
 
 
 def _events(spark, sf_dir, files_per_batch: int | None = _FILES):
@@ -118,11 +120,13 @@ def stream_bounded_batches(spark, sf_dir):
     """Batches bounded by records: how many had more than the bound, and the records of all."""
     folder = new_folder(spark, "bounded")
     events = spark.read.schema(_EVENTS).parquet(f"{sf_dir}/events.parquet").select("event_id")
-    stream = read_arrivals(spark, landing.land_bounded(events, f"{folder}/in", _BATCH_RECORDS), "event_id bigint", "parquet", 1)
+    landed = landing.land_bounded(events, f"{folder}/in", _BATCH_RECORDS, _LANES)
     write = landing.counted(landing.to_folder(f"{folder}/out"), f"{folder}/counts")
-    landing.write_batches(stream, f"{folder}/state", write).awaitTermination()
+    landing.write_lanes(
+        lambda lane: read_arrivals(spark, lane, "event_id bigint", "parquet", 1), landed, _LANES, f"{folder}/state", write)
     counts = landing.batch_counts(spark, f"{folder}/counts")
-    return counts.agg(F.count_if(F.col("records") > _BATCH_RECORDS).alias("over_bound"), F.sum("records").alias("records"))
+    return counts.agg(
+        F.count_if(F.col("records") > _BATCH_RECORDS).alias("over_bound"), F.coalesce(F.sum("records"), F.lit(0)).alias("records"))
 
 
 _TOPICS = {"auth": ["signup"], "listen": ["view", "click"], "page_view": ["purchase"]}

@@ -218,6 +218,54 @@ def test_no_batch_has_more_records_than_the_bound(spark, tmp_path):
     assert max(counts) <= 5 and sum(counts) == 23
 
 
+def test_lanes_of_bounded_batches_run_side_by_side(spark, tmp_path):
+    import threading
+
+    from millrace.streaming.sources import read_arrivals
+
+    def run(name, write):
+        landing.write_lanes(
+            lambda lane: read_arrivals(spark, lane, "id bigint", "parquet", 1), f"{tmp_path}/{name}", 4, f"{tmp_path}/{name}_state", write)
+
+    landing.land_bounded(spark.range(0, 230, 1, 3), f"{tmp_path}/in", 5, 4)
+    lanes = [spark.read.schema("id bigint").parquet(p).count() for p in landing.lane_folders(f"{tmp_path}/in", 4)]
+    assert sum(lanes) == 230 and max(lanes) - min(lanes) <= 15
+    together, refused = threading.Barrier(4, timeout=60), []
+    write = landing.counted(landing.to_folder(f"{tmp_path}/out"), f"{tmp_path}/counts")
+
+    def met(batch, label):
+        if label.endswith("-0"):  # the first batch of each lane waits for those of the others
+            together.wait()
+        if label.endswith("-2") and not refused:
+            refused.append(label)
+            raise ValueError("refused once")
+        write(batch, label)
+
+    with pytest.raises(Exception, match="refused once"):
+        run("in", met)
+    assert not spark.streams.active
+    run("in", lambda batch, label: write(batch, label))
+    counts = [r["records"] for r in landing.batch_counts(spark, f"{tmp_path}/counts").collect()]
+    assert max(counts) <= 5 and sum(counts) == 230
+    assert sorted(r["id"] for r in spark.read.schema("id bigint").parquet(f"{tmp_path}/out").collect()) == list(range(230))
+    landing.land_bounded(spark.range(0), f"{tmp_path}/none", 5, 4)
+    run("none", landing.counted(landing.to_folder(f"{tmp_path}/out2"), f"{tmp_path}/counts2"))
+    assert landing.batch_counts(spark, f"{tmp_path}/counts2").collect() == []
+
+
+def test_a_count_of_records_takes_no_job(spark, tmp_path):
+    def jobs(name, write):
+        spark.sparkContext.setJobGroup(name, "")
+        write(spark.range(7), "a")
+        write(spark.range(3), "a")  # a repeated batch replaces its count
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    plain = jobs("plain", landing.to_folder(f"{tmp_path}/plain"))
+    assert jobs("counted", landing.counted(landing.to_folder(f"{tmp_path}/out"), f"{tmp_path}/counts")) == plain
+    assert [tuple(r) for r in landing.batch_counts(spark, f"{tmp_path}/counts").collect()] == [("a", 3)]
+
+
 def test_a_failing_load_leaves_the_published_table(spark, tmp_path):
     schema, name = "k int, v string", "published_test"
     checks = [quality.not_null("k"), quality.accepted_values("v", ["a", "b"])]
