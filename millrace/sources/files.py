@@ -89,9 +89,67 @@ def read_payload(spark: SparkSession, path: str, schema: StructType | str, whole
     return spark.read.schema(schema).option("multiLine", whole_file).json(path)
 
 
-def read_elements(spark: SparkSession, path: str, tag: str, schema: StructType) -> DataFrame:
-    """One row per XML element of that name, at any depth."""
-    return spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)
+# An XML file beyond this size is cut; the longest text between two end tags that a cut may hold.
+WHOLE_BYTES = 128 * 1024 ** 2
+_PIECE_BYTES = 64 * 1024 ** 2
+
+
+def read_elements(spark: SparkSession, path: str, tag: str, schema: StructType, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """One row per XML element of that name, at any depth.
+
+    Spark's XML source reads a file in one task. Files of more than `whole_bytes` are therefore read as text cut at the end tags,
+    which every task finds by itself, and each piece is parsed alone. A first scan tells which of them `_plain` allows
+    to be cut; the others, and small ones, go through the XML source. That stops where a file is not well-formed; in a cut file
+    a malformed element spoils its own row only.
+    """
+    reader = spark.read.format("xml").option("rowTag", tag).schema(schema)
+    whole = reader.load(path)
+    found = spark.read.format("binaryFile").load(path).select("path", F.col("_metadata.file_path").alias("file"), "length")
+    corrupt = spark.conf.get("spark.sql.columnNameOfCorruptRecord")
+    if whole.columns != schema.names or corrupt in schema.names or found.filter(F.col("length") > whole_bytes).isEmpty():
+        return whole  # the XML source alone fills other columns than those of the elements
+    listed = found.collect()
+    if any(set(r["path"]) & set("*?[]{}\\") for r in listed):  # names that cannot be given one by one
+        return whole
+    cut = _plain(_pieces(spark, [r["path"] for r in listed if r["length"] > whole_bytes], tag), tag)
+    if not cut:
+        return whole
+    rest = [r["path"] for r in listed if r["file"] not in cut]
+    text = F.concat(F.expr("substring(value, at)"), F.lit(f"</{tag}>"))
+    rows = _pieces(spark, [r["path"] for r in listed if r["file"] in cut], tag).filter("at > 0").select(
+        F.from_xml(text, schema).alias("row")).select(*[F.col("row").getField(c).alias(c) for c in schema.names])
+    return rows.unionByName(reader.load(rest)) if rest else rows
+
+
+def _start_tag(tag: str) -> str:
+    return rf"<\Q{tag}\E(?=[\s/>])"
+
+
+def _pieces(spark: SparkSession, paths: list[str], tag: str) -> DataFrame:
+    """Texts of files between the end tags of that name, where their first start tag is, and the file's name and size. Texts
+    longer than a piece may be are left out."""
+    reader = spark.read.option("lineSep", f"</{tag}>").option("mapreduce.input.linerecordreader.line.maxlength", _PIECE_BYTES)
+    return reader.text(paths).select(
+        "value", F.regexp_instr("value", F.lit(_start_tag(tag))).alias("at"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
+
+
+def _plain(pieces: DataFrame, tag: str) -> set[str]:
+    """Files that can be cut at the end tags: every piece has one start tag, but for what follows the last element, all bytes are
+    there, and nothing needs what lies outside of an element or hides tags: comments, CDATA, document types, instructions,
+    name prefixes, other encodings; nor are there empty elements of that name or end tags with blanks."""
+    name = rf"\Q{tag}\E"
+    odd = rf"""<(?:!|\?(?!xml\s)|\?xml\s[^>]*encoding\s*=\s*["'](?!(?i:utf-8)["'])|/?[^\s<>/:]+:|/{name}\s|{name}(?:\s[^<]*)?/>)"""
+    prefixed = r"""\s[^\s<>="':]+:[^\s<>="':]+\s*=\s*["']"""  # an attribute, as an element's own; those outside do not matter
+    seen = pieces.select(
+        "file", "size", F.octet_length("value").alias("bytes"), F.regexp_count("value", F.lit(_start_tag(tag))).alias("starts"),
+        (F.col("value").rlike(odd) | F.expr("substring(value, at)").rlike(prefixed)).alias("odd"))
+    files = seen.groupBy("file", "size").agg(
+        F.bool_or("odd").alias("odd"), F.sum("starts").alias("starts"), F.max("starts").alias("most"), F.count("*").alias("n"),
+        F.sum("bytes").alias("bytes"))
+    ends = (F.col("size") - F.col("bytes")) / len(f"</{tag}>".encode())
+    ok = files.filter(~F.col("odd") & (F.col("most") == 1) & (F.col("starts") == ends) & ends.isin(F.col("n"), F.col("n") - 1))
+    return {r["file"] for r in ok.select("file").collect()}
 
 
 def list_objects(spark: SparkSession, path: str, extension: str | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 """Column steps, quality checks, sinks, sources, versioned tables and the model registry."""
 
 import json
+from collections import Counter
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -241,6 +242,48 @@ def test_payload_and_elements(spark, tmp_path):
     assert rows(files.read_elements(spark, str(tmp_path / "a.xml"), "I", schema)) == [("1",), ("2",)]
 
 
+def test_large_element_files_are_cut(spark, tmp_path, monkeypatch):
+    schema = T.StructType([
+        T.StructField("D", T.StringType()), T.StructField("_a", T.StringType()), T.StructField("V", T.ArrayType(T.StringType()))])
+    body = "".join(f'<I a="x{i}">\n <D> \u00fc {i} &amp; &lt;I&gt; </D><V>{i}</V><V/></I>\n' for i in range(200))
+    body += "<IX><D>other</D></IX><G><I><D>deep</D></I></G>"
+    cases = {  # whether a file can be cut
+        f"<L>{body}</L>": True,
+        f'<?xml version="1.0" encoding="UTF-8"?>\n<L xmlns:x="u" x:b="c">{body}</L>\n': True,
+        f"<L>{body}<!-- <I><D>hidden</D></I> --></L>": False,
+        f"<L>{body}<I><D><![CDATA[</I>]]></D></I></L>": False,
+        f"<L>{body}<I><D>out</D><I><D>in</D></I></I></L>": False,
+        f'<L>{body}<I/><I a="q>"/></L>': False,
+        f"<L>{body}<I><D>blank</D></I ></L>": False,
+        f'<L xmlns:p="u">{body}<p:I><D>z</D></p:I></L>': False,
+        f'<L xmlns:p="u">{body}<I p:k="1"><D>z</D></I></L>': False,
+        f"<L>{body}<I><D>open": False,
+        "<L>" + "<D>none</D>" * 500 + "</L>": False,
+    }
+    for name, value in (("spark.sql.files.maxPartitionBytes", "2000b"), ("spark.sql.files.openCostInBytes", "1b")):
+        spark.conf.set(name, value)
+    try:
+        for k, (text, plain) in enumerate(cases.items()):
+            folder = tmp_path / f"{k} %20"
+            folder.mkdir()
+            (folder / "large.xml").write_text(text)
+            (folder / "small.xml").write_text("<L><I><D>small</D></I></L>")
+            whole = files.read_elements(spark, str(folder), "I", schema)
+            cut = files.read_elements(spark, str(folder), "I", schema, whole_bytes=1000)
+            assert Counter(map(repr, cut.collect())) == Counter(map(repr, whole.collect())), text[-80:]
+            assert cut.schema == whole.schema
+            assert (len(files._plain(files._pieces(spark, [str(folder / "large.xml")], "I"), "I")) == 1) == plain, text[-80:]
+            assert (cut.select(F.spark_partition_id()).distinct().count() > 5) == plain
+        (tmp_path / "0 %20" / "more[1].xml").write_text(next(iter(cases)))  # a name that reads as a pattern
+        assert files.read_elements(spark, str(tmp_path / "0 %20"), "I", schema, whole_bytes=1000).count() == 403
+        (tmp_path / "0 %20" / "more[1].xml").unlink()
+        monkeypatch.setattr(files, "_PIECE_BYTES", 40)  # texts longer than a piece are never lost
+        assert files.read_elements(spark, str(tmp_path / "0 %20"), "I", schema, whole_bytes=1000).count() == 202
+    finally:
+        for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+            spark.conf.unset(name)
+
+
 def test_sources(spark):
     named = catalog.Sources().add("a", lambda s: s.range(3))
     assert named.read(spark, "a").count() == 3 and named.register_views(spark) == ["a"]
