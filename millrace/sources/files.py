@@ -94,16 +94,17 @@ WHOLE_BYTES = 128 * 1024 ** 2
 _PIECE_BYTES = 64 * 1024 ** 2
 
 
-def read_elements(spark: SparkSession, path: str, tag: str, schema: StructType, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+def read_elements(spark: SparkSession, path: str, tag: str, schema: StructType,
+                  whole_bytes: int | None = None) -> DataFrame:
     """One row per XML element of that name, at any depth.
 
-    Spark's XML source reads a file in one task. Files of more than `whole_bytes` are therefore read as text cut at the end tags,
+    Spark's XML source reads a file in one task. Files of more than `whole_bytes` (WHOLE_BYTES) are therefore read as text cut at the end tags,
     which every task finds by itself, and each piece is parsed alone. A first scan tells which of them `_plain` allows
     to be cut; the others, and small ones, go through the XML source. That stops where a file is not well-formed; in a cut file
     a malformed element spoils its own row only.
     """
     reader = spark.read.format("xml").option("rowTag", tag).schema(schema)
-    whole = reader.load(path)
+    whole_bytes, whole = WHOLE_BYTES if whole_bytes is None else whole_bytes, reader.load(path)
     found = spark.read.format("binaryFile").load(path).select("path", F.col("_metadata.file_path").alias("file"), "length")
     corrupt = spark.conf.get("spark.sql.columnNameOfCorruptRecord")
     if whole.columns != schema.names or corrupt in schema.names or found.filter(F.col("length") > whole_bytes).isEmpty():
@@ -138,9 +139,10 @@ def _plain(pieces: DataFrame, tag: str) -> set[str]:
     """Files that can be cut at the end tags: every piece has one start tag, but for what follows the last element, all bytes are
     there, and nothing needs what lies outside of an element or hides tags: comments, CDATA, document types, instructions,
     name prefixes, other encodings; nor are there empty elements of that name or end tags with blanks."""
-    name = rf"\Q{tag}\E"
-    odd = rf"""<(?:!|\?(?!xml\s)|\?xml\s[^>]*encoding\s*=\s*["'](?!(?i:utf-8)["'])|/?[^\s<>/:]+:|/{name}\s|{name}(?:\s[^<]*)?/>)"""
-    prefixed = r"""\s[^\s<>="':]+:[^\s<>="':]+\s*=\s*["']"""  # an attribute, as an element's own; those outside do not matter
+    name, attributes = rf"\Q{tag}\E", r"""(?:\s+[^\s<>="':]+\s*=\s*(?:"[^"]*"|'[^']*'))*+"""
+    odd = (rf"""<(?:!|\?(?!xml\s)|\?xml\s[^>]*encoding\s*=\s*["'](?!(?i:utf-8)["'])|/?[^\s<>/:]+:|/{name}\s"""
+           rf"""|{name}{attributes}\s*/>)""")
+    prefixed = rf"""<[^\s<>/]+{attributes}\s+[^\s<>="':/]+:"""  # an attribute, as an element's own; those outside do not matter
     seen = pieces.select(
         "file", "size", F.octet_length("value").alias("bytes"), F.regexp_count("value", F.lit(_start_tag(tag))).alias("starts"),
         (F.col("value").rlike(odd) | F.expr("substring(value, at)").rlike(prefixed)).alias("odd"))

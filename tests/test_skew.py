@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from millrace import session
 from millrace.operators import files, sales
 from millrace.operators.sequence import first_by_key, sequence_within
+from millrace.workload import documents
 
 
 @pytest.fixture(scope="module")
@@ -109,3 +110,33 @@ def test_release_deletes_only_named_folders(spark, tmp_path):
     kept = session.settle(spark.range(3), "kept")
     assert kept.count() == 3 and session.release(spark) >= 1
     assert session.release(spark) == 0 and tmp_path.exists()
+
+
+@pytest.mark.parametrize("name", ["sanctions_individuals", "sanctions_entities", "sanctions_union"])
+def test_large_lists_are_read_in_splits(spark, tmp_path, monkeypatch, name):
+    """A task of the XML source reads no more than a file of the size up to which files are read whole."""
+    import check
+
+    spark.range(400).select(
+        F.col("id").alias("c_custkey"), F.format_string("Customer#%09d", "id").alias("c_name"), (F.col("id") % 25).alias("c_nationkey"),
+        F.lit("A & <B>").alias("c_mktsegment")).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(300).select(
+        F.col("id").alias("s_suppkey"), F.format_string("Supplier#%09d", "id").alias("s_name"), (F.col("id") % 25).alias("s_nationkey")
+        ).write.parquet(f"{tmp_path}/supplier.parquet")
+    con = check.duckdb.connect()
+    for table in ("customer", "supplier"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    monkeypatch.setattr("millrace.sources.files.WHOLE_BYTES", 1000)
+    scans = []
+    read_elements = documents.read_elements
+    monkeypatch.setattr(documents, "read_elements", lambda *a: scans.append(read_elements(*a)) or scans[-1])
+    for key, value in (("spark.sql.files.maxPartitionBytes", "8000b"), ("spark.sql.files.openCostInBytes", "1b")):
+        spark.conf.set(key, value)
+    try:
+        verdict, detail, _ = check.compare(spark, con, name, str(tmp_path), documents.QUERIES[name](spark, str(tmp_path)))
+        assert verdict == "ok", detail
+        assert all("FileScan text" in df._jdf.queryExecution().executedPlan().toString() for df in scans)
+        assert all(df.select(F.spark_partition_id()).distinct().count() > 10 for df in scans)
+    finally:
+        for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+            spark.conf.unset(key)

@@ -250,13 +250,15 @@ def test_large_element_files_are_cut(spark, tmp_path, monkeypatch):
     cases = {  # whether a file can be cut
         f"<L>{body}</L>": True,
         f'<?xml version="1.0" encoding="UTF-8"?>\n<L xmlns:x="u" x:b="c">{body}</L>\n': True,
+        f'<L>{body}<I a="q>r"><D> t x:y="z" /> </D></I></L>': True,
         f"<L>{body}<!-- <I><D>hidden</D></I> --></L>": False,
         f"<L>{body}<I><D><![CDATA[</I>]]></D></I></L>": False,
         f"<L>{body}<I><D>out</D><I><D>in</D></I></I></L>": False,
         f'<L>{body}<I/><I a="q>"/></L>': False,
         f"<L>{body}<I><D>blank</D></I ></L>": False,
         f'<L xmlns:p="u">{body}<p:I><D>z</D></p:I></L>': False,
-        f'<L xmlns:p="u">{body}<I p:k="1"><D>z</D></I></L>': False,
+        f'<L xmlns:p="u">{body}<I a="q>r" p:k="1"><D>z</D></I></L>': False,
+        f'<L xmlns:p="u">{body}<I><D p:k="1">z</D></I></L>': False,
         f"<L>{body}<I><D>open": False,
         "<L>" + "<D>none</D>" * 500 + "</L>": False,
     }
